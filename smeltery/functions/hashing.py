@@ -35,8 +35,12 @@ def _escape_run(run: Column) -> Column:
 
 
 def record_hash(source_id: Column, event_time: Column, category: Column, value: Column) -> Column:
-    """SHA-256 of the compact JSON object with sorted keys. The source label is not part of it."""
-    return F.sha2(
+    """SHA-256 of the compact JSON object with sorted keys. The source label is not part of it.
+
+    Without an event time there is no hash and the result is empty. It is never null, which
+    spares joins on the hash a null test that would compute it twice.
+    """
+    digest = F.sha2(
         F.concat(
             F.lit('{"category":'), json_string(category),
             F.lit(',"event_time":"'), iso_utc(event_time),
@@ -46,3 +50,4 @@ def record_hash(source_id: Column, event_time: Column, category: Column, value:
         ),
         256,
     )
+    return F.coalesce(digest, F.lit(""))

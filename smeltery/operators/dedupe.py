@@ -38,6 +38,26 @@ def new_only(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = KEY) -
     return batch.join(seen, list(keys), "left_anti")
 
 
+def batch_counts(batch: DataFrame, file_ord: str, keys: Sequence[str] = KEY) -> DataFrame:
+    """Rows per file and in all: total, inserted (first file that brings the key), deduped.
+
+    Copies are counted per key and file on the map side first. A key then has at most one
+    row per file, and its first file is the smallest of them.
+    """
+    per_file = batch.groupBy(*keys, file_ord).agg(F.count(F.lit(1)).alias("_rows"))
+    first = F.row_number().over(W.Window.partitionBy(*keys).orderBy(file_ord)) == 1
+    placed = per_file.select(file_ord, "_rows", F.when(first, 1).otherwise(0).alias("_new"))
+    counted = placed.rollup(file_ord).agg(
+        F.sum("_rows").cast("bigint").alias("total_records"),
+        F.sum("_new").cast("bigint").alias("inserted_records"),
+    )
+    return counted.select(
+        F.coalesce(F.col(file_ord).cast("string"), F.lit("all")).alias("file"),
+        "total_records", "inserted_records",
+        (F.col("total_records") - F.col("inserted_records")).alias("deduped_records"),
+    )
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
     """Keys stored more than once; empty on a table that only the jobs here write."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.config import CleaningConfig, OutlierRule
@@ -28,7 +28,7 @@ from smeltery.operators import clean as cleaning
 from smeltery.operators import dedupe, flags, keys, ledger, quality, rollup
 from smeltery.operators.merge import upsert
 from smeltery.plans import standin
-from smeltery.session import checkpoint_root, ensure_utc
+from smeltery.session import checkpoint_root, ensure_utc, stage
 from smeltery.sources.batch import read_batch
 from smeltery.sources.tables import latest_n
 
@@ -146,14 +146,11 @@ def _latest_n_raw(spark, sf_dir):
 
 @query("invalid_event_time_rows")
 def _invalid_event_time_rows(spark, sf_dir):
-    k = F.col("event_id")
-    broken = [
-        F.lit(""), F.lit(None).cast("string"), F.lit("not-a-date"), F.lit("2024-02-30T00:00:00Z"),
-        F.lit("2024-13-01"), F.lit("2026"), F.lit("T06:00"),
-    ]
-    text = standin.pick(k % 10, broken, standin.event_time_text())
-    rows = standin.table(spark, sf_dir, "events").withColumn("event_time", text)
-    return keys.invalid_event_times(rows).select("event_id", "event_time")
+    broken = f"""CASE event_id % 10 WHEN 0 THEN '' WHEN 1 THEN null WHEN 2 THEN 'not-a-date'
+      WHEN 3 THEN '2024-02-30T00:00:00Z' WHEN 4 THEN '2024-13-01' WHEN 5 THEN '2026'
+      WHEN 6 THEN 'T06:00' ELSE {standin.EVENT_TIME} END"""
+    rows = standin.table(spark, sf_dir, "events").selectExpr("event_id", f"{broken} AS event_time")
+    return keys.invalid_event_times(rows)
 
 
 @query("parse_event_time")
@@ -187,32 +184,9 @@ def _record_hash_text(spark, sf_dir):
     )
 
 
-def _fates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch rows with whether the insert keeps them, without a second pass over the batch."""
-    keyed = standin.keyed_batch(spark, sf_dir)
-    per_key = keyed.groupBy("source", "record_hash", "file_ord").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    first = dedupe.keep_first(
-        per_key.select("source", "record_hash", F.col("file_ord").alias("first_file")),
-        ("first_file",),
-    )
-    return per_key.join(first, ["source", "record_hash"])
-
-
 @query("ingest_counts")
 def _ingest_counts(spark, sf_dir):
-    fates = _fates(spark, sf_dir)
-    inserted = F.sum(F.when(F.col("file_ord") == F.col("first_file"), 1).otherwise(0))
-    per_file = fates.rollup("file_ord").agg(
-        F.sum("rows").cast("bigint").alias("total_records"),
-        inserted.cast("bigint").alias("inserted_records"),
-    )
-    return per_file.select(
-        F.coalesce(F.col("file_ord").cast("string"), F.lit("all")).alias("file"),
-        "total_records", "inserted_records",
-        (F.col("total_records") - F.col("inserted_records")).alias("deduped_records"),
-    )
+    return dedupe.batch_counts(standin.keyed_batch(spark, sf_dir), "file_ord")
 
 
 @query("dedupe_keep_first")
@@ -222,18 +196,19 @@ def _dedupe_keep_first(spark, sf_dir):
 
 @query("ingest_new_only")
 def _ingest_new_only(spark, sf_dir):
-    stored = standin.bronze(spark, sf_dir, (1, 2))
-    fresh = dedupe.new_only(standin.bronze(spark, sf_dir), stored)
+    batch = standin.staged_batch(spark, sf_dir)
+    stored = standin.first_rows(batch, (1, 2))
+    fresh = dedupe.new_only(standin.first_rows(batch), stored)
     return fresh.select("source", "record_hash", "file_ord", "row_num")
 
 
 @query("ingest_idempotent_replay")
 def _ingest_idempotent_replay(spark, sf_dir):
     """First run, then the same batch again: the second run finds nothing to insert."""
-    batch = standin.bronze(spark, sf_dir)
-    replay = dedupe.new_only(standin.bronze(spark, sf_dir), batch)
-    counted = batch.select("source", F.lit(1).alias("stored"), F.lit(0).alias("again")).unionByName(
-        replay.select("source", F.lit(0).alias("stored"), F.lit(1).alias("again"))
+    stored = stage(standin.bronze(spark, sf_dir).select(*dedupe.KEY), "stored")
+    replay = dedupe.new_only(standin.bronze(spark, sf_dir).select(*dedupe.KEY), stored)
+    counted = stored.selectExpr("source", "1 AS stored", "0 AS again").unionByName(
+        replay.selectExpr("source", "0 AS stored", "1 AS again")
     )
     return counted.groupBy("source").agg(
         F.sum("stored").cast("bigint").alias("first_inserted"),
@@ -257,16 +232,13 @@ def _backfill_keys(spark, sf_dir):
 
 @query("project_allowed_keys")
 def _project_allowed_keys(spark, sf_dir):
-    events = standin.table(spark, sf_dir, "events")
-    payload = F.create_map(
-        F.lit("source_id"), F.col("user_id").cast("string"), F.lit("value"),
-        standin.money_text("value"), F.lit("props"), F.col("props"),
-        F.lit("category"), F.col("event_type"),
-    )
-    kept = events.select(
-        "event_id", cleaning.project_allowed_map(payload, {"value", "category"}).alias("kept")
+    payload = F.expr(
+        f"map('source_id', cast(user_id AS string), 'value', {standin.V}, 'props', props, "
+        "'category', event_type)"
     )
-    return kept.select("event_id", F.explode("kept").alias("key", "text"))
+    kept = cleaning.project_allowed_map(payload, {"value", "category"})
+    events = standin.table(spark, sf_dir, "events")
+    return events.select("event_id", F.explode(kept).alias("key", "text"))
 
 
 @query("null_literals")
@@ -303,36 +275,31 @@ def _normalize_categories(spark, sf_dir):
 def _map_categories(spark, sf_dir):
     """The mapping as a table: every nation name maps to its region's name."""
     nation, region = (standin.table(spark, sf_dir, t) for t in ("nation", "region"))
-    mapping = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.lower("n_name").alias("key"), F.col("r_name").alias("canonical")
+    mapping = nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "lower(n_name) AS key", "r_name AS canonical"
     )
     customers = standin.table(spark, sf_dir, "customer").join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
-    spelled = standin.pick(
-        F.col("c_custkey") % 3,
-        [F.col("n_name"), F.concat(F.lit("  "), F.lower("n_name"))],
-        F.concat(F.col("n_name"), F.lit(" (old)")),
+    rows = customers.selectExpr(
+        "c_custkey",
+        "CASE c_custkey % 3 WHEN 0 THEN n_name WHEN 1 THEN '  ' || lower(n_name) "
+        "ELSE n_name || ' (old)' END AS category",
     )
-    rows = customers.select("c_custkey", spelled.alias("category"))
     return cleaning.map_categories(rows, "category", mapping)
 
 
-def _date_spellings() -> Column:
-    ts, k = F.col("ts").cast("timestamp"), F.col("event_id")
-    shapes = [
-        "yyyy-MM-dd", "dd/MM/yyyy", "yyyy/M/d", "d-M-yyyy", "yyyy-M-d HH:mm:ss",
-        "yyyyMMdd", "yyyy-MM-dd'junk'",
-    ]
-    return standin.pick(k % 8, [F.date_format(ts, s) for s in shapes],
-                        F.date_format(ts, "MM/dd/yyyy"))
+DATE_SPELLING = """CASE event_id % 8 WHEN 0 THEN date_format(ts, 'yyyy-MM-dd')
+  WHEN 1 THEN date_format(ts, 'dd/MM/yyyy') WHEN 2 THEN date_format(ts, 'yyyy/M/d')
+  WHEN 3 THEN date_format(ts, 'd-M-yyyy') WHEN 4 THEN date_format(ts, 'yyyy-M-d HH:mm:ss')
+  WHEN 5 THEN date_format(ts, 'yyyyMMdd') WHEN 6 THEN date_format(ts, 'yyyy-MM-dd') || 'junk'
+  ELSE date_format(ts, 'MM/dd/yyyy') END"""
 
 
 def _dates(spark: SparkSession, sf_dir: str, day_first: bool) -> DataFrame:
     events = standin.table(spark, sf_dir, "events")
-    return events.select(
-        "event_id", normalize_date(_date_spellings(), day_first).alias("day")
-    )
+    spelled = events.selectExpr("event_id", f"{DATE_SPELLING} AS written")
+    return spelled.select("event_id", normalize_date(F.col("written"), day_first).alias("day"))
 
 
 @query("normalize_date_dayfirst")
@@ -346,64 +313,46 @@ def _normalize_date_monthfirst(spark, sf_dir):
 
 
 LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-
-
-def _line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return standin.table(spark, sf_dir, "lineitem").withColumn(
-        "_price", F.col("l_extendedprice").cast("decimal(18,2)")
-    )
-
-
-def _money_spellings() -> Column:
-    grouped = F.format_number("_price", 2)
-    return standin.pick(
-        F.col("l_linenumber") % 5,
-        [
-            F.concat(F.lit("$"), grouped),
-            F.concat(F.translate(grouped, ",.", ".,"), F.lit(" €")),
-            F.col("_price").cast("string"),
-            F.concat(F.lit("("), grouped, F.lit(")")),
-        ],
-        F.concat(F.lit("1-"), F.col("_price").cast("string")),
+MONEY_SPELLING = """CASE l_linenumber % 5 WHEN 0 THEN '$' || format_number(price, 2)
+  WHEN 1 THEN translate(format_number(price, 2), ',.', '.,') || ' €'
+  WHEN 2 THEN cast(price AS string) WHEN 3 THEN '(' || format_number(price, 2) || ')'
+  ELSE '1-' || cast(price AS string) END"""
+NUMBER_SPELLING = """CASE l_linenumber % 6 WHEN 0 THEN format_number(price, 2)
+  WHEN 1 THEN ' -' || cast(price AS string) WHEN 2 THEN cast(price AS string) || 'e2'
+  WHEN 3 THEN cast(price AS string) || 'd'
+  WHEN 4 THEN '1_0' || lpad(cast(cast(l_quantity AS int) AS string), 2, '0') ELSE 'n/a' END"""
+
+
+def _lines(spark: SparkSession, sf_dir: str, spelling: str) -> DataFrame:
+    priced = standin.table(spark, sf_dir, "lineitem").selectExpr(
+        *LINE, "l_quantity", "cast(l_extendedprice AS decimal(18,2)) AS price"
     )
+    return priced.selectExpr(*LINE, f"{spelling} AS written")
 
 
 @query("normalize_currency")
-def _normalize_currencies(spark, sf_dir):
-    money = normalize_currency(_money_spellings(), precision=18, scale=4)
-    return _line_rows(spark, sf_dir).select(*LINE, money.alias("amount"))
-
-
-def _number_spellings() -> Column:
-    plain, grouped = F.col("_price").cast("string"), F.format_number("_price", 2)
-    return standin.pick(
-        F.col("l_linenumber") % 6,
-        [
-            grouped, F.concat(F.lit(" -"), plain), F.concat(plain, F.lit("e2")),
-            F.concat(plain, F.lit("d")),
-            F.concat(F.lit("1_0"), F.lpad(F.col("l_quantity").cast("int").cast("string"), 2, "0")),
-        ],
-        F.lit("n/a"),
-    )
+def _normalize_currency(spark, sf_dir):
+    money = normalize_currency(F.col("written"), precision=18, scale=4)
+    return _lines(spark, sf_dir, MONEY_SPELLING).select(*LINE, money.alias("amount"))
 
 
 @query("normalize_int")
-def _normalize_ints(spark, sf_dir):
-    whole = normalize_int(_number_spellings())
-    return _line_rows(spark, sf_dir).select(*LINE, whole.alias("whole"))
+def _normalize_int(spark, sf_dir):
+    whole = normalize_int(F.col("written"))
+    return _lines(spark, sf_dir, NUMBER_SPELLING).select(*LINE, whole.alias("whole"))
 
 
 @query("normalize_float")
-def _normalize_floats(spark, sf_dir):
-    number = normalize_float(_number_spellings())
-    return _line_rows(spark, sf_dir).select(*LINE, number.alias("number"))
+def _normalize_float(spark, sf_dir):
+    number = normalize_float(F.col("written"))
+    return _lines(spark, sf_dir, NUMBER_SPELLING).select(*LINE, number.alias("number"))
 
 
 @query("parse_value_float")
-def _parse_floats(spark, sf_dir):
+def _parse_value_float(spark, sf_dir):
     """The flag rules' reader: no thousands separators."""
-    number = parse_float(_number_spellings())
-    return _line_rows(spark, sf_dir).select(*LINE, number.alias("number"))
+    number = parse_float(F.col("written"))
+    return _lines(spark, sf_dir, NUMBER_SPELLING).select(*LINE, number.alias("number"))
 
 
 @query("outlier_bounds")
@@ -420,18 +369,15 @@ def _outlier_bound(spark, sf_dir):
 
 
 def _messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    price, date_text = standin.money_text("o_totalprice"), F.col("o_orderdate").cast("timestamp")
-    return standin.table(spark, sf_dir, "orders").select(
+    return standin.table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
-        F.concat(F.lit("  Order \t "), k.cast("string"), F.lit("  ")).alias("title"),
-        F.col("o_orderpriority").alias("category"),
-        F.date_format(date_text, "dd/MM/yyyy").alias("published_at"),
-        F.concat(F.lit("$"), price).alias("price"),
-        F.when(k % 4 == 0, F.concat(F.lit("-"), k.cast("string")))
-        .otherwise(k.cast("string")).alias("views"),
-        standin.pick(k % 3, [F.lit("0.5"), F.lit("1.5")], F.lit("none")).alias("score"),
-        F.col("o_orderstatus").alias("ignore_me"),
+        "'  Order ' || chr(9) || ' ' || o_orderkey || '  ' AS title",
+        "o_orderpriority AS category",
+        "date_format(o_orderdate, 'dd/MM/yyyy') AS published_at",
+        "'$' || cast(cast(o_totalprice AS decimal(18,2)) AS string) AS price",
+        "if(o_orderkey % 4 = 0, '-' || o_orderkey, cast(o_orderkey AS string)) AS views",
+        "CASE o_orderkey % 3 WHEN 0 THEN '0.5' WHEN 1 THEN '1.5' ELSE 'none' END AS score",
+        "o_orderstatus AS ignore_me",
     )
 
 
@@ -453,9 +399,10 @@ def _clean_before_after(spark, sf_dir):
 
 @query("silver_upsert")
 def _silver_upsert(spark, sf_dir):
-    stored = standin.silver(spark, sf_dir, (1, 2), "first")
-    incoming = standin.silver(spark, sf_dir, run="second")
-    merged = upsert(stored, incoming, ("source", "record_hash"), keep=("id",))
+    batch = standin.staged_batch(spark, sf_dir)
+    stored = standin.silver_of(standin.first_rows(batch, (1, 2)), "first")
+    incoming = standin.silver_of(standin.first_rows(batch), "second")
+    merged = upsert(stored, incoming, dedupe.KEY, keep=("id",))
     return merged.select(
         "id", "source", "record_hash", "raw_id", "source_id",
         iso_utc(F.col("event_time")).alias("event_time"), "category", "value_text",
@@ -465,8 +412,9 @@ def _silver_upsert(spark, sf_dir):
 
 @query("gold_upsert")
 def _gold_upsert(spark, sf_dir):
-    stored = rollup.daily_metrics(standin.bronze(spark, sf_dir, (1, 2)))
-    incoming = rollup.daily_metrics(standin.bronze(spark, sf_dir), date(2024, 1, 10))
+    batch = standin.staged_batch(spark, sf_dir)
+    stored = rollup.daily_metrics(standin.first_rows(batch, (1, 2)))
+    incoming = rollup.daily_metrics(standin.first_rows(batch), date(2024, 1, 10))
     return upsert(stored, incoming, ("day_date",))
 
 
@@ -475,33 +423,34 @@ def _gold_upsert(spark, sf_dir):
 
 @query("fingerprint_counts")
 def _fingerprint_counts(spark, sf_dir):
-    counted = flags.fingerprint_counts(standin.keyed_batch(spark, sf_dir))
+    counted = flags.fingerprint_counts(standin.staged_batch(spark, sf_dir))
     return counted.select("id", F.col("_copies").alias("copies"))
 
 
-def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flags.flag(standin.keyed_batch(spark, sf_dir), standin.NOW)
+def _flagged(batch: DataFrame) -> DataFrame:
+    return flags.flag(batch, standin.NOW)
 
 
 @query("flags_report")
 def _flags_report(spark, sf_dir):
-    return flags.report(_flagged(spark, sf_dir))
+    return flags.report(_flagged(standin.staged_batch(spark, sf_dir)))
 
 
 @query("flags_severity")
 def _flags_severity(spark, sf_dir):
-    per = _flagged(spark, sf_dir).groupBy("severity", "flag_codes")
+    per = _flagged(standin.staged_batch(spark, sf_dir)).groupBy("severity", "flag_codes")
     return per.agg(F.count(F.lit(1)).alias("records"))
 
 
 @query("flags_top10")
 def _flags_top10(spark, sf_dir):
-    return flags.top(_flagged(spark, sf_dir), 10)
+    return flags.top(_flagged(standin.staged_batch(spark, sf_dir)), 10)
 
 
 @query("flag_totals")
 def _flag_totals(spark, sf_dir):
-    return flags.totals(standin.raw_batch(spark, sf_dir), _flagged(spark, sf_dir))
+    batch = standin.staged_batch(spark, sf_dir)
+    return flags.totals(batch, _flagged(batch))
 
 
 # Audit -------------------------------------------------------------------------------
@@ -509,8 +458,9 @@ def _flag_totals(spark, sf_dir):
 
 def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summary built from the first two files only, so some months must differ."""
-    summary = rollup.monthly_metrics(standin.silver(spark, sf_dir, (1, 2)))
-    return quality.control_totals(summary, standin.silver(spark, sf_dir))
+    batch = standin.staged_batch(spark, sf_dir)
+    summary = rollup.monthly_metrics(standin.silver_of(standin.first_rows(batch, (1, 2))))
+    return quality.control_totals(summary, standin.silver_of(standin.first_rows(batch)))
 
 
 @query("control_totals")

@@ -9,183 +9,138 @@ arrive once more under another source label.
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.operators.clean import to_silver
 from smeltery.operators.dedupe import keep_first
 from smeltery.operators.keys import extract_keys
+from smeltery.session import stage
 
 NOW = datetime(2024, 1, 20, tzinfo=timezone.utc)
+FILES = (1, 2, 3, 4)
 FILE_ORDER = ("file_ord", "row_num")
-ROW = ("file_ord", "row_num", "source", "source_id", "event_time", "category", "value")
+
+# How the source files spell things, as SQL text.
+V = "cast(cast(value AS decimal(18,2)) AS string)"
+TS = "cast(ts AS timestamp)"
+EVENT_VALUE = f"""CASE event_id % 20 WHEN 0 THEN '' WHEN 1 THEN 'N/A' WHEN 2 THEN 'abc'
+  WHEN 3 THEN '-' || {V} WHEN 4 THEN '$' || {V} WHEN 5 THEN ' ' || {V} || ' '
+  WHEN 6 THEN '€1.234,' || lpad(cast(event_id % 100 AS string), 2, '0')
+  WHEN 7 THEN '--' WHEN 8 THEN '1e7' WHEN 9 THEN 'nan' ELSE {V} END"""
+EVENT_CATEGORY = """CASE event_id % 5 WHEN 0 THEN event_type WHEN 1 THEN upper(event_type)
+  WHEN 2 THEN ' ' || event_type || ' ' WHEN 3 THEN chr(9) || event_type
+  ELSE CASE WHEN event_id % 25 = 24 THEN 'N/A' ELSE event_type END END"""
+EVENT_TIME = f"""CASE event_id % 6
+  WHEN 0 THEN translate(cast({TS} AS string), ' ', 'T') || 'Z'
+  WHEN 1 THEN cast({TS} AS string)
+  WHEN 2 THEN translate(cast({TS} + INTERVAL 2 HOURS AS string), ' ', 'T') || '+02:00'
+  WHEN 3 THEN translate(cast({TS} AS string), ' -:', 'T')
+  WHEN 4 THEN translate(cast({TS} AS string), ' .', 'T,')
+  ELSE translate(cast({TS} - INTERVAL '05:30' HOUR TO MINUTE AS string), ' ', 'T') || '-0530'
+  END"""
+DAY = "cast(cast(o_orderdate AS date) AS string)"
+ORDER_TIME = f"""CASE o_orderkey % 3 WHEN 0 THEN {DAY} WHEN 1 THEN translate({DAY}, '-', '')
+  ELSE {DAY} || 'T00:00:00Z' END"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pick(selector: Column, choices: list[Column], default: Column) -> Column:
-    """The choice whose position equals ``selector``."""
-    out = F.when(selector == 0, choices[0])
-    for i, choice in enumerate(choices[1:], 1):
-        out = out.when(selector == i, choice)
-    return out.otherwise(default)
-
-
-def money_text(col: str) -> Column:
-    return F.col(col).cast("decimal(18,2)").cast("string")
-
-
-def _event_value() -> Column:
-    v, k = money_text("value"), F.col("event_id")
-    cents = F.lpad((k % 100).cast("string"), 2, "0")
-    spelled = [
-        F.lit(""), F.lit("N/A"), F.lit("abc"), F.concat(F.lit("-"), v), F.concat(F.lit("$"), v),
-        F.concat(F.lit(" "), v, F.lit(" ")), F.concat(F.lit("€1.234,"), cents), F.lit("--"),
-        F.lit("1e7"), F.lit("nan"),
-    ]
-    return pick(k % 20, spelled, v)
-
-
-def _event_category() -> Column:
-    t, k = F.col("event_type"), F.col("event_id")
-    spelled = [
-        t, F.upper(t), F.concat(F.lit(" "), t, F.lit(" ")), F.concat(F.lit("\t"), t),
-        F.when(k % 25 == 24, F.lit("N/A")).otherwise(t),
-    ]
-    return pick(k % 5, spelled, t)
-
-
-def event_time_text() -> Column:
-    ts, k = F.col("ts").cast("timestamp"), F.col("event_id")
-    text = ts.cast("string")
-
-    def shifted(hours: int, minutes: int) -> Column:
-        moved = ts + F.make_dt_interval(F.lit(0), F.lit(hours), F.lit(minutes), F.lit(0))
-        return F.translate(moved.cast("string"), " ", "T")
-
-    spelled = [
-        F.concat(F.translate(text, " ", "T"), F.lit("Z")),
-        text,
-        F.concat(shifted(2, 0), F.lit("+02:00")),
-        F.translate(text, " -:", "T"),
-        F.translate(text, " .", "T,"),
-    ]
-    return pick(k % 6, spelled, F.concat(shifted(-5, -30), F.lit("-0530")))
-
-
-def _order_time_text() -> Column:
-    day = F.col("o_orderdate").cast("date").cast("string")
-    spelled = [day, F.translate(day, "-", "")]
-    return pick(F.col("o_orderkey") % 3, spelled, F.concat(day, F.lit("T00:00:00Z")))
-
-
-def raw_batch(spark: SparkSession, sf_dir: str, files: tuple[int, ...] = (1, 2, 3, 4)) -> DataFrame:
+def raw_batch(spark: SparkSession, sf_dir: str, files: tuple[int, ...] = FILES) -> DataFrame:
     """Source rows as text, one ``file_ord`` per file in arrival order."""
     events, orders = table(spark, sf_dir, "events"), table(spark, sf_dir, "orders")
-    event_row = {
-        "row_num": F.col("event_id") + 1, "source": F.lit("events"),
-        "source_id": F.col("user_id").cast("string"), "event_time": event_time_text(),
-        "category": _event_category(), "value": _event_value(),
-    }
-    again = {
-        **event_row, "category": F.upper(_event_category()),
-        "value": F.concat(F.lit("  "), _event_value(), F.lit(" ")),
-    }
-    order_row = {
-        "row_num": F.col("o_orderkey") + 1, "source": F.lit("orders"),
-        "source_id": F.col("o_custkey").cast("string"), "event_time": _order_time_text(),
-        "category": F.col("o_orderstatus"), "value": money_text("o_totalprice"),
-    }
-    parts = {
-        1: (events, event_row),
-        2: (orders, order_row),
-        3: (events.where("event_type = 'purchase'"), again),
-        4: (events.where("event_type = 'signup'"), {**event_row, "source": F.lit("mirror")}),
-    }
-    frames = [
-        parts[i][0].select(
-            F.lit(i).alias("file_ord"), *[c.alias(name) for name, c in parts[i][1].items()]
+
+    def event_rows(rows: DataFrame, file_ord: int, source: str, category: str, value: str):
+        return rows.selectExpr(
+            f"{file_ord} AS file_ord", "event_id + 1 AS row_num", f"'{source}' AS source",
+            "cast(user_id AS string) AS source_id", f"{EVENT_TIME} AS event_time",
+            f"{category} AS category", f"{value} AS value",
         )
-        for i in files
-    ]
-    batch = frames[0]
-    for frame in frames[1:]:
-        batch = batch.unionByName(frame)
-    return batch
+
+    purchases, signups = (events.where(f"event_type = '{t}'") for t in ("purchase", "signup"))
+    frames = {
+        1: event_rows(events, 1, "events", EVENT_CATEGORY, EVENT_VALUE),
+        2: orders.selectExpr(
+            "2 AS file_ord", "o_orderkey + 1 AS row_num", "'orders' AS source",
+            "cast(o_custkey AS string) AS source_id", f"{ORDER_TIME} AS event_time",
+            "o_orderstatus AS category", "cast(cast(o_totalprice AS decimal(18,2)) AS string) AS value",
+        ),
+        3: event_rows(
+            purchases, 3, "events", f"upper({EVENT_CATEGORY})", f"'  ' || {EVENT_VALUE} || ' '"
+        ),
+        4: event_rows(signups, 4, "mirror", EVENT_CATEGORY, EVENT_VALUE),
+    }
+    return reduce(DataFrame.unionByName, [frames[i] for i in files])
 
 
 def with_id(df: DataFrame) -> DataFrame:
     return df.withColumn("id", F.concat_ws("-", "source", "file_ord", "row_num"))
 
 
-def keyed_batch(
-    spark: SparkSession, sf_dir: str, files: tuple[int, ...] = (1, 2, 3, 4)
-) -> DataFrame:
+def keyed_batch(spark: SparkSession, sf_dir: str, files: tuple[int, ...] = FILES) -> DataFrame:
     """The batch with payload, typed keys and hash, before any dedupe."""
-    batch = with_id(raw_batch(spark, sf_dir, files))
-    names = ("source_id", "event_time", "category", "value")
-    payload = F.create_map(*[part for n in names for part in (F.lit(n), F.col(n))])
-    arrived = F.timestamp_seconds(F.lit(1704844800) + F.col("file_ord") * 86400)
-    stamped = batch.withColumns(
-        {"payload": payload, "ingested_at": arrived, "run_id": F.concat(F.lit("run-"), "source")}
+    stamped = raw_batch(spark, sf_dir, files).selectExpr(
+        "*",
+        "concat_ws('-', source, file_ord, row_num) AS id",
+        "map('source_id', source_id, 'event_time', event_time, 'category', category, "
+        "'value', value) AS payload",
+        "timestamp_seconds(1704844800 + file_ord * 86400) AS ingested_at",
+        "'run-' || source AS run_id",
     )
     return extract_keys(stamped)
 
 
-def bronze(
-    spark: SparkSession, sf_dir: str, files: tuple[int, ...] = (1, 2, 3, 4)
-) -> DataFrame:
-    return keep_first(keyed_batch(spark, sf_dir, files), FILE_ORDER)
+def staged_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyed batch written once, for queries that read it more than once."""
+    return stage(keyed_batch(spark, sf_dir), "batch")
+
+
+def first_rows(batch: DataFrame, files: tuple[int, ...] = FILES) -> DataFrame:
+    """Bronze from a keyed batch: the first row of every key in the given files."""
+    chosen = batch if files == FILES else batch.where(F.col("file_ord").isin(*files))
+    return keep_first(chosen, FILE_ORDER)
 
 
-def silver(
-    spark: SparkSession, sf_dir: str, files: tuple[int, ...] = (1, 2, 3, 4), run: str = "run"
-) -> DataFrame:
-    return to_silver(bronze(spark, sf_dir, files), run, F.lit(NOW).cast("timestamp"))
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return first_rows(keyed_batch(spark, sf_dir))
+
+
+def silver_of(rows: DataFrame, run: str = "run") -> DataFrame:
+    return to_silver(rows, run, F.lit(NOW).cast("timestamp"))
+
+
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_of(bronze(spark, sf_dir))
 
 
 # Stand-in for the run ledger: one run per day and kind of event.
-STAGE_OF = {
-    "click": "ingest", "view": "flags", "signup": "clean", "purchase": "metrics", "error": "demo",
-}
+RUN_COLUMNS = (
+    "concat_ws('|', cast(day AS string), event_type) AS id",
+    "CASE event_type WHEN 'click' THEN 'ingest' WHEN 'view' THEN 'flags' WHEN 'signup' "
+    "THEN 'clean' WHEN 'purchase' THEN 'metrics' ELSE 'demo' END AS pipeline",
+    "if(failed, 'failed', 'succeeded') AS status",
+    "started_at", "finished_at",
+    "(unix_micros(finished_at) - unix_micros(started_at)) div 1000 AS duration_ms",
+    "records_in", "records_out",
+    "if(failed, 'stopped after ' || records_out, null) AS error_summary",
+    "if(failed, 'ValueError', null) AS error_type",
+    "if(failed, 'stopped after ' || records_out, null) AS error_message",
+    "array(named_struct('step', 'parse', 'status', 'ok', 'duration_ms', records_in), "
+    "named_struct('step', 'upsert', 'status', if(failed, 'failed', 'ok'), "
+    "'duration_ms', records_out)) AS steps",
+)
 
 
 def pipeline_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    stage_of = F.create_map(*[F.lit(x) for item in STAGE_OF.items() for x in item])
     daily = events.groupBy(F.to_date("ts").alias("day"), "event_type").agg(
         F.min("ts").alias("started_at"),
         F.max("ts").alias("finished_at"),
         F.count(F.lit(1)).alias("records_in"),
         F.count_if(F.col("value") > 50).cast("bigint").alias("records_out"),
     )
-    failed = F.col("records_in") % 5 == 0
-
-    def step(name: str, status: Column | str, ms: Column) -> Column:
-        status = F.lit(status) if isinstance(status, str) else status
-        return F.struct(
-            F.lit(name).alias("step"), status.alias("status"), ms.alias("duration_ms"),
-            F.create_map(F.lit("rows"), F.col("records_in").cast("string")).alias("meta"),
-        )
-
-    return daily.select(
-        F.concat_ws("|", F.col("day").cast("string"), "event_type").alias("id"),
-        stage_of[F.col("event_type")].alias("pipeline"),
-        F.when(failed, "failed").otherwise("succeeded").alias("status"),
-        "started_at", "finished_at",
-        F.floor((F.unix_micros("finished_at") - F.unix_micros("started_at")) / 1000)
-        .cast("bigint").alias("duration_ms"),
-        "records_in", "records_out",
-        F.when(failed, F.concat(F.lit("stopped after "), F.col("records_out").cast("string")))
-        .alias("error_summary"),
-        F.when(failed, F.lit("ValueError")).alias("error_type"),
-        F.when(failed, F.concat(F.lit("stopped after "), F.col("records_out").cast("string")))
-        .alias("error_message"),
-        F.array(
-            step("parse", "ok", F.col("records_in")),
-            step("upsert", F.when(failed, "failed").otherwise("ok"), F.col("records_out")),
-        ).alias("steps"),
-    )
+    return daily.withColumn("failed", F.col("records_in") % 5 == 0).selectExpr(*RUN_COLUMNS)

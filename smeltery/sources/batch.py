@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
@@ -45,6 +45,11 @@ def _files_of(spark: SparkSession, path: str) -> list[str]:
     return sorted(spark.read.format("binaryFile").load(path).inputFiles())
 
 
+def _file_path() -> Column:
+    """The row's file, spelled as Spark lists it (local paths come with one or three slashes)."""
+    return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
+
+
 def _csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(spark.read.csv(path, **CSV_OPTIONS).columns)
 
@@ -63,7 +68,7 @@ def read_csv_group(
     quoted = {name: F.col("`" + name.replace("`", "``") + "`") for name in header}
     payload = F.create_map(*[x for name, c in quoted.items() for x in (F.lit(name), c)])
     return rows.select(
-        F.col("_metadata.file_path").alias("file_path"),
+        _file_path().alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("seq"),
         payload.alias("payload"),
@@ -74,7 +79,7 @@ def read_csv_group(
 def read_workbooks(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     """One workbook per task row; a bad header surfaces as an error row, see ``check_batch``."""
     blobs = spark.read.format("binaryFile").load([unquote(f) for f in files])
-    named = blobs.select(F.col("_metadata.file_path").alias("path"), "content")
+    named = blobs.select(_file_path().alias("path"), "content")
     rows = named.mapInPandas(workbook_rows, WORKBOOK_ROWS)
     return rows.select(
         F.col("path").alias("file_path"),
