@@ -55,10 +55,12 @@ def contract_summary(keyed: DataFrame) -> DataFrame:
         F.count_if(F.length(name) > limit).cast("bigint").alias(f"long_{name}")
         for name, limit in MAX_LENGTHS.items()
     ]
+    header_error = [F.min(c).alias(c) for c in ("header_error",) if c in keyed.columns]
     return keyed.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(F.col("event_time").isNull()).cast("bigint").alias("invalid_event_time"),
         *too_long,
+        *header_error,
     )
 
 

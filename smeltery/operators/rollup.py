@@ -47,15 +47,18 @@ def within(df: DataFrame, start: date | None, end: date | None, unit: str) -> Da
     return df
 
 
-def _rollup(df: DataFrame, name: str, unit: str, record_key: Sequence[str]) -> DataFrame:
+def _rollup(
+    df: DataFrame, name: str, unit: str, record_key: Sequence[str], unique_keys: bool = False
+) -> DataFrame:
     day = bucket(unit, F.col("event_time")).alias(name)
     record = F.col(record_key[0]) if len(record_key) == 1 else F.struct(*record_key)
+    rows = F.count(F.lit(1))
     return (
         df.select(day, "source", "category", "source_id", "record_hash")
         .groupBy(name)
         .agg(
-            F.count(F.lit(1)).alias("total_records"),
-            F.count_distinct(record).alias("distinct_records"),
+            rows.alias("total_records"),
+            (rows if unique_keys else F.count_distinct(record)).alias("distinct_records"),
             F.count_distinct("source_id").alias("distinct_source_ids"),
             F.count_distinct("source").alias("distinct_sources"),
             F.count_distinct("category").alias("distinct_categories"),
@@ -72,18 +75,25 @@ def monthly_metrics(
 
 
 def daily_metrics(
-    bronze: DataFrame, start: date | None = None, end: date | None = None
+    bronze: DataFrame, start: date | None = None, end: date | None = None,
+    unique_keys: bool = False,
 ) -> DataFrame:
-    """Daily rollup of bronze; a record is the pair of source and hash."""
-    return _rollup(within(bronze, start, end, "day"), "day_date", "day", ("source", "record_hash"))
+    """Daily rollup of bronze; a record is the pair of source and hash.
+
+    ``unique_keys`` states that no pair occurs twice, as in the bronze table. Distinct
+    records are then the row count, and nothing as wide as the table is shuffled.
+    """
+    days = within(bronze, start, end, "day")
+    return _rollup(days, "day_date", "day", ("source", "record_hash"), unique_keys)
 
 
 def monthly_metrics_raw(
-    bronze: DataFrame, start: date | None = None, end: date | None = None
+    bronze: DataFrame, start: date | None = None, end: date | None = None,
+    unique_keys: bool = False,
 ) -> DataFrame:
-    """Monthly rollup of bronze; a record is the pair of source and hash."""
-    dated = within(bronze, start, end, "month")
-    return _rollup(dated, "month_start", "month", ("source", "record_hash"))
+    """Monthly rollup of bronze; otherwise as :func:`daily_metrics`."""
+    months = within(bronze, start, end, "month")
+    return _rollup(months, "month_start", "month", ("source", "record_hash"), unique_keys)
 
 
 def monthly_slice(

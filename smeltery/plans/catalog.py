@@ -131,7 +131,8 @@ def _scan_csv_contract(spark, sf_dir):
         folder, header=True, quote='"', escape='"',
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
-    read = keys.extract_keys(read_batch(spark, [folder]))
+    rows, _ = read_batch(spark, [folder])
+    read = keys.extract_keys(rows)
     return read.select(
         "source_id", iso_utc(F.col("event_time")).alias("event_time"), "category", "value",
         "record_hash",

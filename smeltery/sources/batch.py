@@ -89,10 +89,12 @@ def read_workbooks(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     )
 
 
-def read_batch(spark: SparkSession, paths: Sequence[str], multi_line: bool = True) -> DataFrame:
+def read_batch(
+    spark: SparkSession, paths: Sequence[str], multi_line: bool = True
+) -> tuple[DataFrame, list[str]]:
     """All rows of the files, in arrival order of ``paths``; headers are checked before any row.
 
-    Files are grouped by header, so a folder of like files is one scan, however many files
+    Also returns the files found. Files are grouped by header, so a folder of like files is one scan, however many files
     it holds. Pass ``multi_line=False`` for very large CSV files whose cells hold no line
     breaks: Spark then reads one file with many tasks.
     """
@@ -122,9 +124,8 @@ def read_batch(spark: SparkSession, paths: Sequence[str], multi_line: bool = Tru
         batch = batch.unionByName(part, allowMissingColumns=True)
     if "header_error" not in batch.columns:
         batch = batch.withColumn("header_error", F.lit(None).cast("string"))
-    return batch.join(file_order(spark, files), "file_path").select(
-        *BATCH_COLUMNS, "header_error"
-    )
+    placed = batch.join(file_order(spark, files), "file_path")
+    return placed.select(*BATCH_COLUMNS, "header_error"), files
 
 
 def file_order(spark: SparkSession, files: Sequence[str]) -> DataFrame:
@@ -133,8 +134,8 @@ def file_order(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, "file_path string, file_ord long")
 
 
-def with_row_numbers(batch: DataFrame) -> DataFrame:
-    """1-based row number per file, without bringing a file into one task.
+def with_row_numbers(rows: DataFrame, batch: DataFrame) -> DataFrame:
+    """1-based row number per file for ``rows`` of ``batch``, without gathering a file in one task.
 
     A block is what one task reads of a file. Blocks are counted first (one small row per
     block); a row's number is its place within its block plus the rows of earlier blocks.
@@ -149,6 +150,6 @@ def with_row_numbers(batch: DataFrame) -> DataFrame:
         "file_path", "block_start",
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
-    return batch.join(offsets, ["file_path", "block_start"]).withColumn(
+    return rows.join(offsets, ["file_path", "block_start"]).withColumn(
         "row_num", F.col("seq") + F.col("_shift")
     ).drop("_shift")
