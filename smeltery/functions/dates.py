@@ -9,13 +9,11 @@ reach it and keeps out of the generated method of everybody else's rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smeltery.functions.text import is_null, ustrip
+from smeltery.functions.text import is_null, let, ustrip
 
 _ISO_COMMON = (
     r"^(?!0000)\d{4}-\d{2}-\d{2}"
@@ -39,11 +37,6 @@ _ISO_GENERAL = (
 )
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value`` with ``value`` computed once, outside the generated method."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _week_date(digits: Column) -> Column:
     """``yyyyww[d]`` to a date; null when the year has no such week."""
     year = F.left(digits, F.lit(4))
@@ -64,7 +57,7 @@ def _iso_date(text: Column) -> Column:
             ~text.startswith("0000"), dashed.try_cast("date")
         )
 
-    return _let(F.regexp_replace(text, "[-W]", ""), from_digits)
+    return let(F.regexp_replace(text, "[-W]", ""), from_digits)
 
 
 def _offset_seconds(text: Column) -> Column:
@@ -76,7 +69,7 @@ def _offset_seconds(text: Column) -> Column:
         seconds = parts[0] * 3600 + parts[1] * 60 + parts[2]
         return F.when(text.startswith("-"), -seconds).otherwise(seconds)
 
-    seconds = _let(F.regexp_replace(text, "[+:Z-]", ""), total)
+    seconds = let(F.regexp_replace(text, "[+:Z-]", ""), total)
     return F.when(F.abs(seconds) < 86400, seconds)
 
 
@@ -91,7 +84,7 @@ def _wall_clock(text: Column) -> Column:
             F.lit(":"), F.substring(hms, 5, 2), F.lit("."), F.substring(hms, 7, 6),
         ).try_cast("timestamp")
 
-    return _let(F.rpad(clock, 12, "0"), join)
+    return let(F.rpad(clock, 12, "0"), join)
 
 
 def _offset_of(text: Column) -> Column:
@@ -107,7 +100,7 @@ def _parse_iso(text: Column) -> Column:
     common = F.when(text.rlike(_ISO_COMMON), text)
     for pattern, rewrite in _ISO_REWRITES:
         common = common.when(text.rlike(pattern), F.regexp_replace(text, pattern, rewrite))
-    rare = F.when(text.isNotNull(), _let(text, _parse_rare))
+    rare = F.when(text.isNotNull(), let(text, _parse_rare))
     return F.coalesce(common.try_cast("timestamp"), rare)
 
 
@@ -156,9 +149,9 @@ def local_iso(col: Column) -> Column:
 
     def written(text: Column) -> Column:
         wall = _with_micros(F.translate(_wall_clock(text).cast("string"), " ", "T"))
-        return F.concat(wall, _let(_offset_of(text), zone))
+        return F.concat(wall, let(_offset_of(text), zone))
 
-    return F.when(col.isNotNull(), _let(col, written))
+    return F.when(col.isNotNull(), let(col, written))
 
 
 def bucket(unit: str, col: Column) -> Column:

@@ -10,26 +10,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smeltery.functions.text import is_null, normalize_text, ustrip
+from smeltery.functions.text import is_null, let, normalize_text, ustrip
 
 _DECIMAL_FLOAT = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 _NAN = r"^[+-]?nan$"
 _INFINITY = r"^[+-]?inf(?:inity)?$"
-_PLAIN_DECIMAL = r"^-?(?:\d+\.?\d*|\.\d+)$"
+_RARE_FLOAT = r"_|(?i:^[+-]?(?:nan|inf(?:inity)?)$)"
+_MONEY = r"^-?(?:\d+\.?\d*|\.\d+)$"
 _NOT_MONEY = r"[^\d,.\-]"
 
 
 def parse_float(col: Column) -> Column:
     """Double for every accepted spelling, null otherwise."""
-    text = F.regexp_replace(ustrip(col), r"(?<=\d)_(?=\d)", "")
-    lowered = F.lower(text)
+    text = ustrip(col)
+    return F.when(text.rlike(_DECIMAL_FLOAT), text.try_cast("double")).when(
+        text.rlike(_RARE_FLOAT), let(text, _parse_rare)
+    )
+
+
+def _parse_rare(text: Column) -> Column:
+    digits = F.regexp_replace(text, r"(?<=\d)_(?=\d)", "")
+    infinity = F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
     return (
-        F.when(text.rlike(_DECIMAL_FLOAT), text.try_cast("double"))
-        .when(lowered.rlike(_NAN), F.lit(float("nan")))
-        .when(
-            lowered.rlike(_INFINITY),
-            F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))),
-        )
+        F.when(digits.rlike(_DECIMAL_FLOAT), digits.try_cast("double"))
+        .when(F.lower(text).rlike(_NAN), F.lit(float("nan")))
+        .when(F.lower(text).rlike(_INFINITY), infinity)
     )
 
 
@@ -47,8 +52,7 @@ def normalize_int(col: Column, dtype: T.DataType | None = None) -> Column:
         return F.lit(None).cast("bigint")
     if isinstance(dtype, T.IntegralType):
         return col.cast("bigint")
-    number = normalize_float(col, dtype)
-    return F.when(~F.isnan(number), number.try_cast("bigint"))
+    return normalize_float(col, dtype).try_cast("bigint")
 
 
 def normalize_currency(
@@ -65,16 +69,22 @@ def normalize_currency(
         return col.try_cast(target)
     if isinstance(dtype, T.FractionalType):
         return col.cast("string").try_cast(target)
-    kept = F.regexp_replace(ustrip(col), _NOT_MONEY, "")
-    # One comma, at least one dot, and the comma after the last dot.
-    decimal_comma = kept.rlike(r"^[^,]*\.[^,]*,[^,.]*$")
-    several_dots = kept.rlike(r"\..*\.")
-    plain = (
-        F.when(decimal_comma, F.translate(kept, ",.", "."))
-        .when(several_dots, kept)
-        .otherwise(F.replace(kept, F.lit(","), F.lit("")))
+
+    def amount(kept: Column) -> Column:
+        # One comma, at least one dot, and the comma after the last dot.
+        decimal_comma = kept.rlike(r"^[^,]*\.[^,]*,[^,.]*$")
+        several_dots = kept.rlike(r"\..*\.")
+        plain = (
+            F.when(decimal_comma, F.translate(kept, ",.", "."))
+            .when(several_dots, kept)
+            .otherwise(F.replace(kept, F.lit(","), F.lit("")))
+        )
+        return let(plain, lambda text: F.when(text.rlike(_MONEY), text.try_cast(target)))
+
+    text = ustrip(col)
+    return F.when(text.rlike(_MONEY), text.try_cast(target)).when(
+        ~is_null(col), let(F.regexp_replace(text, _NOT_MONEY, ""), amount)
     )
-    return F.when(~is_null(col) & plain.rlike(_PLAIN_DECIMAL), plain.try_cast(target))
 
 
 def outlier_bounds(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,13 +11,20 @@ from pyspark.sql import functions as F
 WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0" + "".join(
     map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 )
-_SPACE_RUN = "[\\t\\n\\x0b\\x0c\\r\\x1c-\\x1f \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
+_NOT_BLANK = "".join(rf"\x{{{ord(c):x}}}" for c in WHITESPACE if c != " ")
+# Whitespace runs other than a single blank: the only ones a replacement would change.
+_SPACE_RUN = f"[{_NOT_BLANK}][ {_NOT_BLANK}]*| [ {_NOT_BLANK}]+"
 
 # Texts that mean "no value", compared after trimming and lower-casing.
 NULL_LITERALS = ("", "na", "n/a", "none", "null", "nil", "-", "--", "—")
 _LONGEST_LITERAL_BYTES = max(len(s.encode()) for s in NULL_LITERALS)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value`` with ``value`` computed once, outside the generated method."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def ustrip(col: Column) -> Column:
     """Trim Unicode whitespace on both sides (Spark's plain ``trim`` removes blanks only)."""
     return F.btrim(col, F.lit(WHITESPACE))

@@ -99,27 +99,33 @@ def before_after(
 ) -> DataFrame:
     """One row per key and field with the value before and after cleaning.
 
-    Both states come from the same input row, so no join is needed.
+    Both states come from the same input row, so no join is needed. They are computed in
+    a projection of their own; the step that makes one row per field only copies them.
     """
-
-    def after(name: str) -> Column:
-        if cfg.allowed_keys and name not in cfg.allowed_keys:
-            return F.lit(None).cast("string")
-        out, kind = cleaned_column(name, df.schema[name].dataType, cfg)
-        rule = cfg.outlier_rules.get(name)
-        if rule is not None:
-            out = outlier_bounds(out, kind, rule.min_value, rule.max_value)
-        return out.cast("string")
-
-    pairs = [
-        F.struct(
-            F.lit(name).alias("field"),
-            F.col(name).cast("string").alias("before"),
-            after(name).alias("after"),
+    hidden = cfg.allowed_keys and [f for f in fields if f not in cfg.allowed_keys]
+    kept = [f for f in fields if f not in (hidden or ())]
+    kinds, before, after = {}, [], []
+    for name in fields:
+        before.append(F.col(name).cast("string").alias(f"before_{name}"))
+        if name in kept:
+            out, kinds[name] = cleaned_column(name, df.schema[name].dataType, cfg)
+            after.append(out.alias(f"after_{name}"))
+    states = df.select(F.col(key).alias("_key"), *before, *after)
+    pairs = []
+    for name in fields:
+        value = F.lit(None)
+        if name in kept:
+            value, rule = F.col(f"after_{name}"), cfg.outlier_rules.get(name)
+            if rule is not None:
+                value = outlier_bounds(value, kinds[name], rule.min_value, rule.max_value)
+        pairs.append(
+            F.struct(
+                F.lit(name).alias("field"),
+                F.col(f"before_{name}").alias("before"),
+                value.cast("string").alias("after"),
+            )
         )
-        for name in fields
-    ]
-    return df.select(key, F.inline(F.array(*pairs)))
+    return states.select(F.col("_key").alias(key), F.inline(F.array(*pairs)))
 
 
 def to_silver(bronze: DataFrame, run_id: str | Column, cleaned_at: Column) -> DataFrame:

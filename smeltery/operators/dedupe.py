@@ -64,17 +64,25 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
 
 
 def fingerprint(columns: Sequence[str]) -> Column:
-    """Fixed-width digest of the columns; null and empty stay different."""
-    return F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in columns])), 256)
+    """Fixed-width digest of the columns; lengths keep neighbours apart, null is not empty."""
 
+    def part(name: str) -> Column:
+        text = F.col(name).cast("string")
+        return F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-"))
 
-def _spread_key(df: DataFrame) -> Column:
-    atomic = [
+    # Never null, which spares the join a null test that would compute the digest twice.
+    return F.coalesce(F.sha2(F.concat(*[part(c) for c in columns]), 256), F.lit(""))
+
+
+def _spread_key(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Differs between the copies of a group: a hash of the plain columns outside the group key."""
+    nested = (T.MapType, T.ArrayType, T.StructType)
+    others = [
         f.name
         for f in df.schema.fields
-        if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))
+        if f.name not in columns and not isinstance(f.dataType, nested)
     ]
-    return F.concat(F.lit("hot-"), F.xxhash64(*atomic).cast("string"))
+    return F.concat(F.lit("hot-"), F.xxhash64(*others or columns).cast("string"))
 
 
 def with_group_size(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
@@ -92,7 +100,7 @@ def with_group_size(df: DataFrame, columns: Sequence[str], name: str) -> DataFra
     rest = sizes.where(F.col("_n") * HOT_SHARE <= total)
     spread = (
         tagged.join(F.broadcast(hot.withColumnRenamed("_n", "_hot")), "_fp", "left")
-        .withColumn("_key", F.when(F.col("_hot").isNull(), F.col("_fp")).otherwise(_spread_key(df)))
+        .withColumn("_key", F.when(F.col("_hot").isNull(), F.col("_fp")).otherwise(_spread_key(df, columns)))
         .join(rest.select(F.col("_fp").alias("_key"), "_n"), "_key", "left")
     )
     return spread.withColumn(

@@ -36,6 +36,7 @@ FUTURE_SLACK = timedelta(minutes=5)
 STALE_AFTER = timedelta(days=30)
 VALUE_LIMIT = 1_000_000
 MAX_SEVERITY = 100
+DUPLICATE = "POSSIBLE_DUPLICATE_FINGERPRINT"
 FINGERPRINT = ("source", "source_id", "event_time", "category", "value")
 
 
@@ -115,33 +116,30 @@ def flag(
 ) -> DataFrame:
     """Rows with at least one flag, with ``severity``, ``flag_codes`` and ``flag_messages``.
 
-    ``concat_ws`` skips the rules that do not fire, so no array is built and the whole
-    evaluation stays in generated code.
+    Rules are evaluated once, below the join that counts fingerprints, and travel as one
+    bit mask; the filter above the join reads the mask only. Messages are written after it,
+    for flagged rows alone. ``concat_ws`` skips the rules that do not fire.
     """
     checks = list(rules(now))
-    fired = _inputs(fingerprint_counts(df)).withColumns(
-        {f"_x{i}": check.fires for i, check in enumerate(checks)}
+    below = [(i, c) for i, c in enumerate(checks) if c.code != DUPLICATE]
+    mask = sum(
+        (F.when(c.fires, F.lit(1 << i)).otherwise(F.lit(0)) for i, c in below), F.lit(0)
     )
-    flags = [(F.col(f"_x{i}"), check) for i, check in enumerate(checks)]
-    total = sum(
-        (F.when(on, F.lit(check.weight)).otherwise(F.lit(0)) for on, check in flags), F.lit(0)
-    )
-    any_flag = F.lit(False)
-    for on, _ in flags:
-        any_flag = any_flag | on
-    codes = F.concat_ws("|", *[F.when(on, F.lit(check.code)) for on, check in flags])
-    messages = F.concat_ws(
-        " || ",
-        *[
-            F.when(on, F.concat(F.lit(f"{check.code}: "), check.message))
-            for on, check in flags
-        ],
-    )
-    return fired.where(any_flag).select(
+    masked = _inputs(df).withColumn("_mask", mask).select(*df.columns, "_mask")
+    counted = with_group_size(masked, FINGERPRINT, "_copies")
+    flagged = _inputs(counted.where((F.col("_mask") != 0) | (F.col("_copies") > 1)))
+    fired = [
+        (F.col("_mask").bitwiseAND(F.lit(1 << i)) != 0 if c.code != DUPLICATE else c.fires, c)
+        for i, c in enumerate(checks)
+    ]
+    total = sum((F.when(on, F.lit(c.weight)).otherwise(F.lit(0)) for on, c in fired), F.lit(0))
+    codes = [F.when(on, F.lit(c.code)) for on, c in fired]
+    messages = [F.when(on, F.concat(F.lit(f"{c.code}: "), c.message)) for on, c in fired]
+    return flagged.select(
         *df.columns,
         F.least(F.lit(MAX_SEVERITY), total).cast("int").alias("severity"),
-        codes.alias("flag_codes"),
-        messages.alias("flag_messages"),
+        F.concat_ws("|", *codes).alias("flag_codes"),
+        F.concat_ws(" || ", *messages).alias("flag_messages"),
     )
 
 

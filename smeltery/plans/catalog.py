@@ -176,7 +176,8 @@ def _record_hashes(spark, sf_dir):
 @query("record_hash_text")
 def _record_hash_text(spark, sf_dir):
     """Hash over whole documents: line breaks, quotes and every script in the texts."""
-    docs = standin.table(spark, sf_dir, "documents")
+    docs = standin.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = standin.spread(docs, docs)
     at = F.lit(standin.NOW).cast("timestamp")
     return docs.select(
         "doc_id",
@@ -261,7 +262,8 @@ def _normalize_texts(spark, sf_dir):
     turns = standin.table(spark, sf_dir, "conversations").select(
         F.concat_ws("-", F.lit("turn"), "conv_id", "turn").alias("id"), "text"
     )
-    return docs.unionByName(turns).select("id", normalize_text(F.col("text")).alias("text"))
+    texts = standin.spread(docs.unionByName(turns), docs, turns)
+    return texts.select("id", normalize_text(F.col("text")).alias("text"))
 
 
 @query("normalize_category")
@@ -328,7 +330,7 @@ def _lines(spark: SparkSession, sf_dir: str, spelling: str) -> DataFrame:
     priced = standin.table(spark, sf_dir, "lineitem").selectExpr(
         *LINE, "l_quantity", "cast(l_extendedprice AS decimal(18,2)) AS price"
     )
-    return priced.selectExpr(*LINE, f"{spelling} AS written")
+    return standin.spread(priced, priced).selectExpr(*LINE, f"{spelling} AS written")
 
 
 @query("normalize_currency")
@@ -370,7 +372,8 @@ def _outlier_bound(spark, sf_dir):
 
 
 def _messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return standin.table(spark, sf_dir, "orders").selectExpr(
+    orders = standin.table(spark, sf_dir, "orders")
+    return standin.spread(orders, orders).selectExpr(
         "o_orderkey",
         "'  Order ' || chr(9) || ' ' || o_orderkey || '  ' AS title",
         "o_orderpriority AS category",
@@ -434,7 +437,8 @@ def _flagged(batch: DataFrame) -> DataFrame:
 
 @query("flags_report")
 def _flags_report(spark, sf_dir):
-    return flags.report(_flagged(standin.staged_batch(spark, sf_dir)))
+    # Staged, because a global sort reads its input twice: once to find the ranges.
+    return flags.report(stage(_flagged(standin.staged_batch(spark, sf_dir)), "flagged"))
 
 
 @query("flags_severity")

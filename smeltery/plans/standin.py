@@ -74,7 +74,15 @@ def raw_batch(spark: SparkSession, sf_dir: str, files: tuple[int, ...] = FILES)
         ),
         4: event_rows(signups, 4, "mirror", EVENT_CATEGORY, EVENT_VALUE),
     }
-    return reduce(DataFrame.unionByName, [frames[i] for i in files])
+    batch = reduce(DataFrame.unionByName, [frames[i] for i in files])
+    return spread(batch, events, orders)
+
+
+def spread(rows: DataFrame, *inputs: DataFrame) -> DataFrame:
+    """Use all cores when the inputs have fewer splits than that; large ones pass unshuffled."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    splits = sum(i.select(i.columns[0]).rdd.getNumPartitions() for i in inputs)
+    return rows.repartition(cores) if splits < cores else rows
 
 
 def with_id(df: DataFrame) -> DataFrame:
