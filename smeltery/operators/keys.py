@@ -50,17 +50,25 @@ def invalid_event_times(df: DataFrame) -> DataFrame:
 
 
 def contract_summary(keyed: DataFrame) -> DataFrame:
-    """One row: how many rows break which rule. A single pass, aggregated on the map side."""
+    """One row: how many rows break which rule, with an example of an unreadable event time.
+
+    ``keyed`` carries the payload, where the raw text is still found. A single pass,
+    aggregated on the map side.
+    """
+    raw = norm_str(F.col("payload")["event_time"])
+    unread = F.col("event_time").isNull()
+    invalid = unread & (raw != "")
     too_long = [
-        F.count_if(F.length(name) > limit).cast("bigint").alias(f"long_{name}")
+        F.count_if(F.length(name) > limit).alias(f"long_{name}")
         for name, limit in MAX_LENGTHS.items()
     ]
-    header_error = [F.min(c).alias(c) for c in ("header_error",) if c in keyed.columns]
     return keyed.agg(
         F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.col("event_time").isNull()).cast("bigint").alias("invalid_event_time"),
+        F.count_if(unread & (raw == "")).alias("missing_event_time"),
+        F.count_if(invalid).alias("invalid_event_time"),
+        F.min(F.when(invalid, raw)).alias("invalid_example"),
+        F.min("header_error").alias("header_error"),
         *too_long,
-        *header_error,
     )
 
 

@@ -41,6 +41,7 @@ class FlagResult:
     scanned: int
     flagged: int
     path: str
+    top: DataFrame
 
 
 def check_batch(staged: DataFrame) -> dict:
@@ -48,9 +49,14 @@ def check_batch(staged: DataFrame) -> dict:
     found = keys.contract_summary(staged).first().asDict()
     if found["header_error"]:
         raise keys.IngestionError(found["header_error"])
+    if found["missing_event_time"]:
+        raise keys.IngestionError(
+            f"event_time is required ({found['missing_event_time']} rows have none)"
+        )
     if found["invalid_event_time"]:
         raise keys.IngestionError(
-            f"event_time is required: {found['invalid_event_time']} rows are blank or not ISO-8601"
+            f"Invalid event_time format: {found['invalid_example']!r} "
+            f"({found['invalid_event_time']} rows in all)"
         )
     for name, limit in schemas.MAX_LENGTHS.items():
         if found[f"long_{name}"]:
@@ -204,7 +210,7 @@ def flag_report(
         run.fail(error)
         raise
     run.succeed(scanned, count)
-    return FlagResult(run.run_id, scanned, count, out)
+    return FlagResult(run.run_id, scanned, count, out, flags.top(flagged))
 
 
 def refresh(spark: SparkSession, lake: Lake, limit: int | None = 5000) -> DataFrame:

@@ -16,11 +16,16 @@ from smeltery.sources.batch import CSV_OPTIONS, check_headers
 from smeltery.sources.tables import Lake
 
 
-def source_stream(spark: SparkSession, folder: str, header: Sequence[str]) -> DataFrame:
+def source_stream(
+    spark: SparkSession, folder: str, header: Sequence[str], max_files: int | None = None
+) -> DataFrame:
     """New CSV files of ``folder``; all share ``header``, which Spark verifies per file."""
     check_headers(header)
     schema = T.StructType([T.StructField(name, T.StringType(), True) for name in header])
-    rows = spark.readStream.schema(schema).csv(folder, **{**CSV_OPTIONS, "enforceSchema": False})
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    rows = reader.csv(folder, **{**CSV_OPTIONS, "enforceSchema": False})
     payload = F.create_map(*[x for name in header for x in (F.lit(name), F.col(f"`{name}`"))])
     return rows.select(
         F.col("_metadata.file_path").alias("file_path"),
@@ -35,9 +40,9 @@ def source_stream(spark: SparkSession, folder: str, header: Sequence[str]) -> Da
 
 def ingest_stream(
     spark: SparkSession, lake: Lake, source: str, folder: str, checkpoint: str,
-    header: Sequence[str] = REQUIRED_COLUMNS,
+    header: Sequence[str] = REQUIRED_COLUMNS, max_files: int | None = None,
 ) -> StreamingQuery:
-    """Ingest what is new and stop.
+    """Ingest what is new, at most ``max_files`` files per micro-batch, and stop.
 
     A micro-batch that is replayed after a failure inserts nothing twice, because the sink
     inserts only keys that are absent.
@@ -49,7 +54,7 @@ def ingest_stream(
         ingest_frame(batch.sparkSession, lake, source, placed, f"{folder}#{batch_id}")
 
     return (
-        source_stream(spark, folder, header)
+        source_stream(spark, folder, header, max_files)
         .writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

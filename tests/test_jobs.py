@@ -98,7 +98,7 @@ def test_chain_failure_is_recorded(spark, lake, tmp_path):
         ("e.csv", [], r"Missing required columns"),
         ("x.txt", [HEADER], "Unsupported file type"),
         ("t.csv", [HEADER, "a,,1,c"], "event_time is required"),
-        ("u.csv", [HEADER, "a,yesterday,1,c"], "event_time is required"),
+        ("u.csv", [HEADER, "a,yesterday,1,c"], "Invalid event_time format: .yesterday."),
         ("l.csv", [HEADER, f"{'a' * 101},2026-01-01,1,c"], "source_id exceeds 100"),
     ],
 )
@@ -119,10 +119,6 @@ def test_header_only_file_is_an_empty_success(spark, lake, tmp_path):
 
 def test_first_file_wins_and_sources_stay_apart(spark, lake, tmp_path):
     one = write(tmp_path / "b one.csv", [HEADER + ",note", "a,2026-01-05T08:00:00+02:00, 10 ,Alpha,x"])
-    two = write(tmp_path / "a.csv", [
-        "category,value,event_time,source_id", " ALPHA ,10,2026-01-05T06:00:00Z,a",
-        '"be,ta","line\nbreak",2026-01-06,"say ""hi"""', "beta"])
-    # The last row is short: its event time is missing, so it must not be in this file.
     two = write(tmp_path / "a.csv", [
         "category,value,event_time,source_id", " ALPHA ,10,2026-01-05T06:00:00Z,a",
         '"be,ta","line\nbreak",2026-01-06,"say ""hi"""'])
@@ -177,3 +173,20 @@ def test_stream_sees_each_file_once(spark, lake, tmp_path):
     assert lake.read(spark, "raw_records").count() == 11
     runs = lake.read(spark, "pipeline_runs").orderBy("started_at").collect()
     assert [(r.records_in, r.records_out) for r in runs] == [(10, 10), (2, 1)]
+
+
+def test_short_rows_break_the_contract(spark, lake, tmp_path):
+    path = write(tmp_path / "s.csv", ["source_id,category,value,event_time", "a,c,1"])
+    with pytest.raises(IngestionError, match="event_time is required"):
+        jobs.ingest(spark, lake, "s", [path])
+
+
+def test_command_line(spark, lake, sample, tmp_path, capsys):
+    from smeltery.__main__ import main
+
+    main(["--lake", lake.root, "ingest", "--source", "cli", sample])
+    main(["--lake", lake.root, "clean", "--limit", "0"])
+    main(["--lake", lake.root, "runs"])
+    shown = capsys.readouterr().out
+    assert "inserted_records=10" in shown and "Silver rows: 10" in shown
+    assert "ingest" in shown and "succeeded" in shown
