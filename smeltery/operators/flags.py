@@ -113,9 +113,14 @@ def flag(
     df: DataFrame,
     now: datetime,
     rules: Callable[[datetime], Sequence[Rule]] = default_rules,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Rows with at least one flag, with ``severity``, ``flag_codes`` and ``flag_messages``.
 
+    ``unique_keys`` states that no two rows share source and record hash, as in the bronze
+    table. The hash covers the other fingerprint fields, so no fingerprint repeats either
+    and nothing has to be counted: flagging is then a scan without any shuffle.
+
     Rules are evaluated once, below the join that counts fingerprints, and travel as one
     bit mask; the filter above the join reads the mask only. Messages are written after it,
     for flagged rows alone. ``concat_ws`` skips the rules that do not fire.
@@ -126,7 +131,10 @@ def flag(
         (F.when(c.fires, F.lit(1 << i)).otherwise(F.lit(0)) for i, c in below), F.lit(0)
     )
     masked = _inputs(df).withColumn("_mask", mask).select(*df.columns, "_mask")
-    counted = with_group_size(masked, FINGERPRINT, "_copies")
+    if unique_keys:
+        counted = masked.withColumn("_copies", F.lit(1).cast("bigint"))
+    else:
+        counted = with_group_size(masked, FINGERPRINT, "_copies")
     flagged = _inputs(counted.where((F.col("_mask") != 0) | (F.col("_copies") > 1)))
     fired = [
         (F.col("_mask").bitwiseAND(F.lit(1 << i)) != 0 if c.code != DUPLICATE else c.fires, c)

@@ -47,31 +47,51 @@ def within(df: DataFrame, start: date | None, end: date | None, unit: str) -> Da
     return df
 
 
+def _distincts(*names: str) -> list[Column]:
+    plural = {"source_id": "source_ids", "source": "sources", "category": "categories"}
+    return [F.count_distinct(name).alias(f"distinct_{plural[name]}") for name in names]
+
+
 def _rollup(
-    df: DataFrame, name: str, unit: str, record_key: Sequence[str], unique_keys: bool = False
+    df: DataFrame, name: str, unit: str, record_key: Sequence[str],
+    unique_keys: bool = False, two_scans: bool = False,
 ) -> DataFrame:
+    """Counts per bucket.
+
+    By default one pass counts everything: Spark expands each row once per distinct count.
+    ``two_scans`` is for stored tables: rows are first merged per bucket, source, category
+    and source id, which shrinks them to what the narrow counts need, and only the record
+    key, nearly unique, is shuffled at full length, in a scan of its own two columns.
+    """
     day = bucket(unit, F.col("event_time")).alias(name)
     record = F.col(record_key[0]) if len(record_key) == 1 else F.struct(*record_key)
+    dims = ("source_id", "source", "category")
     rows = F.count(F.lit(1))
+    if two_scans and not unique_keys:
+        merged = df.groupBy(day, *dims).agg(rows.alias("_rows"))
+        by_dims = merged.groupBy(name).agg(
+            F.sum("_rows").cast("bigint").alias("total_records"), *_distincts(*dims)
+        )
+        by_key = df.groupBy(day).agg(F.count_distinct(record).alias("distinct_records"))
+        return by_dims.join(by_key, name).select(name, *MEASURES)
     return (
-        df.select(day, "source", "category", "source_id", "record_hash")
+        df.select(day, *dims, "record_hash")
         .groupBy(name)
         .agg(
             rows.alias("total_records"),
             (rows if unique_keys else F.count_distinct(record)).alias("distinct_records"),
-            F.count_distinct("source_id").alias("distinct_source_ids"),
-            F.count_distinct("source").alias("distinct_sources"),
-            F.count_distinct("category").alias("distinct_categories"),
+            *_distincts(*dims),
         )
     )
 
 
 def monthly_metrics(
-    silver: DataFrame, start: date | None = None, end: date | None = None
+    silver: DataFrame, start: date | None = None, end: date | None = None,
+    two_scans: bool = False,
 ) -> DataFrame:
     """Monthly rollup of silver; a record is its hash, whichever source it came from."""
     dated = within(silver.where(F.col("event_time").isNotNull()), start, end, "month")
-    return _rollup(dated, "month_start", "month", ("record_hash",))
+    return _rollup(dated, "month_start", "month", ("record_hash",), two_scans=two_scans)
 
 
 def daily_metrics(

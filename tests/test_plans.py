@@ -45,6 +45,26 @@ def test_unique_keys_spare_the_hash_column(spark, stored):
     assert sorted(map(tuple, short.collect())) == sorted(map(tuple, rollup.daily_metrics(raw).collect()))
 
 
+def test_two_scans_count_the_same_from_pruned_reads(spark, stored):
+    raw = stored.read(spark, "raw_records")
+    one, two = rollup.monthly_metrics(raw), rollup.monthly_metrics(raw, two_scans=True)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.select(*one.columns).collect()))
+    scans = [line for line in plan_of(two).splitlines() if "FileScan" in line]
+    assert len(scans) == 2
+    assert sorted("record_hash" in line for line in scans) == [False, True]
+    assert sorted("source_id" in line for line in scans) == [False, True]
+
+
+def test_unique_rows_are_flagged_without_a_shuffle(spark, stored):
+    now = datetime(2026, 6, 1, tzinfo=timezone.utc)
+    raw = stored.read(spark, "raw_records")
+    scan = flags.flag(raw, now, unique_keys=True)
+    assert "Exchange" not in plan_of(scan)
+    pick = ("id", "severity", "flag_codes", "flag_messages")
+    one, two = (set(map(tuple, d.select(*pick).collect())) for d in (scan, flags.flag(raw, now)))
+    assert one == two and one
+
+
 def test_small_batch_scans_but_never_shuffles_the_table(spark, stored):
     raw = stored.read(spark, "raw_records")
     batch = raw.limit(20).select("source", "record_hash").union(
