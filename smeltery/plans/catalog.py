@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
@@ -95,7 +96,8 @@ def _latest_month(spark, sf_dir):
 
 
 def _trend(spark: SparkSession, sf_dir: str, granularity: str, metric: str) -> DataFrame:
-    daily = rollup.daily_metrics(standin.bronze(spark, sf_dir), *TREND)
+    # Bronze keys are unique, which spares the distinct count of the hashes.
+    daily = rollup.daily_metrics(standin.bronze(spark, sf_dir), *TREND, unique_keys=True)
     return rollup.trend(daily, *TREND, granularity, metric)
 
 
@@ -126,8 +128,8 @@ def _trend_share_of_max(spark, sf_dir):
 def _scan_csv_contract(spark, sf_dir):
     """Source rows written as CSV files to the shared folder and read back as a batch."""
     raw = standin.raw_batch(spark, sf_dir, (1, 2))
-    folder = f"{checkpoint_root(spark)}/csv-{spark.sparkContext.applicationId}-{id(raw)}"
-    raw.select("source_id", "event_time", "value", "category").write.mode("overwrite").csv(
+    folder = f"{checkpoint_root(spark)}/csv-{uuid.uuid4().hex}"
+    raw.select("source_id", "event_time", "value", "category").write.csv(
         folder, header=True, quote='"', escape='"',
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )

@@ -73,7 +73,7 @@ def insert_batch(
     first = dedupe.keep_first(staged, PLACE)
     months = tables.touched_months(staged)
     # Equal keys share an event month, so only those months of the table can hold them.
-    stored = lake.read(spark, "raw_records").where(F.col("event_month").isin(months))
+    stored = lake.read_months(spark, "raw_records", months)
     fresh = dedupe.new_only(first, stored)
     numbered = with_row_numbers(fresh, staged)
     return tables.append(

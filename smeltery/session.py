@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -36,10 +35,10 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only when none is set (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = os.path.join(tempfile.gettempdir(), "smeltery-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="smeltery-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 

@@ -53,7 +53,7 @@ def upsert_by_month(
     months = touched_months(incoming)
     if not months:
         return
-    existing = lake.read(spark, table).where(F.col(MONTH).isin(months))
+    existing = lake.read_months(spark, table, months)
     merged = stage(upsert(existing, _conform(incoming, table), (MONTH, *keys), keep), table)
     (
         merged.select(*[f.name for f in TABLES[table].fields])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -32,19 +33,29 @@ class Lake:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def exists(self, spark: SparkSession, table: str) -> bool:
-        try:
-            spark.read.schema(TABLES[table]).parquet(self.path(table))
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
-        return True
-
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         """The table, empty when nothing has been written yet."""
-        if self.exists(spark, table):
-            return spark.read.schema(TABLES[table]).parquet(self.path(table))
+        return _read_or_empty(spark, table, self.path(table), self.path(table))
+
+    def read_months(self, spark: SparkSession, table: str, months: Sequence[date]) -> DataFrame:
+        """Only the given months of a month-partitioned table.
+
+        The other months' folders are not even listed, so looking up a batch costs what its
+        months hold, however many files the whole table has.
+        """
+        if not months:
+            return spark.createDataFrame([], TABLES[table])
+        chosen = ",".join(sorted(str(month) for month in months))
+        folders = f"{self.path(table)}/event_month={{{chosen}}}"
+        return _read_or_empty(spark, table, folders, self.path(table))
+
+
+def _read_or_empty(spark: SparkSession, table: str, path: str, base: str) -> DataFrame:
+    try:
+        return spark.read.schema(TABLES[table]).option("basePath", base).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], TABLES[table])
 
 

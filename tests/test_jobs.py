@@ -115,6 +115,8 @@ def test_header_only_file_is_an_empty_success(spark, lake, tmp_path):
     done = jobs.ingest(spark, lake, "s", [write(tmp_path / "h.csv", [HEADER])])
     assert (done.total_records, done.inserted_records) == (0, 0)
     assert list(done.per_file.values()) == [0]
+    assert lake.read(spark, "raw_records").count() == 0
+    assert jobs.refresh_clean(spark, lake) == 0
 
 
 def test_first_file_wins_and_sources_stay_apart(spark, lake, tmp_path):
@@ -159,6 +161,14 @@ def test_upsert_touches_only_its_months(spark, lake, tmp_path):
     assert rows["b"].category == "X" and str(rows["b"].value_decimal) == "2.5000"
 
 
+def test_lookup_reads_only_the_batch_months(spark, lake, tmp_path):
+    lines = [HEADER] + [f"a,2026-{m:02d}-03,1,c" for m in range(1, 7)]
+    jobs.ingest(spark, lake, "s", [write(tmp_path / "1.csv", lines)])
+    some = lake.read_months(spark, "raw_records", [date(2026, 2, 1), date(2026, 9, 1)])
+    assert len(some.inputFiles()) == 1 and some.first().event_month == date(2026, 2, 1)
+    assert lake.read_months(spark, "raw_records", [date(2030, 1, 1)]).isEmpty()
+
+
 def test_stream_sees_each_file_once(spark, lake, tmp_path):
     from smeltery.streaming.discovery import ingest_stream
 
