@@ -39,6 +39,11 @@ def project_allowed_map(payload: Column, allowed: Iterable[str] | None) -> Colum
     return F.map_filter(payload, lambda k, _: k.isin(*wanted)) if wanted else payload
 
 
+def null_literals_in_map(payload: Column) -> Column:
+    """Null-literal rule for every value of a payload map."""
+    return F.transform_values(payload, lambda _, value: null_literals_to_null(value))
+
+
 def _as_text(col: Column, dtype: T.DataType) -> Column:
     return col if isinstance(dtype, T.StringType) else col.cast("string")
 

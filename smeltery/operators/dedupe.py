@@ -26,15 +26,20 @@ def keep_first(df: DataFrame, order: Sequence[str], keys: Sequence[str] = KEY) -
     return df.withColumn("_rn", F.row_number().over(by_key)).where("_rn = 1").drop("_rn")
 
 
-def new_only(batch: DataFrame, existing: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+def new_only(
+    batch: DataFrame, existing: DataFrame, keys: Sequence[str] = KEY,
+    probe: DataFrame | None = None,
+) -> DataFrame:
     """Rows of ``batch`` (unique keys) whose key is not in ``existing``.
 
     The stored keys are first reduced to those that occur in the batch. For a small
     batch Spark broadcasts the batch's keys and the stored table is only scanned, never
     shuffled; for a large one both sides are hashed on the key and the anti join reuses
-    that partitioning.
+    that partitioning. ``probe`` may name a cheaper frame that holds the batch's keys,
+    such as the staged rows before dedupe; their copies are merged on the map side.
     """
-    seen = existing.select(*keys).join(batch.select(*keys), list(keys), "left_semi")
+    asked = (batch if probe is None else probe).select(*keys).distinct()
+    seen = existing.select(*keys).join(asked, list(keys), "left_semi")
     return batch.join(seen, list(keys), "left_anti")
 
 

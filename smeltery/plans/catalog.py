@@ -143,7 +143,7 @@ def _scan_csv_contract(spark, sf_dir):
 
 @query("latest_n_raw")
 def _latest_n_raw(spark, sf_dir):
-    newest = latest_n(standin.bronze(spark, sf_dir), 5000)
+    newest = latest_n(standin.first_rows(standin.staged_batch(spark, sf_dir)), 5000)
     return newest.select("id", "source", "record_hash", "row_num")
 
 
@@ -202,15 +202,17 @@ def _dedupe_keep_first(spark, sf_dir):
 def _ingest_new_only(spark, sf_dir):
     batch = standin.staged_batch(spark, sf_dir)
     stored = standin.first_rows(batch, (1, 2))
-    fresh = dedupe.new_only(standin.first_rows(batch), stored)
+    fresh = dedupe.new_only(standin.first_rows(batch), stored, probe=batch)
     return fresh.select("source", "record_hash", "file_ord", "row_num")
 
 
 @query("ingest_idempotent_replay")
 def _ingest_idempotent_replay(spark, sf_dir):
     """First run, then the same batch again: the second run finds nothing to insert."""
-    stored = stage(standin.bronze(spark, sf_dir).select(*dedupe.KEY), "stored")
-    replay = dedupe.new_only(standin.bronze(spark, sf_dir).select(*dedupe.KEY), stored)
+    batch = standin.staged_batch(spark, sf_dir)
+    stored = stage(standin.first_rows(batch).select(*dedupe.KEY), "stored")
+    again = standin.first_rows(batch).select(*dedupe.KEY)
+    replay = dedupe.new_only(again, stored, probe=batch)
     counted = stored.selectExpr("source", "1 AS stored", "0 AS again").unionByName(
         replay.selectExpr("source", "0 AS stored", "1 AS again")
     )

@@ -74,7 +74,7 @@ def insert_batch(
     months = tables.touched_months(staged)
     # Equal keys share an event month, so only those months of the table can hold them.
     stored = lake.read_months(spark, "raw_records", months)
-    fresh = dedupe.new_only(first, stored)
+    fresh = dedupe.new_only(first, stored, probe=staged)
     numbered = with_row_numbers(fresh, staged)
     return tables.append(
         lake,
@@ -129,7 +129,7 @@ def ingest(
     input_ref = ",".join(paths)
     try:
         batch, files = read_batch(spark, paths, multi_line)
-    except keys.IngestionError as error:
+    except Exception as error:
         run = RunLog(spark, lake, "ingest", input_ref)
         run.steps.append(("parse", "failed", 0, {"error": str(error)}))
         _ingest_run(spark, lake, run, source, paths, "failed", str(error), utc_now())

@@ -97,6 +97,7 @@ def test_chain_failure_is_recorded(spark, lake, tmp_path):
          r"Missing required columns: \['category'\]"),
         ("e.csv", [], r"Missing required columns"),
         ("x.txt", [HEADER], "Unsupported file type"),
+        ("X.TXT", [HEADER], "Unsupported file type: .*X.TXT"),
         ("t.csv", [HEADER, "a,,1,c"], "event_time is required"),
         ("u.csv", [HEADER, "a,yesterday,1,c"], "Invalid event_time format: .yesterday."),
         ("l.csv", [HEADER, f"{'a' * 101},2026-01-01,1,c"], "source_id exceeds 100"),

@@ -12,7 +12,13 @@ from pyspark.sql import types as T
 
 from smeltery import CleaningConfig, OutlierRule
 from smeltery.functions import dates, hashing, numbers, text
-from smeltery.operators.clean import before_after, clean, project_allowed
+from smeltery.operators.clean import (
+    before_after,
+    clean,
+    null_literals_in_map,
+    project_allowed,
+    project_allowed_map,
+)
 
 
 def run(spark, values, build, dtype="string"):
@@ -28,6 +34,14 @@ def test_null_literals(spark):
     assert run(spark, [" x ", " N/A "], text.null_literals_to_null) == [" x ", None]
 
 
+def test_payload_maps(spark):
+    payloads = [{"a": " N/A ", "b": " x "}, {"b": None}]
+    kind = "map<string,string>"
+    assert run(spark, payloads, null_literals_in_map, kind) == [{"a": None, "b": " x "}, {"b": None}]
+    assert run(spark, payloads, lambda c: project_allowed_map(c, {"a"}), kind) == [{"a": " N/A "}, {}]
+    assert run(spark, payloads, lambda c: project_allowed_map(c, None), kind) == payloads
+
+
 def test_text_and_category(spark):
     cases = ["  hello   world ", "   ", None, "a\t\xa0\n b", "\x1cx\x85y　"]
     assert run(spark, cases, text.normalize_text) == ["hello world", None, None, "a b", "x y"]
