@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from smeltery.llm import sql
+from smeltery.llm.bpe import encode
 from smeltery.llm.common import documents
 from smeltery.llm.quality import quality
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file; every node has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), ["doc_id"],
+                  ["n_tokens", "ids_sha256", "decoded_sha256"])
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_quality_rules)}
 ORACLE = {"op3_quality_rules": sql.QUALITY}
