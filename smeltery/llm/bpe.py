@@ -18,7 +18,7 @@ from functools import lru_cache
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from smeltery.llm.common import text_of
 from smeltery.llm.merges import Merges
@@ -109,8 +109,8 @@ def coder(path: str) -> WordCoder:
     return WordCoder(path)
 
 
-FIELDS = {"n_tokens": ("bigint", pa.int64()), "ids_sha256": ("string", pa.string()),
-          "decoded_sha256": ("string", pa.string()), "ids": ("array<int>", pa.list_(pa.int32())), "decoded": ("string", pa.string())}
+FIELDS = {"n_tokens": (T.LongType(), pa.int64()), "ids_sha256": (T.StringType(), pa.string()),
+          "decoded_sha256": (T.StringType(), pa.string()), "ids": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())), "decoded": (T.StringType(), pa.string())}
 GROUP_CHARS = 4_000_000  # of texts encoded together
 
 
@@ -128,8 +128,7 @@ def groups(texts: list[str]):
 def encode(docs: DataFrame, path: str, keep: list[str], fields: list[str]) -> DataFrame:
     """The ``keep`` columns and of each text the ``fields``: ids, decoded text, their count and digests."""
     source = docs.select(*[F.col(f"`{c}`") for c in keep], text_of().alias("_text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
-                       + [f"{k} {FIELDS[k][0]}" for k in fields])
+    schema = T.StructType([*source.schema.fields[:-1], *[T.StructField(k, FIELDS[k][0]) for k in fields]])
 
     def run(batches):
         own = coder(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -33,5 +34,17 @@ def text_key(text: Column) -> list[Column]:
             F.octet_length(text).cast("long").alias("_len")]
 
 
+def reach_package(spark) -> None:
+    """Lets Python workers of this machine import the package, wherever the session was started.
+
+    On a cluster the package travels as usual (``--py-files`` or an installed wheel).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
+    reach_package(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

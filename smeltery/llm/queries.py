@@ -8,6 +8,7 @@ from smeltery.llm import sql
 from smeltery.llm.bpe import encode
 from smeltery.llm.common import documents
 from smeltery.llm.quality import quality
+from smeltery.llm.simhash import near_duplicates
 
 
 def vocabulary(name: str) -> str:
@@ -26,5 +27,9 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_quality_rules)}
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_quality_rules, op8_simhash)}
 ORACLE = {"op3_quality_rules": sql.QUALITY}
