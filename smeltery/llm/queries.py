@@ -9,6 +9,7 @@ from smeltery.llm.bpe import encode
 from smeltery.llm.common import documents
 from smeltery.llm.quality import quality
 from smeltery.llm.simhash import near_duplicates
+from smeltery.llm.token_counts import token_counts
 
 
 def vocabulary(name: str) -> str:
@@ -27,9 +28,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(documents(spark, sf_dir))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_quality_rules, op8_simhash)}
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_quality_rules, op4_token_counts, op8_simhash)}
 ORACLE = {"op3_quality_rules": sql.QUALITY}
