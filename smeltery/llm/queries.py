@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from smeltery.llm import sql
 from smeltery.llm.bpe import encode
 from smeltery.llm.common import documents
+from smeltery.llm.line_dedup import line_counts
 from smeltery.llm.quality import quality
 from smeltery.llm.simhash import near_duplicates
 from smeltery.llm.token_counts import token_counts
@@ -19,6 +20,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_counts(documents(spark, sf_dir))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), ["doc_id"],
                   ["n_tokens", "ids_sha256", "decoded_sha256"])
@@ -36,5 +41,5 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_quality_rules, op4_token_counts, op8_simhash)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op3_quality_rules, op4_token_counts, op8_simhash)}
 ORACLE = {"op3_quality_rules": sql.QUALITY}
