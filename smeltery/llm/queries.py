@@ -8,6 +8,7 @@ from smeltery.llm import sql
 from smeltery.llm.bpe import encode
 from smeltery.llm.common import documents
 from smeltery.llm.line_dedup import line_counts
+from smeltery.llm.mixing import mix
 from smeltery.llm.quality import quality
 from smeltery.llm.simhash import near_duplicates
 from smeltery.llm.token_counts import token_counts
@@ -41,5 +42,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op3_quality_rules, op4_token_counts, op8_simhash)}
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op3_quality_rules, op4_token_counts, op8_simhash, op10_mixing)}
 ORACLE = {"op3_quality_rules": sql.QUALITY}
