@@ -10,6 +10,7 @@ from smeltery.llm.common import documents
 from smeltery.llm.line_dedup import line_counts
 from smeltery.llm.mixing import mix
 from smeltery.llm.quality import quality
+from smeltery.llm.sharding import shards
 from smeltery.llm.simhash import near_duplicates
 from smeltery.llm.token_counts import token_counts
 
@@ -42,9 +43,13 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(documents(spark, sf_dir))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op3_quality_rules, op4_token_counts, op8_simhash, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op3_quality_rules, op4_token_counts, op8_simhash, op9_sharding, op10_mixing)}
 ORACLE = {"op3_quality_rules": sql.QUALITY}
