@@ -21,6 +21,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from smeltery.llm.common import text_of
+from smeltery.llm.letters import LetterGuard
 from smeltery.llm.merges import Merges
 
 # The word pattern of the vocabulary file.
@@ -38,8 +39,7 @@ class WordCoder:
         self.names = {i: t for t, i in self.special.items()}
         self.library = Tokenizer.from_file(path)
         self.bytes_of = {c: b for b, c in enumerate(self.merges.letters)}
-        self.letters_asked: set[str] = set()
-        self.odd_letters: set[str] = set()
+        self.guard = LetterGuard(self.by_pattern, self.by_library)
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         # Words seen lately and, to be taken over when they come again, those seen before.
         self.seen: dict[str, tuple[bytes, str]] = {}
@@ -54,13 +54,7 @@ class WordCoder:
         return self.plain(text)
 
     def plain(self, text: str) -> list[str]:
-        if not text.isascii():
-            if new := set(text) - self.letters_asked:
-                self.letters_asked |= new
-                self.odd_letters |= {c for c in new if not c.isascii() and self.differs(c)}
-            if self.odd_letters and not self.odd_letters.isdisjoint(text):
-                return self.by_library(text)
-        return self.by_pattern(text)
+        return self.by_pattern(text) if self.guard.trusts(text) else self.by_library(text)
 
     @staticmethod
     def by_pattern(text: str) -> list[str]:
@@ -74,10 +68,6 @@ class WordCoder:
         cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
         return [bytes([self.bytes_of[c] for c in piece]).decode("utf-8") for piece, _ in cut]
 
-    def differs(self, letter: str) -> bool:
-        probe = f"a{letter}1{letter}{letter} {letter}!{letter}"
-        return self.by_pattern(probe) != self.by_library(probe)
-
     def learn(self, docs: list[list[str]]) -> dict[str, tuple[bytes, str]]:
         """What all words of these documents encode and decode to."""
         distinct = set().union(*docs)

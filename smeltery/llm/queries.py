@@ -13,6 +13,7 @@ from smeltery.llm.quality import quality
 from smeltery.llm.sharding import shards
 from smeltery.llm.simhash import near_duplicates
 from smeltery.llm.token_counts import token_counts
+from smeltery.llm.token_files import digests
 
 
 def vocabulary(name: str) -> str:
@@ -39,6 +40,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -51,5 +56,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op3_quality_rules, op4_token_counts, op8_simhash, op9_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op3_quality_rules, op4_token_counts, op5_token_files, op8_simhash, op9_sharding, op10_mixing)}
 ORACLE = {"op3_quality_rules": sql.QUALITY}
