@@ -6,14 +6,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from smeltery.llm.bpe import encode
+from smeltery.llm.common import reach_package
+from smeltery.llm.line_dedup import without_repeated_lines
+from smeltery.llm.mixing import mixed
 from smeltery.llm.quality import keep_good
+from smeltery.llm.queries import vocabulary
+from smeltery.llm.simhash import one_of_each
 from smeltery.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the rules go."""
+    return keep_good(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that stand earlier, or nearly so, go; no document does."""
+    return without_repeated_lines(docs)
+
+
+def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    reach_package(spark)
+    return one_of_each(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources come near their target weights; a document has a row for each copy."""
+    return mixed(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, and digests of them and of the text that they decode to."""
+    reach_package(spark)
+    return encode(docs, vocabulary("word_bpe_49k.json"), ["doc_id", "lang", "source"], ["n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality", lambda spark, docs, sf_dir: keep_good(docs)),
+    ("quality_rules", quality_rules), ("line_dedup", line_dedup), ("simhash", simhash), ("mixing", mixing), ("bpe", token_ids),
 ]
+# The fingerprints' hash and the tokenizer have no SQL form.
 ORACLE_SQL = None
 
 
