@@ -10,6 +10,7 @@ from smeltery.llm.common import documents, reach_package
 from smeltery.llm.line_dedup import line_counts
 from smeltery.llm.mixing import mix
 from smeltery.llm.nearest import neighbours_of_sample
+from smeltery.llm.pii import personal_data
 from smeltery.llm.quality import quality
 from smeltery.llm.sharding import shards
 from smeltery.llm.simhash import near_duplicates
@@ -45,6 +46,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(documents(spark, sf_dir))
+
+
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     reach_package(spark)
     return neighbours_of_sample(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -62,5 +67,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op3_quality_rules, op4_token_counts, op5_token_files, op7_nearest, op8_simhash, op9_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op3_quality_rules, op4_token_counts, op5_token_files, op6_personal_data, op7_nearest, op8_simhash, op9_sharding, op10_mixing)}
 ORACLE = {"op3_quality_rules": sql.QUALITY}
