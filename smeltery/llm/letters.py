@@ -11,7 +11,7 @@ class LetterGuard:
     A letter is asked once, in all contexts that the patterns distinguish.
     """
 
-    def __init__(self, ours: Callable[[str], list[str]], library: Callable[[str], list[str]]):
+    def __init__(self, ours: Callable[[str], list], library: Callable[[str], list]):
         self.ours, self.library = ours, library
         self.asked: set[str] = set()
         self.odd: set[str] = set()
