@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import argparse
+from datetime import date
 
-from smeltery import build_session
-from smeltery.operators import ledger
+from pyspark.sql import DataFrame
+
+from smeltery import build_session, schemas
+from smeltery.operators import ledger, rollup
 from smeltery.plans import jobs
 from smeltery.sources.tables import Lake
 
@@ -21,15 +24,30 @@ def parser() -> argparse.ArgumentParser:
         if name == "demo":
             command.add_argument("--out", required=True)
     clean = commands.add_parser("clean")
-    clean.add_argument("--limit", type=int, default=5000, help="0 means all rows")
+    clean.add_argument("--limit", type=int, help="so many of the newest rows; default: all not yet cleaned")
+    clean.add_argument("--everything", action="store_true", help="clean all rows anew")
     commands.add_parser("metrics")
+    for name in ("monthly", "trend"):
+        command = commands.add_parser(name)
+        command.add_argument("--start", type=date.fromisoformat)
+        command.add_argument("--end", type=date.fromisoformat)
+        if name == "trend":
+            command.add_argument("--by", choices=rollup.GRANULARITIES, default="day")
+            command.add_argument("--metric", choices=schemas.MEASURES, default="total_records")
     flags = commands.add_parser("flags")
-    flags.add_argument("--limit", type=int, default=5000, help="0 means all rows")
+    flags.add_argument("--limit", type=int, help="so many of the newest rows; default: all")
     flags.add_argument("--out", required=True)
     commands.add_parser("runs")
     return top
 
 
+def print_all(rows: DataFrame) -> None:
+    """Every row, a line each; rows come to the driver one partition at a time."""
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark, lake = build_session(), Lake(args.lake)
@@ -37,15 +55,21 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "ingest":
         print(jobs.ingest(spark, lake, args.source, args.paths))
     elif args.command == "clean":
-        print(f"Silver rows: {jobs.refresh_clean(spark, lake, limit)}")
+        print(f"Silver rows: {jobs.refresh_clean(spark, lake, limit, args.everything)}")
     elif args.command == "metrics":
-        jobs.refresh_metrics(spark, lake).orderBy("month_start").show(truncate=False)
+        print_all(jobs.refresh_metrics(spark, lake).orderBy("month_start"))
+    elif args.command == "monthly":
+        print_all(rollup.monthly_slice(lake.read(spark, "monthly_metrics"), args.start, args.end))
+    elif args.command == "trend":
+        opening = rollup.last_days(date.today())
+        span = args.start or opening[0], args.end or opening[1]
+        print_all(rollup.trend(lake.read(spark, "daily_metrics"), *span, args.by, args.metric))
     elif args.command == "flags":
         done = jobs.flag_report(spark, lake, args.out, limit)
-        print(f"Flagged records: {done.flagged} / {done.scanned}\nWrote: {done.path}")
+        print(f"{done.scanned} records scanned, {done.flagged} flagged, report in {done.path}")
         done.top.show(truncate=False)
     elif args.command == "runs":
-        ledger.recent_runs(lake.read(spark, "pipeline_runs")).show(truncate=False)
+        print_all(ledger.recent_runs(ledger.current(lake.read(spark, "pipeline_runs"))))
     else:
         print(jobs.run_all(spark, lake, args.source, args.paths, args.out))
 

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import window as W
 
 KEY = ("source", "record_hash")
@@ -79,15 +78,9 @@ def fingerprint(columns: Sequence[str]) -> Column:
     return F.coalesce(F.sha2(F.concat(*[part(c) for c in columns]), 256), F.lit(""))
 
 
-def _spread_key(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Differs between the copies of a group: a hash of the plain columns outside the group key."""
-    nested = (T.MapType, T.ArrayType, T.StructType)
-    others = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in columns and not isinstance(f.dataType, nested)
-    ]
-    return F.concat(F.lit("hot-"), F.xxhash64(*others or columns).cast("string"))
+def _spread_key() -> Column:
+    """Differs between all rows; it matches no digest, so it only decides where a row goes."""
+    return F.concat(F.lit("hot-"), F.monotonically_increasing_id().cast("string"))
 
 
 def with_group_size(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
@@ -105,7 +98,7 @@ def with_group_size(df: DataFrame, columns: Sequence[str], name: str) -> DataFra
     rest = sizes.where(F.col("_n") * HOT_SHARE <= total)
     spread = (
         tagged.join(F.broadcast(hot.withColumnRenamed("_n", "_hot")), "_fp", "left")
-        .withColumn("_key", F.when(F.col("_hot").isNull(), F.col("_fp")).otherwise(_spread_key(df, columns)))
+        .withColumn("_key", F.when(F.col("_hot").isNull(), F.col("_fp")).otherwise(_spread_key()))
         .join(rest.select(F.col("_fp").alias("_key"), "_n"), "_key", "left")
     )
     return spread.withColumn(

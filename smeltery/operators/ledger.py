@@ -15,6 +15,13 @@ RUN_COLUMNS = (
 )
 
 
+def current(runs: DataFrame) -> DataFrame:
+    """The last row of each run: its end, or its start where it hasn't ended."""
+    ended = F.col("finished_at").isNotNull()
+    by_end = F.max_by(F.struct(*runs.columns), ended.cast("int")).alias("_run")
+    return runs.groupBy(F.col("id").alias("_id")).agg(by_end).select("_run.*")
+
+
 def run_rollup(runs: DataFrame, since: datetime) -> DataFrame:
     """Records in and out of the chained stages since a moment; one row, zeros when empty."""
     chosen = runs.where(F.col("pipeline").isin(*CHAINED) & (F.col("started_at") >= F.lit(since)))

@@ -13,10 +13,11 @@ def upsert(
 ) -> DataFrame:
     """``existing`` overwritten by ``incoming`` where keys meet; nothing is deleted.
 
-    Columns in ``keep`` stay as stored. Both sides must be unique on ``keys``, so a
-    full outer join meets each key once and no key can be hot.
+    Columns in ``keep`` stay as stored. Rows of ``incoming`` with equal keys become one; this is
+    done on the join's own partitioning. ``existing`` is unique, so the join meets each key once.
     """
-    old, new = existing.alias("old"), incoming.withColumn("_new", F.lit(True)).alias("new")
+    once = incoming.dropDuplicates(list(keys))
+    old, new = existing.alias("old"), once.withColumn("_new", F.lit(True)).alias("new")
     joined = old.join(new, list(keys), "full_outer")
 
     def pick(name: str):

@@ -29,9 +29,11 @@ def control_totals(monthly: DataFrame, silver: DataFrame) -> DataFrame:
     )
 
 
-def quality_checks(totals: DataFrame, created_at: datetime) -> DataFrame:
+def quality_checks(
+    totals: DataFrame, created_at: datetime, scope: str = "monthly_metrics"
+) -> DataFrame:
     """Control totals as rows of the quality log: ``pass`` when the counts agree."""
-    scope, name = F.lit("monthly_metrics"), F.lit("control_totals")
+    scope, name = F.lit(scope), F.lit("control_totals")
     key = F.concat_ws("|", name, scope, F.col("month_start").cast("string"),
                       F.lit(created_at.isoformat()))
     columns = {

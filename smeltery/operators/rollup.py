@@ -7,6 +7,7 @@ from datetime import date, datetime, time, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from smeltery.functions.dates import bucket
 from smeltery.schemas import MEASURES
@@ -159,7 +160,8 @@ def last_days(today: date, days: int = 30) -> tuple[date, date]:
 
 def share_of_max(points: DataFrame, column: str = "value") -> DataFrame:
     """Each point as a whole percentage of the largest one; 0 when the largest is 0."""
-    top = points.agg(F.max(column)).scalar()
+    # One row a bucket: few enough for one task, and the points are computed once.
+    top = F.max(column).over(Window.partitionBy())
     share = F.floor(F.col(column) / F.nullif(top, F.lit(0)) * 100 + 0.5)
     return points.withColumn("share", F.coalesce(share, F.lit(0)).cast("bigint"))
 

@@ -86,7 +86,9 @@ def _monthly_metrics_raw(spark, sf_dir):
 
 @query("monthly_slice")
 def _monthly_slice(spark, sf_dir):
-    monthly = rollup.monthly_metrics(standin.silver(spark, sf_dir), *SLICE)
+    months = rollup.within(standin.keyed_batch(spark, sf_dir), *SLICE, "month")
+    silver = standin.silver_of(standin.first_rows(months))
+    monthly = rollup.monthly_metrics(silver, *SLICE)
     return rollup.monthly_slice(monthly, *SLICE)
 
 
@@ -96,8 +98,10 @@ def _latest_month(spark, sf_dir):
 
 
 def _trend(spark: SparkSession, sf_dir: str, granularity: str, metric: str) -> DataFrame:
-    # Bronze keys are unique, which spares the distinct count of the hashes.
-    daily = rollup.daily_metrics(standin.bronze(spark, sf_dir), *TREND, unique_keys=True)
+    # Equal keys share their event time, so the range may go below keep-first. Bronze keys are
+    # unique, which spares the distinct count of the hashes.
+    days = rollup.within(standin.keyed_batch(spark, sf_dir), *TREND, "day")
+    daily = rollup.daily_metrics(standin.first_rows(days), *TREND, unique_keys=True)
     return rollup.trend(daily, *TREND, granularity, metric)
 
 
@@ -179,7 +183,6 @@ def _record_hashes(spark, sf_dir):
 def _record_hash_text(spark, sf_dir):
     """Hash over whole documents: line breaks, quotes and every script in the texts."""
     docs = standin.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    docs = standin.spread(docs, docs)
     at = F.lit(standin.NOW).cast("timestamp")
     return docs.select(
         "doc_id",
@@ -266,7 +269,7 @@ def _normalize_texts(spark, sf_dir):
     turns = standin.table(spark, sf_dir, "conversations").select(
         F.concat_ws("-", F.lit("turn"), "conv_id", "turn").alias("id"), "text"
     )
-    texts = standin.spread(docs.unionByName(turns), docs, turns)
+    texts = docs.unionByName(turns)
     return texts.select("id", normalize_text(F.col("text")).alias("text"))
 
 
@@ -334,7 +337,7 @@ def _lines(spark: SparkSession, sf_dir: str, spelling: str) -> DataFrame:
     priced = standin.table(spark, sf_dir, "lineitem").selectExpr(
         *LINE, "l_quantity", "cast(l_extendedprice AS decimal(18,2)) AS price"
     )
-    return standin.spread(priced, priced).selectExpr(*LINE, f"{spelling} AS written")
+    return priced.selectExpr(*LINE, f"{spelling} AS written")
 
 
 @query("normalize_currency")
@@ -377,7 +380,7 @@ def _outlier_bound(spark, sf_dir):
 
 def _messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = standin.table(spark, sf_dir, "orders")
-    return standin.spread(orders, orders).selectExpr(
+    return orders.selectExpr(
         "o_orderkey",
         "'  Order ' || chr(9) || ' ' || o_orderkey || '  ' AS title",
         "o_orderpriority AS category",
@@ -385,7 +388,7 @@ def _messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'$' || cast(cast(o_totalprice AS decimal(18,2)) AS string) AS price",
         "if(o_orderkey % 4 = 0, '-' || o_orderkey, cast(o_orderkey AS string)) AS views",
         "CASE o_orderkey % 3 WHEN 0 THEN '0.5' WHEN 1 THEN '1.5' ELSE 'none' END AS score",
-        "o_orderstatus AS ignore_me",
+        "o_orderstatus AS scratch",
     )
 
 

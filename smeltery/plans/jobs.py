@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from smeltery import schemas
 from smeltery.operators import dedupe, flags, keys, ledger, quality, rollup
 from smeltery.operators.clean import to_silver
-from smeltery.plans.runlog import RunLog
+from smeltery.plans.runlog import recorded
 from smeltery.session import ensure_utc, stage
 from smeltery.sinks import tables
 from smeltery.sinks.report import write_report
@@ -76,7 +76,7 @@ def insert_batch(
     stored = lake.read_months(spark, "raw_records", months)
     fresh = dedupe.new_only(first, stored, probe=staged)
     numbered = with_row_numbers(fresh, staged)
-    return tables.append(
+    added = tables.append(
         lake,
         "raw_records",
         numbered.withColumns(
@@ -87,6 +87,20 @@ def insert_batch(
             }
         ),
     )
+    check_unique(lake.read_months(spark, "raw_records", months))
+    return added
+
+
+def check_unique(rows: DataFrame) -> None:
+    """Fails when a key is stored twice, as after two writers at once; names some of the keys."""
+    twice = dedupe.duplicate_keys(rows).orderBy(*dedupe.KEY).limit(5).collect()
+    if twice:
+        named = ", ".join(f"{r['source']}/{r['record_hash']}" for r in twice)
+        raise DuplicateKeyError(f"Keys stored more than once: {named}")
+
+
+class DuplicateKeyError(RuntimeError):
+    """Bronze holds a key twice."""
 
 
 def ingest_frame(
@@ -94,30 +108,36 @@ def ingest_frame(
     names: Sequence[str] = (),
 ) -> IngestResult:
     """Ingest rows shaped like :func:`smeltery.sources.batch.read_batch`; all or nothing."""
+    with recorded(spark, lake, "ingest", input_ref, source=source, files=len(names)) as run:
+        return _ingest(spark, lake, run, source, batch, names)
+
+
+def _ingest(spark, lake, run, source, batch, names) -> IngestResult:
     now = utc_now()
-    run = RunLog(spark, lake, "ingest", input_ref)
+    _ingest_run(spark, lake, run, source, names, "started", None, now)
     try:
-        with run.step("parse", {"files": str(len(names))}):
+        with run.timed("parse", files=len(names)):
             keyed = keys.with_event_month(keys.extract_keys(batch.withColumn("source", F.lit(source))))
             staged = stage(keyed, "ingest")
             found = check_batch(staged)
-        with run.step("upsert", {"row_count": str(found["total_records"])}):
-            inserted = insert_batch(spark, lake, staged, run.run_id, now)
+        total = found["total_records"]
+        with run.timed("upsert", row_count=total):
+            inserted = insert_batch(spark, lake, staged, run.id, now)
+        per_file = dict.fromkeys(names, 0)
+        for row in staged.groupBy("file_path").count().collect():
+            per_file[row["file_path"]] = row["count"]
+        for name, rows in per_file.items():
+            run.note("file", file=name, row_count=rows)
     except Exception as error:
         _ingest_run(spark, lake, run, source, names, "failed", str(error), now)
-        run.fail(error)
         raise
-    per_file = dict.fromkeys(names, 0)
-    for row in staged.groupBy("file_path").count().collect():
-        per_file[row["file_path"]] = row["count"]
-    total = found["total_records"]
     _ingest_run(spark, lake, run, source, names, "success", None, now)
-    run.succeed(total, inserted)
-    return IngestResult(run.run_id, total, inserted, total - inserted, per_file)
+    run.counts = total, inserted
+    return IngestResult(run.id, total, inserted, total - inserted, per_file)
 
 
 def _ingest_run(spark, lake, run, source, names, status, error, now) -> None:
-    row = (run.run_id, now, source, status, "\n".join(names), error)
+    row = (run.id, now, source, status, "\n".join(names), error)
     tables.append(lake, "ingest_runs", spark.createDataFrame([row], schemas.INGEST_RUNS))
 
 
@@ -126,105 +146,109 @@ def ingest(
 ) -> IngestResult:
     """Files to bronze. Headers are checked per file before a row is read."""
     ensure_utc(spark)
-    input_ref = ",".join(paths)
-    try:
-        batch, files = read_batch(spark, paths, multi_line)
-    except Exception as error:
-        run = RunLog(spark, lake, "ingest", input_ref)
-        run.steps.append(("parse", "failed", 0, {"error": str(error)}))
-        _ingest_run(spark, lake, run, source, paths, "failed", str(error), utc_now())
-        run.fail(error)
-        raise
-    return ingest_frame(spark, lake, source, batch, input_ref, files)
+    with recorded(spark, lake, "ingest", ",".join(paths), source=source) as run:
+        try:
+            with run.timed("open", paths=len(paths)):
+                batch, files = read_batch(spark, paths, multi_line)
+        except Exception as error:
+            _ingest_run(spark, lake, run, source, paths, "failed", str(error), utc_now())
+            raise
+        return _ingest(spark, lake, run, source, batch, files)
 
 
-def refresh_clean(spark: SparkSession, lake: Lake, limit: int | None = 5000) -> int:
-    """Newest bronze rows cleaned and upserted into silver; returns the silver row count."""
+def not_yet_clean(bronze: DataFrame, silver: DataFrame) -> DataFrame:
+    """Bronze rows whose key silver doesn't hold. Equal keys share a month, which both tables are stored by."""
+    stored = silver.select("event_month", *dedupe.KEY)
+    return bronze.join(stored, ["event_month", *dedupe.KEY], "left_anti")
+
+
+def refresh_clean(
+    spark: SparkSession, lake: Lake, limit: int | None = None, everything: bool = False
+) -> int:
+    """Bronze rows cleaned and upserted into silver; returns the silver row count.
+
+    By default all rows that silver doesn't hold yet. ``limit`` takes that many of the newest bronze
+    rows instead, ``everything`` all of them, as after a change of the cleaning rules.
+    """
     ensure_utc(spark)
-    run = RunLog(spark, lake, "clean", f"raw_records(limit={limit})")
-    try:
-        with run.step("fetch_raw_records", {"limit": str(limit)}):
-            raws = latest_n(lake.read(spark, "raw_records"), limit)
-            cleaned = stage(to_silver(raws, run.run_id, F.lit(utc_now())), "clean")
+    with recorded(spark, lake, "clean", "raw_records", limit=limit, everything=everything) as run:
+        with run.timed("fetch_raw_records", limit=limit):
+            bronze = lake.read(spark, "raw_records")
+            if limit is not None:
+                bronze = latest_n(bronze, limit)
+            elif not everything:
+                bronze = not_yet_clean(bronze, lake.read(spark, "clean_records"))
+            cleaned = stage(to_silver(bronze, F.col("run_id"), F.lit(utc_now())), "clean")
             scanned = cleaned.count()
-        with run.step("upsert_clean_records", {"record_count": str(scanned)}):
+        with run.timed("upsert_clean_records", record_count=scanned):
             tables.upsert_by_month(
                 spark, lake, "clean_records", cleaned, dedupe.KEY, keep=("id",)
             )
             total = lake.read(spark, "clean_records").count()
-    except Exception as error:
-        run.fail(error)
-        raise
-    run.succeed(scanned, total)
+        run.counts = scanned, total
     return total
 
 
 def refresh_metrics(
     spark: SparkSession, lake: Lake, start: date | None = None, check: bool = True
 ) -> DataFrame:
-    """Gold: the monthly view over silver, the daily and monthly tables over bronze, the checks.
+    """Gold: monthly metrics of silver, daily and monthly metrics of bronze, the checks.
 
-    The gold tables are upserted by date, so with ``start`` only the days and months from
-    there on are read and recomputed; the view always covers everything.
+    The tables are upserted by date, so with ``start`` only the days and months from there on are
+    read and recomputed. Returns the stored monthly table.
     """
     ensure_utc(spark)
-    run = RunLog(spark, lake, "metrics", "clean_records,raw_records")
-    try:
-        with run.step("monthly_view"):
-            silver = lake.read(spark, "clean_records")
-            rollup.monthly_metrics(silver, two_scans=True).createOrReplaceTempView(
-                "monthly_metrics"
-            )
-        with run.step("gold_tables"):
-            bronze = lake.read(spark, "raw_records")
-            month = start and start.replace(day=1)
-            # Only the jobs here write bronze, so its keys are unique and need no recount.
+    month = start and start.replace(day=1)
+    with recorded(spark, lake, "metrics", "clean_records,raw_records", start=start) as run:
+        silver, bronze = lake.read(spark, "clean_records"), lake.read(spark, "raw_records")
+        with run.timed("monthly_metrics"):
+            monthly = rollup.monthly_metrics(silver, month, two_scans=True)
+            tables.upsert_small(spark, lake, "monthly_metrics", monthly, ("month_start",))
+        with run.timed("gold_tables"):
+            # Each ingest checks that bronze keys stay unique, so they need no recount.
             daily = rollup.daily_metrics(bronze, start, unique_keys=True)
             tables.upsert_small(spark, lake, "daily_metrics", daily, ("day_date",))
             by_month = rollup.monthly_metrics_raw(bronze, month, unique_keys=True)
             tables.upsert_small(spark, lake, "monthly_metrics_raw", by_month, ("month_start",))
         if check:
-            with run.step("control_totals"):
-                monthly = rollup.monthly_metrics(silver, month, two_scans=True)
-                recounted = rollup.within(silver, month, None, "month")
-                totals = quality.control_totals(monthly, recounted)
-                tables.append(
-                    lake, "data_quality_checks", quality.quality_checks(totals, utc_now())
-                )
-    except Exception as error:
-        run.fail(error)
-        raise
-    run.succeed()
-    return spark.table("monthly_metrics")
+            with run.timed("control_totals"):
+                check_totals(spark, lake, month)
+    return lake.read(spark, "monthly_metrics")
+
+
+def check_totals(spark: SparkSession, lake: Lake, month: date | None = None) -> None:
+    """Logs per month: stored gold of silver against silver, silver's gold against bronze."""
+    stored = rollup.monthly_slice(lake.read(spark, "monthly_metrics"), month)
+    now = utc_now()
+    for scope, name in (("monthly_metrics", "clean_records"), ("clean_records", "raw_records")):
+        rows = rollup.within(lake.read(spark, name), month, None, "month")
+        totals = quality.control_totals(stored, rows)
+        tables.append(lake, "data_quality_checks", quality.quality_checks(totals, now, scope))
 
 
 def flag_report(
-    spark: SparkSession, lake: Lake, out: str, limit: int | None = 5000,
+    spark: SparkSession, lake: Lake, out: str, limit: int | None = None,
     now: datetime | None = None, single_file: bool = False,
 ) -> FlagResult:
-    """Newest bronze rows through the rules into a sorted CSV report."""
+    """Bronze rows (the newest ``limit``, if one is named) through the rules into a sorted CSV report."""
     ensure_utc(spark)
-    run = RunLog(spark, lake, "flags", f"limit={limit}")
-    try:
-        with run.step("fetch_raw_records", {"limit": str(limit)}):
+    with recorded(spark, lake, "flags", "raw_records", limit=limit) as run:
+        with run.timed("fetch_raw_records", limit=limit):
             records = latest_n(lake.read(spark, "raw_records"), limit)
             if limit is not None:
                 records = stage(records, "latest")
             scanned = records.count()
         # Bronze keys are unique, so no fingerprint can repeat in these rows.
-        with run.step("flag_records", {"record_count": str(scanned)}):
+        with run.timed("flag_records", record_count=scanned):
             flagged = stage(flags.flag(records, now or utc_now(), unique_keys=True), "flagged")
             count = flagged.count()
-        with run.step("write_flag_report_csv", {"flagged_count": str(count), "output_path": out}):
+        with run.timed("write_flag_report_csv", flagged_count=count, output_path=out):
             write_report(flags.report(flagged), out, single_file)
-    except Exception as error:
-        run.fail(error)
-        raise
-    run.succeed(scanned, count)
-    return FlagResult(run.run_id, scanned, count, out, flags.top(flagged))
+        run.counts = scanned, count
+    return FlagResult(run.id, scanned, count, out, flags.top(flagged))
 
 
-def refresh(spark: SparkSession, lake: Lake, limit: int | None = 5000) -> DataFrame:
+def refresh(spark: SparkSession, lake: Lake, limit: int | None = None) -> DataFrame:
     """Silver, then gold."""
     refresh_clean(spark, lake, limit)
     return refresh_metrics(spark, lake)
@@ -232,24 +256,18 @@ def refresh(spark: SparkSession, lake: Lake, limit: int | None = 5000) -> DataFr
 
 def run_all(
     spark: SparkSession, lake: Lake, source: str, paths: Sequence[str], out: str,
-    limit: int | None = 5000, now: datetime | None = None,
+    limit: int | None = None, now: datetime | None = None,
 ) -> dict:
     """Ingest and flags in one application, summed up from the ledger."""
     ensure_utc(spark)
-    run = RunLog(spark, lake, "demo", ",".join(paths))
-
-    def counts() -> dict:
-        runs = lake.read(spark, "pipeline_runs")
-        return ledger.run_rollup(runs, run.started_at).first().asDict()
-
-    try:
-        with run.step("ingest_samples"):
-            ingest(spark, lake, source, paths)
-        with run.step("flags"):
-            flag_report(spark, lake, out, limit, now)
-    except Exception as error:
-        run.fail(error, **counts())
-        raise
-    done = counts()
-    run.succeed(**done)
-    return {"run_id": run.run_id, "status": "succeeded", **done}
+    with recorded(spark, lake, "demo", ",".join(paths), source=source) as run:
+        try:
+            with run.timed("ingest_samples"):
+                ingest(spark, lake, source, paths)
+            with run.timed("flags"):
+                flag_report(spark, lake, out, limit, now)
+        finally:
+            runs = ledger.current(lake.read(spark, "pipeline_runs"))
+            done = ledger.run_rollup(runs, run.opened).first().asDict()
+            run.counts = done["records_in"], done["records_out"]
+    return {"run_id": run.id, "status": "succeeded", **done}

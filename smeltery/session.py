@@ -34,9 +34,12 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only when none is set (tests)."""
+    """The shared folder the cluster names; a temporary one only where all runs on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="smeltery-"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")

@@ -17,6 +17,7 @@ TABLES: dict[str, T.StructType] = {
     "raw_records": schemas.RAW_RECORDS,
     "clean_records": schemas.CLEAN_RECORDS,
     "daily_metrics": schemas.DAILY_METRICS,
+    "monthly_metrics": schemas.MONTHLY_METRICS,
     "monthly_metrics_raw": schemas.MONTHLY_METRICS,
     "ingest_runs": schemas.INGEST_RUNS,
     "pipeline_runs": schemas.PIPELINE_RUNS,
@@ -61,7 +62,7 @@ def _read_or_empty(spark: SparkSession, table: str, path: str, base: str) -> Dat
 
 def latest_n(
     table: DataFrame,
-    n: int | None = 5000,
+    n: int | None,
     by: str = "ingested_at",
     tiebreak: Sequence[str] = ("source", "record_hash"),
 ) -> DataFrame:
