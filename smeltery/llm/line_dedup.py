@@ -27,6 +27,8 @@ from smeltery.session import stage
 
 MIN_WORDS = 8
 ID = ["none", "id", "h1", "h2"]
+PART, REST, WHOLE = 0, 1, 2
+BROADCAST_ROWS = 1_000_000   # of two hashes
 
 
 def free_shuffles(df: DataFrame) -> None:
@@ -49,50 +51,64 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def halves(words: Column) -> Column:
-    """Keys of the first and last half of a line, as cut for a partner of equal length or one word more."""
+    """Keys of the first and last half of a line, as cut for a partner of equal length or one word more;
+    none for lines too short to have one."""
     n = F.size(words)
     at = lambda h: [F.xxhash64(F.lit(0), F.slice(words, 1, h)), F.xxhash64(F.lit(1), F.slice(words, n - h + 1, h))]
     short, long = F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int")
-    return F.array_distinct(F.array(*at(short), *at(long)))
+    return F.when(n < MIN_WORDS, F.array().cast("array<bigint>")).when(n % 2 == 1, F.array(*at(short))).otherwise(
+        F.array(*at(short), *at(long)))
 
 
 def with_partner(lines: DataFrame) -> DataFrame:
-    """The distinct lines that share a half with another one."""
-    keys = lines.filter(F.size("words") >= MIN_WORDS).select("l1", "l2", F.explode(halves(F.col("words"))).alias("key"))
+    """``l1``, ``l2`` of the distinct lines that share a half with another one."""
+    keys = lines.select("l1", "l2", F.explode("halves").alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
-    found = keys.join(shared, "key").select("l1", "l2").distinct()
-    return lines.join(found, ["l1", "l2"])
+    return keys.join(shared, "key").select("l1", "l2").distinct()
+
+
+def texts_of(found: DataFrame, seen: DataFrame) -> DataFrame:
+    """``seq``, ``l1``, ``l2``, ``line`` of the lines found, in the order in which they first stand.
+
+    Up to ``BROADCAST_ROWS`` pairs of hashes go to every task; beyond that all lines are shuffled.
+    """
+    few = found.count() <= BROADCAST_ROWS
+    own = seen.join(F.broadcast(found) if few else found, ["l1", "l2"])
+    first = own.groupBy("l1", "l2").agg(F.min(F.struct(*ID, "pos", "line")).alias("f"))
+    # Ranges of the order, sorted inside: the numbers given to the rows follow it.
+    ranged = first.repartitionByRange(*[F.col(f"f.{k}") for k in (*ID, "pos")]).sortWithinPartitions("f")
+    return ranged.select(F.monotonically_increasing_id().alias("seq"), "l1", "l2", "f.line")
 
 
 def neighbourhood(lines: DataFrame) -> DataFrame:
-    """``key``, ``size``, ``place`` of each line and of each line less one word; ``place`` is -1 where a
-    word more or less is to match. A key is the exclusive or of word hashes salted with their places."""
-    each = lines.select("l1", "l2", "o", F.size("words").alias("n"), F.posexplode("words").alias("j", "w"))
-    each = each.select("l1", "l2", "o", "n", "j", F.xxhash64("w", "j").alias("a"), F.xxhash64("w", F.col("j") - 1).alias("b"))
-    line = Window.partitionBy("l1", "l2")
+    """``seq``, ``key``, ``kind`` of each line and of each line less one word.
+
+    A key is the exclusive or of word hashes salted with their places, hashed with its size and, for
+    ``PART``, the place left out. ``REST`` (a line less a word) meets ``WHOLE`` (a line as it is).
+    """
+    each = lines.select("seq", words_of(F.col("line")).alias("words")).repartition("seq")
+    each = each.select("seq", F.size("words").alias("n"), F.posexplode("words").alias("j", "w"))
+    each = each.select("seq", "n", "j", F.xxhash64("w", "j").alias("a"), F.xxhash64("w", F.col("j") - 1).alias("b"))
+    line = Window.partitionBy("seq")
     run = line.orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
     less = each.select("*", F.bit_xor("a").over(run).alias("ra"), F.bit_xor("b").over(run).alias("rb"),
                        F.bit_xor("a").over(line).alias("ta"), F.bit_xor("b").over(line).alias("tb"))
     without = F.col("ra").bitwiseXOR(F.col("a")).bitwiseXOR(F.col("rb")).bitwiseXOR(F.col("tb"))
-    part = lambda key, size, place, whole: F.struct(key.alias("key"), size.cast("int").alias("size"), place.cast("int").alias("place"),
-                                                    F.lit(whole).alias("whole"))
     n, j = F.col("n"), F.col("j")
-    keys = F.array(part(without, n, j, False), part(without, n - 1, F.lit(-1), False))
-    keys = F.when(j == 0, F.concat(keys, F.array(part(F.col("ta"), n, F.lit(-1), True)))).otherwise(keys)
-    return less.select("l1", "l2", "o", F.explode(keys).alias("k")).select("l1", "l2", "o", "k.*").distinct()
+    entry = lambda key, size, place, kind: F.struct(F.xxhash64(key, size, place).alias("key"), F.lit(kind).cast("tinyint").alias("kind"))
+    keys = F.array(entry(without, n, j, PART), entry(without, n - 1, F.lit(-1), REST))
+    keys = F.when(j == 0, F.concat(keys, F.array(entry(F.col("ta"), n, F.lit(-1), WHOLE)))).otherwise(keys)
+    return less.select("seq", F.explode(keys).alias("k")).select("seq", "k.*")
 
 
 def proposed(keys: DataFrame) -> DataFrame:
-    """Each line with the earliest other line of a key that it shares, where that is earlier."""
-    target = F.struct("o", "l1", "l2")
-    by = ["key", "size", "place"]
-    first = keys.groupBy(*by).agg(F.count(F.lit(1)).alias("c"), F.min(F.when(F.col("whole"), target)).alias("w"),
-                                  F.min(F.when(~F.col("whole"), target)).alias("p")).filter("c > 1")
-    # Parts of equal place match each other; beside that, a whole line matches parts and parts a whole.
-    rivals = F.when(F.col("place") >= 0, F.array("p")).when(F.col("whole"), F.array("w", "p")).otherwise(F.array("w"))
-    return (keys.join(first, by).select("l1", "l2", "o", F.explode(rivals).alias("t"))
-            .filter(F.col("t").isNotNull() & (F.col("t.o") < F.col("o")))
-            .select("l1", "l2", F.col("t.l1").alias("t1"), F.col("t.l2").alias("t2")).distinct())
+    """``seq``, ``other``: each line with the earliest line of a key that it shares, where that is earlier."""
+    of = lambda *kinds: F.min(F.when(F.col("kind").isin(*kinds), F.col("seq")))
+    first = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c"), of(WHOLE).alias("w"), of(PART, REST).alias("p")).filter("c > 1")
+    # Lines that leave out the same place match each other; beside that, a whole line matches rests and rests a whole.
+    rivals = F.when(F.col("kind") == PART, F.array("p")).when(F.col("kind") == WHOLE, F.array("w", "p")).otherwise(F.array("w"))
+    return (keys.join(first.drop("c"), "key").select("seq", F.explode(rivals).alias("other"))
+            .filter(F.col("other") < F.col("seq")).distinct())
 
 
 def within_one(a: Column, b: Column) -> Column:
@@ -104,36 +120,37 @@ def within_one(a: Column, b: Column) -> Column:
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (common(a, b) + common(F.reverse(a), F.reverse(b)) >= longest - 1)
 
 
-def near_lines(lines: DataFrame) -> DataFrame:
+def near_lines(lines: DataFrame, seen: DataFrame) -> DataFrame:
     """``l1``, ``l2`` of the distinct lines that have an earlier line one edit away."""
-    some = stage(with_partner(lines), "line-partners")
+    found = stage(with_partner(lines), "line-partners")
+    free_shuffles(found)
+    some = stage(texts_of(found, seen), "line-texts")
     free_shuffles(some)
-    pairs = proposed(neighbourhood(some))
-    texts = some.select("l1", "l2", "words")
-    both = pairs.join(texts, ["l1", "l2"]).join(
-        texts.select(F.col("l1").alias("t1"), F.col("l2").alias("t2"), F.col("words").alias("other")), ["t1", "t2"])
-    return both.filter(within_one(F.col("words"), F.col("other"))).select("l1", "l2").distinct()
+    pairs = stage(proposed(neighbourhood(some)), "line-pairs")
+    free_shuffles(pairs)
+    both = pairs.join(some, "seq").join(some.select(F.col("seq").alias("other"), F.col("line").alias("earlier")), "other")
+    verified = let(words_of(F.col("line")), lambda a: let(words_of(F.col("earlier")), lambda b: within_one(a, b)))
+    return both.filter(verified).select("l1", "l2").distinct()
+
+
+def order() -> Column:
+    return F.struct(*ID, "pos")
 
 
 def dropped(docs: DataFrame) -> DataFrame:
     """``none``, ``id``, ``h1``, ``h2`` and the places of lines that go: ``gone`` all, ``near`` among them."""
     seen = occurrences(docs)
-    order = F.struct("none", "id", "h1", "h2", "pos")
-    first = seen.groupBy("l1", "l2").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(*order_fields(), "line")).alias("f"))
-    lines = stage(first.select("l1", "l2", "c", F.struct(*[F.col(f"f.{k}").alias(k) for k in (*ID, "pos")]).alias("o"),
-                               words_of(F.col("f.line")).alias("words")), "lines")
+    each = seen.select("l1", "l2", order().alias("o"), let(words_of(F.col("line")), halves).alias("halves"))
+    first = each.groupBy("l1", "l2").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("o", "halves")).alias("f"))
+    lines = stage(first.select("l1", "l2", "c", "f.o", "f.halves"), "lines")
     free_shuffles(lines)
-    near = stage(near_lines(lines), "near-lines")
+    near = stage(near_lines(lines, seen), "near-lines")
     free_shuffles(near)
     near = near.withColumn("near", F.lit(True))
     classes = (lines.select("l1", "l2", "c", "o").join(near, ["l1", "l2"], "left")
                .filter((F.col("c") > 1) | F.col("near")).select("l1", "l2", "o", F.coalesce("near", F.lit(False)).alias("near")))
-    hit = seen.drop("line").join(classes, ["l1", "l2"]).filter(F.col("near") | (order != F.col("o")))
-    return hit.groupBy(*ID).agg(F.collect_set("pos").alias("gone"), F.count_if((F.col("near")) & (order == F.col("o"))).alias("n_near"))
-
-
-def order_fields() -> list[str]:
-    return [*ID, "pos"]
+    hit = seen.drop("line").join(classes, ["l1", "l2"]).filter(F.col("near") | (order() != F.col("o")))
+    return hit.groupBy(*ID).agg(F.collect_set("pos").alias("gone"), F.count_if((F.col("near")) & (order() == F.col("o"))).alias("n_near"))
 
 
 def dedup(docs: DataFrame, keep: list[Column]) -> DataFrame:
