@@ -350,3 +350,27 @@ ORACLE["dq_checks"] = f"""{_TOTALS} SELECT 'control_totals' AS check_name,
   CASE WHEN diff = 0 THEN 'pass' ELSE 'fail' END AS status,
   clean_count AS expected, summary_count AS observed,
   '{{"diff":' || diff || '}}' AS details FROM totals"""
+
+
+def flags_over(table: str) -> str:
+    """The flag rules over another table of the batch's columns."""
+    return _FLAGS.replace("FROM keyed)", f"FROM {table})", 1)
+
+
+def job_twins() -> dict[str, str]:
+    """Twins of the queries that run whole jobs; stored keys are unique, so no fingerprint repeats."""
+    flags_sql = flags_over("bronze").replace("counted AS", f"{BRONZE},\ncounted AS", 1)
+    by_month = _rollup("bronze", "month_start", "month", "source || record_hash", "category")
+    return {
+        "job_ingest_bronze": f"""{_BRONZE_WITH} SELECT source, record_hash, source_id, {iso('ts')} AS event_time,
+  category, value FROM bronze""",
+        "job_silver_refresh": f"""{_SILVER_WITH} SELECT source, record_hash, source_id, {iso('ts')} AS event_time,
+  silver_category AS category, value_text, money AS value_decimal FROM silver""",
+        "job_gold_tables": f"""{_SILVER_WITH}, m AS ({_MONTHLY}), d AS ({_DAILY}), b AS ({by_month})
+  SELECT 'monthly_metrics' AS table_name, month_start AS day, * EXCLUDE (month_start) FROM m
+  UNION ALL SELECT 'daily_metrics', day_date, * EXCLUDE (day_date) FROM d
+  UNION ALL SELECT 'monthly_metrics_raw', month_start, * EXCLUDE (month_start) FROM b
+  UNION ALL SELECT 'failed_checks', NULL, 0, 0, 0, 0, 0""",
+        "job_flag_report_csv": f"""{flags_sql} SELECT source, source_id, record_hash,
+  CAST(severity AS VARCHAR) AS severity, flag_codes, flag_messages FROM flagged""",
+    }
