@@ -6,7 +6,8 @@ from smeltery.llm import pii as q
 def test_patterns():
     text = "+1 (632) 555-4827 a@b.co 1.2.3.4 300.1.1.1 4111111111111111 4111111111111112"
     assert [(k, text[s:e]) for k, s, e in q.base_spans(text)] == [
-        ("email", "a@b.co"), ("ip", "1.2.3.4"), ("card", "4111111111111111"), ("phone", "+1 (632) 555-4827")] or True
+        ("email", "a@b.co"), ("ip", "1.2.3.4"), ("phone", "+1 (632) 555-4827")]
+    assert q.base_spans("x 4111111111111111, 4111111111111112") == [("card", 2, 18)]
     kinds = q.joined(q.base_spans("x a@b.co é 1.2.3.4"))
     assert kinds == "email:2:8,ip:11:18"
 
@@ -24,7 +25,7 @@ def test_held_out_accuracy():
 
 
 def test_documents(docs_of, corpus):
-    rows = corpus + [(900, "reach me at (555) 123-4567 today"), (901, "é mail bob.lee [at] corp [dot] org now"), (902, "Version 2.0 of 1999"),
+    rows = corpus + [(900, "reach me at (555) 123-4567 today"), (901, "é mail anter.lomi [at] shen [dot] org now"), (902, "Version 2.0 of 1999"),
                      (903, "ann@x.example.com and +1 (632) 555-4827")]
     got = {r.doc_id: r for r in q.personal_data(docs_of(rows)).collect()}
     assert got[900].spans == "phone:12:26" and got[900].n_phone == 0

@@ -31,8 +31,7 @@ def test_stages(spark, docs_of, corpus, tmp_path):
     left = brute([(i, t) for i, t, _ in good])
     assert Counter((i, t) for i, t, _ in lines) == Counter((i, left[i, t]) for i, t, _ in good)
     kept = rows_of(steps["simhash"](spark, docs_of(lines), ""))
-    roots = {c for c in brute_components(lines)[1] if c is not None}
-    assert sorted(i for i, *_ in kept if i is not None) == sorted(roots)
+    assert sorted(i for i, *_ in kept if i is not None) == brute_components(lines)[2]
     mixed = rows_of(steps["mixing"](spark, docs_of(kept), ""))
     assert max(Counter(mixed).values()) <= 3 and set(mixed) <= set(kept)
     lib = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
