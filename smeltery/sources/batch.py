@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,7 @@ CSV_OPTIONS = {"header": True, "inferSchema": False, "quote": '"', "escape": '"'
                "encoding": "UTF-8", "multiLine": True}
 # Columns of a batch, whatever the format of its files.
 BATCH_COLUMNS = ("file_path", "file_ord", "block_start", "seq", "payload", *REQUIRED_COLUMNS)
-_HEADER_THREADS = 16
+SUFFIXES = ("csv", "xlsx")
 
 
 def check_headers(headers: Sequence[str]) -> None:
@@ -29,20 +30,25 @@ def check_headers(headers: Sequence[str]) -> None:
         raise IngestionError(f"Missing required columns: {missing}")
 
 
-def split_by_format(paths: Sequence[str]) -> dict[str, list[str]]:
-    """CSV and workbook paths by suffix, in any case; a path without a suffix is a folder of CSV."""
-    groups: dict[str, list[str]] = {"csv": [], "xlsx": []}
-    for path in paths:
-        leaf = path.rstrip("/").rsplit("/", 1)[-1].lower()
-        suffix = leaf.rsplit(".", 1)[-1] if "." in leaf else "csv"
+def literal(path: str) -> str:
+    """The path as a name, not a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def split_by_format(files: Sequence[str]) -> dict[str, list[str]]:
+    """The files found, by suffix in any case; a file of another kind is refused, wherever it lies."""
+    groups: dict[str, list[str]] = {suffix: [] for suffix in SUFFIXES}
+    for file in files:
+        leaf = file.rsplit("/", 1)[-1].lower()
+        suffix = leaf.rsplit(".", 1)[-1] if "." in leaf else ""
         if suffix not in groups:
-            raise IngestionError(f"Unsupported file type: {path}")
-        groups[suffix].append(path)
+            raise IngestionError(f"Unsupported file type: {unquote(file)}")
+        groups[suffix].append(file)
     return groups
 
 
 def _files_of(spark: SparkSession, path: str) -> list[str]:
-    return sorted(spark.read.format("binaryFile").load(path).inputFiles())
+    return sorted(spark.read.format("binaryFile").load(literal(path)).inputFiles())
 
 
 def _file_path() -> Column:
@@ -50,8 +56,31 @@ def _file_path() -> Column:
     return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
 
 
-def _csv_header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    return tuple(spark.read.csv(path, **CSV_OPTIONS).columns)
+def csv_headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by header, from one distributed pass that also finds bytes that aren't UTF-8.
+
+    What comes back is one line for each file.
+    """
+    if not files:
+        return {}
+    lines = spark.read.text([literal(unquote(f)) for f in files]).select(
+        _file_path().alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"), "value",
+    )
+    place = F.struct("block", "seq")
+    found = lines.groupBy("file").agg(
+        F.min_by("value", place).alias("header"), F.count_if(~F.is_valid_utf8("value")).alias("broken"))
+    first = {r["file"]: r for r in found.collect()}
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        row = first.get(file)
+        if row and row["broken"]:
+            raise IngestionError(f"{unquote(file)} is not UTF-8 ({row['broken']} lines)")
+        text = row["header"].lstrip("\ufeff") if row else ""
+        header = tuple(next(csv.reader([text]), []))
+        check_headers(header)
+        groups.setdefault(header, []).append(file)
+    return groups
 
 
 def read_csv_group(
@@ -59,26 +88,28 @@ def read_csv_group(
 ) -> DataFrame:
     """Files that share one header, as text columns plus their place in the batch.
 
-    The schema is stated, so nothing is inferred and Spark verifies every file's header
-    against it while reading.
+    Cells are read by position and named afterwards, so empty, repeated and look-alike column names
+    are fine; of equal names the last one counts. A cell beyond the header breaks the contract.
     """
-    schema = T.StructType([T.StructField(name, T.StringType(), True) for name in header])
-    options = {**CSV_OPTIONS, "multiLine": multi_line, "enforceSchema": False}
-    rows = spark.read.schema(schema).csv([unquote(f) for f in files], **options)
-    quoted = {name: F.col("`" + name.replace("`", "``") + "`") for name in header}
-    payload = F.create_map(*[x for name, c in quoted.items() for x in (F.lit(name), c)])
+    schema = T.StructType([T.StructField(f"_{i}", T.StringType(), True) for i in range(len(header) + 1)])
+    options = {**CSV_OPTIONS, "multiLine": multi_line, "enforceSchema": True}
+    rows = spark.read.schema(schema).csv([literal(unquote(f)) for f in files], **options)
+    cells = {name: F.col(f"_{i}") for i, name in enumerate(header)}
+    payload = F.create_map(*[x for name, c in cells.items() for x in (F.lit(name), c)])
+    beyond = F.col(f"_{len(header)}")
     return rows.select(
         _file_path().alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("seq"),
         payload.alias("payload"),
-        *[quoted[name].alias(name) for name in REQUIRED_COLUMNS],
+        F.when(beyond.isNotNull(), F.concat(F.lit("A row has more cells than the header: "), beyond)).alias("header_error"),
+        *[cells[name].alias(name) for name in REQUIRED_COLUMNS],
     )
 
 
 def read_workbooks(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     """One workbook per task row; a bad header surfaces as an error row, see ``check_batch``."""
-    blobs = spark.read.format("binaryFile").load([unquote(f) for f in files])
+    blobs = spark.read.format("binaryFile").load([literal(unquote(f)) for f in files])
     named = blobs.select(_file_path().alias("path"), "content")
     rows = named.mapInPandas(workbook_rows, WORKBOOK_ROWS)
     return rows.select(
@@ -94,26 +125,13 @@ def read_batch(
 ) -> tuple[DataFrame, list[str]]:
     """All rows of the files, in arrival order of ``paths``; headers are checked before any row.
 
-    Also returns the files found. Files are grouped by header, so a folder of like files is one scan, however many files
-    it holds. Pass ``multi_line=False`` for very large CSV files whose cells hold no line
-    breaks: Spark then reads one file with many tasks.
+    Also returns the files found. Files are grouped by header, so a folder of like files is one
+    scan, however many files it holds. Pass ``multi_line=False`` for very large CSV files whose
+    cells hold no line breaks: Spark then reads one file with many tasks.
     """
-    split_by_format(paths)
-    found = [(path, file) for path in paths for file in _files_of(spark, path)]
-    files = [file for _, file in found]
-    by_format = {"csv": [], "xlsx": []}
-    for file in files:
-        by_format["xlsx" if file.lower().endswith(".xlsx") else "csv"].append(file)
-
-    with ThreadPoolExecutor(_HEADER_THREADS) as pool:
-        headers = list(
-            pool.map(lambda f: _csv_header(spark, unquote(f)), by_format["csv"])
-        )
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, header in zip(by_format["csv"], headers):
-        check_headers(header)
-        groups.setdefault(header, []).append(file)
-
+    files = [file for path in paths for file in _files_of(spark, path)]
+    by_format = split_by_format(files)
+    groups = csv_headers(spark, by_format["csv"])
     parts = [read_csv_group(spark, group, header, multi_line) for header, group in groups.items()]
     if by_format["xlsx"]:
         parts.append(read_workbooks(spark, by_format["xlsx"]))

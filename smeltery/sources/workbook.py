@@ -109,7 +109,8 @@ def _column_index(reference: str | None, default: int) -> int:
 def _cell_text(cell, shared, dates, epoch) -> str | None:
     kind = cell.get("t", "n")
     if kind == "inlineStr":
-        return "".join(t.text or "" for t in cell.iter(f"{_MAIN}t"))
+        inline = cell.find(f"{_MAIN}is")
+        return "" if inline is None else _plain_text(inline)
     value = cell.find(f"{_MAIN}v")
     if value is None or value.text is None:
         return None
@@ -133,7 +134,13 @@ def _xml(book: zipfile.ZipFile, name: str):
 def _shared_strings(book: zipfile.ZipFile) -> list[str]:
     root = _xml(book, "xl/sharedStrings.xml")
     items = [] if root is None else root.iter(f"{_MAIN}si")
-    return ["".join(t.text or "" for t in item.iter(f"{_MAIN}t")) for item in items]
+    return [_plain_text(item) for item in items]
+
+
+def _plain_text(item) -> str:
+    """Text of a string item and its runs; readings given beside it are left out."""
+    parts = [*item.findall(f"{_MAIN}t"), *item.findall(f"{_MAIN}r/{_MAIN}t")]
+    return "".join(t.text or "" for t in parts)
 
 
 def _date_styles(book: zipfile.ZipFile) -> set[int]:

@@ -202,3 +202,75 @@ def test_command_line(spark, lake, sample, tmp_path, capsys):
     shown = capsys.readouterr().out
     assert "inserted_records=10" in shown and "Silver rows: 10" in shown
     assert "ingest" in shown and "succeeded" in shown
+
+
+def test_headers_by_position(spark, lake, tmp_path):
+    from smeltery.sources.batch import read_batch
+
+    trailing = write(tmp_path / "trailing.csv", [HEADER + ",", "a,2026-01-01,1,c,x"])
+    repeated = write(tmp_path / "glob[1].csv", [HEADER + ",note,note", "b,2026-01-02,2,c,first,last"])
+    twins = write(tmp_path / "twins.csv", ["value,Value,source_id,event_time,category", "3,no,d,2026-01-03,c"])
+    done = jobs.ingest(spark, lake, "s", [trailing, repeated, twins])
+    assert done.inserted_records == 3
+    rows = {r.source_id: r for r in lake.read(spark, "raw_records").collect()}
+    assert rows["a"].payload[""] == "x" and rows["b"].payload["note"] == "last"
+    assert (rows["d"].value, rows["d"].payload["Value"]) == ("3", "no")
+    folder = tmp_path / "v1.2"
+    folder.mkdir()
+    write(folder / "in.csv", [HEADER, "e,2026-01-04,4,c"])
+    assert read_batch(spark, [str(folder)])[0].count() == 1
+    write(folder / "notes.txt", ["x"])
+    with pytest.raises(IngestionError, match="Unsupported file type: .*notes.txt"):
+        read_batch(spark, [str(folder)])
+
+
+def test_broken_bytes_and_extra_cells_are_refused(spark, lake, tmp_path):
+    latin = tmp_path / "latin.csv"
+    latin.write_bytes(f"{HEADER}\na,2026-01-01,1,café\n".encode("latin-1"))
+    with pytest.raises(IngestionError, match="latin.csv is not UTF-8"):
+        jobs.ingest(spark, lake, "s", [str(latin)])
+    wide = write(tmp_path / "wide.csv", [HEADER, "a,2026-01-01,1,c", "b,2026-01-01,1,c,more"])
+    with pytest.raises(IngestionError, match="more cells than the header: more"):
+        jobs.ingest(spark, lake, "s", [wide])
+    assert lake.read(spark, "raw_records").count() == 0
+
+
+def test_silver_takes_every_row(spark, lake, tmp_path):
+    rows = [f"id{i},2026-01-{1 + i % 28:02d}T00:00:00Z,{i},c" for i in range(12000)]
+    jobs.ingest(spark, lake, "s", [write(tmp_path / "big.csv", [HEADER] + rows)])
+    assert jobs.refresh_clean(spark, lake) == 12000
+    monthly = jobs.refresh_metrics(spark, lake).collect()
+    assert [r.total_records for r in monthly] == [12000]
+
+
+def test_keys_stored_twice_are_found(spark, lake, tmp_path):
+    path = write(tmp_path / "1.csv", [HEADER] + [f"k{i},2026-01-01,{i},c" for i in range(20)])
+    jobs.ingest(spark, lake, "s", [path])
+    copy = lake.read(spark, "raw_records")
+    copy.write.mode("append").partitionBy("event_month").parquet(lake.path("raw_records") + "-copy")
+    for part in (tmp_path / "lake" / "raw_records-copy").glob("event_month=*/part*"):
+        (tmp_path / "lake" / "raw_records" / part.parent.name / f"second-{part.name}").write_bytes(part.read_bytes())
+    assert lake.read(spark, "raw_records").count() == 40
+    assert jobs.refresh_clean(spark, lake) == 20
+    assert jobs.refresh_clean(spark, lake) == 20
+    more = write(tmp_path / "2.csv", [HEADER, "new,2026-01-02,1,c"])
+    with pytest.raises(jobs.DuplicateKeyError, match="stored more than once: s/"):
+        jobs.ingest(spark, lake, "s", [more])
+
+
+def test_lost_silver_rows_fail_the_checks(spark, lake, tmp_path):
+    jobs.ingest(spark, lake, "s", [write(tmp_path / "1.csv", [HEADER] + [f"k{i},2026-01-01,{i},c" for i in range(9)])])
+    jobs.refresh_clean(spark, lake, limit=5)
+    jobs.refresh_metrics(spark, lake)
+    checks = {c.check_scope: c for c in lake.read(spark, "data_quality_checks").collect()}
+    assert checks["monthly_metrics"].status == "pass"
+    assert (checks["clean_records"].status, checks["clean_records"].expected, checks["clean_records"].observed) == ("fail", 9, 5)
+
+
+def test_ledger_keeps_starts_and_files(spark, lake, sample):
+    jobs.ingest(spark, lake, "s", [sample])
+    rows = lake.read(spark, "pipeline_runs")
+    assert sorted(r.status for r in rows.collect()) == ["running", "succeeded"]
+    end = ledger.current(rows).first()
+    assert end.meta["source"] == "s" and any(s.step == "file" and s.meta["row_count"] == "10" for s in end.steps)
+    assert sorted(r.status for r in lake.read(spark, "ingest_runs").collect()) == ["started", "success"]
