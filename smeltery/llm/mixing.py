@@ -7,8 +7,8 @@ solves a convex dual of one variable a source. Newton steps find all tilts toget
 aggregate over (source, size) cells, kept inside a bracket that every step narrows.
 
 Rates become whole copies by systematic rounding along the sizes of a source: the rounded count of
-any run of sizes is within one of the expected one. Then a few corrections add or take one copy
-where that brings the source nearer to its target. Which documents of a cell get the copy more
+any run of sizes is within one of the expected one. Then corrections, a few rounds at most, add
+or take one copy where that brings a source nearer to its target. Which documents of a cell get the copy more
 follows from a hash of id and text, so reruns agree. Cells and sources are partial aggregates; no
 group of rows is gathered.
 
@@ -28,7 +28,8 @@ WEIGHTS = (1, 2, 3)
 MOST = 3
 TOLERANCE = 1e-9
 STEPS = 60
-CORRECTIONS = 4
+CORRECTIONS = 12     # at most; a source within CLOSE of its target is left alone
+CLOSE = 0.001
 BUCKETS = 1024
 SAME = lambda *names: " and ".join(f"l.{n} <=> r.{n}" for n in names)
 
@@ -112,8 +113,9 @@ def rounded(cells: DataFrame, state: DataFrame) -> DataFrame:
     extra = F.least(F.greatest(F.col("at") - before, F.lit(0)), F.when(F.col("base") >= MOST, 0).otherwise(F.col("n")))
     out = stage(cut.select("source", "size", "n", "target", "rate", "base", extra.cast("bigint").alias("extra")), "cells")
     for _ in range(CORRECTIONS):
-        open_ = joined(out, out.groupBy("source").agg(
-            (F.max("target") - F.sum(F.col("size") * (F.col("n") * F.col("base") + F.col("extra")))).alias("left")), "source")
+        taken = F.sum(F.col("size") * (F.col("n") * F.col("base") + F.col("extra")))
+        off = out.groupBy("source").agg((F.max("target") - taken).alias("left"), F.max("target").alias("aim"))
+        open_ = joined(out, off.filter(F.abs("left") > CLOSE * F.col("aim")).drop("aim"), "source")
         given = F.col("n") * F.col("base") + F.col("extra")
         moves = F.array(F.struct(F.lit(1).alias("d"), (given < MOST * F.col("n")).alias("can")),
                         F.struct(F.lit(-1).alias("d"), (given > 0).alias("can")))
@@ -121,6 +123,9 @@ def rounded(cells: DataFrame, state: DataFrame) -> DataFrame:
         tried = tried.select("source", "size", "left", "m.d", F.abs(F.col("left") - F.col("size") * F.col("m.d")).alias("then"))
         best = (tried.filter(F.col("then") < F.abs(F.col("left"))).groupBy("source")
                 .agg(F.min(F.struct("then", "size", "d")).alias("b")).select("source", F.col("b.size").alias("size"), F.col("b.d").alias("d")))
+        best = stage(best, "moves")
+        if best.isEmpty():
+            break
         now = given + F.coalesce("d", F.lit(0))
         out = stage(joined(out, best, "source", "size", how="left").select(
             "source", "size", "n", "target", "rate", F.floor(now / F.col("n")).cast("bigint").alias("base"),
