@@ -68,4 +68,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op3_quality_rules, op4_token_counts, op5_token_files, op6_personal_data, op7_nearest, op8_simhash, op9_sharding, op10_mixing)}
-ORACLE = {"op3_quality_rules": sql.QUALITY}
+ORACLE = {"op1_line_dedup": sql.LINE_DEDUP, "op3_quality_rules": sql.QUALITY}

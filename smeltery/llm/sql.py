@@ -62,3 +62,36 @@ SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_
        CAST(max_word_size AS BIGINT) AS max_word_size, CAST(max_line_rate AS BIGINT) AS max_line_rate
 FROM r LEFT JOIN wide w ON r.lang IS NOT DISTINCT FROM w.lang AND r.source IS NOT DISTINCT FROM w.source
 """
+
+# Documents are in order of id, which the test tables hold once each.
+LINE_DEDUP = r"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(ls, 1) - 1 AS pos, unnest(ls) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
+w AS (
+  SELECT *, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+         row_number() OVER (ORDER BY doc_id, pos) AS seq FROM l),
+f AS (SELECT line, any_value(ws) AS ws, min(seq) AS seq FROM w WHERE len(ws) > 0 GROUP BY line),
+long_ AS (SELECT seq, ws, len(ws) AS n, array_to_string(ws, ' ') AS full_ FROM f WHERE len(ws) >= 8),
+places AS (SELECT seq, ws, n, unnest(range(1, n + 1)) AS i FROM long_),
+v AS (
+  SELECT seq, n, i, array_to_string(list_concat(list_slice(ws, 1, i - 1), list_slice(ws, i + 1, n)), ' ') AS rest
+  FROM places),
+by_place AS (SELECT n, i, rest, min(seq) AS m FROM v GROUP BY ALL),
+by_rest AS (SELECT rest, min(seq) AS m FROM v GROUP BY rest),
+by_full AS (SELECT full_, min(seq) AS m FROM long_ GROUP BY full_),
+near AS (
+  SELECT v.seq FROM v JOIN by_place a USING (n, i, rest) WHERE a.m < v.seq
+  UNION SELECT v.seq FROM v JOIN by_full a ON a.full_ = v.rest WHERE a.m < v.seq
+  UNION SELECT b.seq FROM long_ b JOIN by_rest a ON a.rest = b.full_ WHERE a.m < b.seq
+  UNION SELECT b.seq FROM long_ b JOIN by_full a USING (full_) WHERE a.m < b.seq),
+marked AS (
+  SELECT w.doc_id, w.pos, w.line, len(w.ws) = 0 OR (w.seq = f.seq AND near.seq IS NULL) AS stays,
+         coalesce(w.seq = f.seq AND near.seq IS NOT NULL, false) AS near_
+  FROM w LEFT JOIN f ON w.line = f.line LEFT JOIN near ON near.seq = f.seq),
+made AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (stays) AS n_kept, count(*) FILTER (near_) AS n_near,
+         string_agg(line, chr(10) ORDER BY pos) FILTER (stays) AS text FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_kept, 0) AS n_kept, coalesce(n_near, 0) AS n_near,
+       sha256(coalesce(m.text, '')) AS text_sha256 FROM documents d LEFT JOIN made m USING (doc_id)
+"""
