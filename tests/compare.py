@@ -58,7 +58,7 @@ def main() -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con, oracle, bad = duck(sf_dir), entry.oracle_sql(), 0
     for name, run in entry.queries().items():
-        if len(sys.argv) > 2 and name not in sys.argv[2:]:
+        if name not in oracle or len(sys.argv) > 2 and name not in sys.argv[2:]:
             continue
         try:
             got, want, seconds = compare(spark, con, sf_dir, name, run, oracle[name])
