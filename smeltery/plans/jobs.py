@@ -13,7 +13,7 @@ from smeltery import schemas
 from smeltery.operators import dedupe, flags, keys, ledger, quality, rollup
 from smeltery.operators.clean import to_silver
 from smeltery.plans.runlog import recorded
-from smeltery.session import ensure_utc, stage
+from smeltery.session import ensure_utc, scratch, stage
 from smeltery.sinks import tables
 from smeltery.sinks.report import write_report
 from smeltery.sources.batch import read_batch, with_row_numbers
@@ -109,7 +109,8 @@ def ingest_frame(
 ) -> IngestResult:
     """Ingest rows shaped like :func:`smeltery.sources.batch.read_batch`; all or nothing."""
     with recorded(spark, lake, "ingest", input_ref, source=source, files=len(names)) as run:
-        return _ingest(spark, lake, run, source, batch, names)
+        with scratch(spark):
+            return _ingest(spark, lake, run, source, batch, names)
 
 
 def _ingest(spark, lake, run, source, batch, names) -> IngestResult:
@@ -153,7 +154,8 @@ def ingest(
         except Exception as error:
             _ingest_run(spark, lake, run, source, paths, "failed", str(error), utc_now())
             raise
-        return _ingest(spark, lake, run, source, batch, files)
+        with scratch(spark):
+            return _ingest(spark, lake, run, source, batch, files)
 
 
 def not_yet_clean(bronze: DataFrame, silver: DataFrame) -> DataFrame:
@@ -171,7 +173,8 @@ def refresh_clean(
     rows instead, ``everything`` all of them, as after a change of the cleaning rules.
     """
     ensure_utc(spark)
-    with recorded(spark, lake, "clean", "raw_records", limit=limit, everything=everything) as run:
+    name = "clean", "raw_records"
+    with recorded(spark, lake, *name, limit=limit, everything=everything) as run, scratch(spark):
         with run.timed("fetch_raw_records", limit=limit):
             bronze = lake.read(spark, "raw_records")
             if limit is not None:

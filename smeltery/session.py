@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,4 +57,38 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _collectors:
+        _collectors[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# What is staged inside a ``collected`` block, innermost last.
+_collectors: list[list[str]] = []
+
+
+@contextmanager
+def collected() -> Iterator[list[str]]:
+    """Notes the folders staged inside the block, for ``drop_staged``."""
+    paths: list[str] = []
+    _collectors.append(paths)
+    try:
+        yield paths
+    finally:
+        _collectors[:] = [c for c in _collectors if c is not paths]
+
+
+def drop_staged(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes staged folders that no frame will read again."""
+    while paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what is staged inside the block."""
+    with collected() as paths:
+        try:
+            yield
+        finally:
+            drop_staged(spark, paths)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.operators.merge import upsert
-from smeltery.session import stage
+from smeltery.session import scratch, stage
 from smeltery.sources.tables import TABLES, Lake
 
 MONTH = "event_month"
@@ -47,22 +47,23 @@ def upsert_by_month(
     """Upsert into a month-partitioned table, rewriting only the months it touches.
 
     The merged months are first written to the shared folder and then swapped in with a
-    dynamic partition overwrite, so a lost job leaves either the old or the new rows and
-    the staged copy can be replayed.
+    dynamic partition overwrite: Spark moves each month's new files in when all are written. A
+    run that dies during these moves is repaired by running it again; bronze has every row.
     """
     months = touched_months(incoming)
     if not months:
         return
     existing = lake.read_months(spark, table, months)
-    merged = stage(upsert(existing, _conform(incoming, table), (MONTH, *keys), keep), table)
-    (
-        merged.select(*[f.name for f in TABLES[table].fields])
-        .hint("rebalance", MONTH)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(lake.path(table))
-    )
+    with scratch(spark):
+        merged = stage(upsert(existing, _conform(incoming, table), (MONTH, *keys), keep), table)
+        (
+            merged.select(*[f.name for f in TABLES[table].fields])
+            .hint("rebalance", MONTH)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(MONTH)
+            .parquet(lake.path(table))
+        )
 
 
 def upsert_small(
@@ -70,4 +71,5 @@ def upsert_small(
 ) -> None:
     """Upsert into a gold table (one row per day or month) by rewriting it."""
     merged = upsert(lake.read(spark, table), _conform(incoming, table), keys)
-    stage(merged, table).write.mode("overwrite").parquet(lake.path(table))
+    with scratch(spark):
+        stage(merged, table).write.mode("overwrite").parquet(lake.path(table))
