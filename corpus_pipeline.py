@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,32 +14,53 @@ from smeltery.llm.mixing import mixed
 from smeltery.llm.quality import keep_good
 from smeltery.llm.queries import vocabulary
 from smeltery.llm.simhash import one_of_each
-from smeltery.session import stage
+from smeltery.session import collected, drop_staged, stage
+
+# Folders that the stage called last has staged; its output still reads them.
+_LEFT: list[str] = []
+
+
+def step(work):
+    """A stage that first deletes what the one before it staged, as that one's output is written by now."""
+    @wraps(work)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_staged(spark, _LEFT)
+        with collected() as paths:
+            out = work(spark, docs, sf_dir)
+        _LEFT.extend(paths)
+        return out
+    return run_step
+
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+@step
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the rules go."""
     return keep_good(docs)
 
 
+@step
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand earlier, or nearly so, go; no document does."""
     return without_repeated_lines(docs)
 
 
+@step
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     reach_package(spark)
     return one_of_each(docs)
 
 
+@step
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources come near their target weights; a document has a row for each copy."""
     return mixed(docs)
 
 
+@step
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, and digests of them and of the text that they decode to."""
     reach_package(spark)
@@ -53,10 +75,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order; each is written to the shared folder and read again by the next."""
+    """All stages in order; each is written to the shared folder and read again by the next.
+
+    Functions of ``STAGES`` called one by one are to be used likewise: write a stage's output before
+    calling the next.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, step) in enumerate(STAGES):
-        docs = step(spark, docs, sf_dir)
+    for k, (name, work) in enumerate(STAGES):
+        docs = work(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = stage(docs, f"pipeline-{name}")
     return docs
