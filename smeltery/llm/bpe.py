@@ -26,7 +26,7 @@ from smeltery.llm.merges import Merges
 
 # The word pattern of the vocabulary file.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-SEEN_WORDS = 250_000     # words a task remembers, twice
+SEEN_WORDS = 150_000     # words a task remembers, twice
 LONG_WORD = 64           # longer ones are not remembered
 
 
