@@ -15,8 +15,8 @@ import numpy as np
 
 MAGIC = b"RANS0001"
 SCALE = 20               # the frequencies sum to 2 ** SCALE
-LANES = 256
-BLOCK = 65_536           # ids
+LANES = 512
+BLOCK = 131_072          # ids
 LOW = np.uint64(1 << 32)
 HEAD = struct.Struct("<8sBHIQI")   # magic, scale, lanes, blocks, ids, crc32 of the table
 ENTRY = struct.Struct("<QIII")     # offset, ids, words, crc32 of the ids
