@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from smeltery.llm.common import text_of
 from smeltery.llm.crf import Chain, padded
+from smeltery.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
 # The patterns of the contract.
@@ -250,7 +251,8 @@ def sample_table(docs: DataFrame, size: int = SAMPLE) -> list[tuple[list[str], l
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.string())), pa.array(labels, pa.list_(pa.int32()))], names=["words", "labels"])
 
     rows = docs.select(text_of().alias("_text")).mapInArrow(run, "words array<string>, labels array<int>")
-    first = rows.select("words", "labels", F.xxhash64("words").alias("h")).orderBy("h", "words").limit(size).collect()
+    # Merged in a task and written, so that the driver gets ``size`` rows and not those of every task.
+    first = stage(rows.select("words", "labels", F.xxhash64("words").alias("h")).orderBy("h", "words").limit(size), "windows").collect()
     return [(r["words"], r["labels"]) for r in first]
 
 
