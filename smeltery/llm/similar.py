@@ -1,0 +1,260 @@
+"""One document of each group of similar ones: five-word similarity of 0.8 or more, verified.
+
+The similarity of two texts is the share of distinct shingles that both have (Jaccard). Texts equal
+after lowering ASCII letters and joining words by one space are one node. A node's sketch has the
+majority bits of ``64 * WORDS`` hashes of each distinct shingle. Similar texts have counts of
+shingles within a factor of 1 / ``SIMILAR``, so nodes fall into bands of the logarithm of the count
+and a band meets the next few. Pairs within ``RADIUS`` bits are candidates: at similarity 0.8 about
+39 bits of 256 differ, with a deviation of 6. Candidates are verified on the shingles themselves.
+
+Where a block has many candidates (copies of copies), its dense nodes are compared in lists of
+``SIDE`` by ``SIDE`` texts, all with all, and give links enough to keep their parts connected.
+"""
+
+from __future__ import annotations
+
+import math
+from itertools import repeat
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from smeltery.llm.common import text_of
+from smeltery.llm.components import components
+from smeltery.llm.simhash import CHUNK, LOWER
+from smeltery.session import stage
+
+SHINGLE = 5
+SIMILAR = (4, 5)   # at least 4 / 5
+SEED = 43
+WORDS = 4          # of 64 bits
+RADIUS = 76
+FINE = 4           # bands for a factor of 5 / 4
+MANY, SIDE = 16, 128   # candidates of a node from which it counts as dense; texts on a side of a comparison
+SLICE = 4096       # shared shingles counted at a time
+SHORT = 500        # hashes up to which bits are unpacked
+SKETCH = [f"s{k}" for k in range(WORDS)]
+_PLACES = (np.arange(8 * WORDS) * 256).astype(np.int32)
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.float64)
+
+
+def words_in(text: str) -> list[bytes]:
+    return text.encode("utf-8").translate(LOWER).split()
+
+
+def shingles(words: list[bytes]) -> np.ndarray:
+    """Sorted hashes of the distinct shingles; a shorter text is one shingle."""
+    if len(words) <= SHINGLE:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
+    runs = map(b" ".join, zip(*[words[k:] for k in range(SHINGLE)]))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, runs, repeat(SEED)), np.uint64, len(words) - SHINGLE + 1))
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    ones = np.zeros((8 * WORDS, 8))
+    for at in range(0, len(hashes), 1 << 15):
+        h = hashes[at:at + (1 << 15), None] + np.uint64(0x9E3779B97F4A7C15) * np.arange(1, WORDS + 1, dtype=np.uint64)
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        parts = (h ^ (h >> np.uint64(31))).view(np.uint8).reshape(-1, 8 * WORDS)
+        if len(parts) <= SHORT:
+            ones += np.unpackbits(parts, axis=1, bitorder="little").sum(0, dtype=np.int32).reshape(-1, 8)
+        else:
+            ones += np.bincount((parts + _PLACES).ravel(), minlength=256 * 8 * WORDS).reshape(-1, 256) @ _BITS
+    return np.packbits((2 * ones > len(hashes)).ravel(), bitorder="little").view(np.int64)
+
+
+def band(n: int) -> int:
+    return int(FINE * math.log(n) / math.log(SIMILAR[1] / SIMILAR[0]))
+
+
+def with_sketch(docs: DataFrame, keep: list) -> DataFrame:
+    """``keep``, ``node``, ``n`` (distinct shingles), ``band`` and the words of the sketch."""
+    source = docs.select(*keep, text_of().alias("_text"))
+    kept = source.schema.fields[:-1]
+    more = [T.StructField("node", T.LongType()), T.StructField("n", T.LongType()), T.StructField("band", T.IntegerType()),
+            *[T.StructField(s, T.LongType()) for s in SKETCH]]
+
+    def run(batches):
+        for batch in batches:
+            nodes, counts, prints = [], [], np.empty((batch.num_rows, WORDS), np.int64)
+            for i, t in enumerate(batch.column(batch.num_columns - 1)):
+                words = words_in(t.as_py())
+                nodes.append(xxhash.xxh64_intdigest(b" ".join(words)))
+                hashes = shingles(words)
+                counts.append(len(hashes))
+                prints[i] = sketch(hashes)
+            columns = [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(counts, pa.int64()), pa.array(map(band, counts), pa.int32()),
+                       *[pa.array(prints[:, k]) for k in range(WORDS)]]
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(kept))] + columns,
+                                             names=[f.name for f in kept] + [f.name for f in more])
+
+    return source.mapInArrow(run, T.StructType([*kept, *more]))
+
+
+def blocks(nodes: DataFrame) -> DataFrame:
+    """``band``, ``chunk``, ``list``: the distinct nodes, packed."""
+    # A row for each band; there are FINE / log(5 / 4) of them for each factor e of the length.
+    parts = nodes.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts"))
+    placed = nodes.join(F.broadcast(parts), "band")
+    return (placed.groupBy("band", F.pmod(F.xxhash64("node"), F.col("parts")).alias("chunk"))
+            .agg(F.collect_list(F.struct("node", "n", *SKETCH)).alias("list")))
+
+
+def parts_of(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """The smallest number connected with each of ``n`` numbers by the links."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        np.minimum.at(new, x, low)
+        np.minimum.at(new, y, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def candidates(a: tuple, b: tuple, same: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Comparisons of two blocks: lists of nodes, each of the first to meet each of the second.
+    ``a``, ``b``: nodes, counts, sketches."""
+    (u, nu, su), (v, nv, sv) = a, b
+    xs, ys = [], []
+    for at in range(0, len(u), 64):
+        d = np.zeros((len(u[at:at + 64]), len(v)), np.uint16)
+        for k in range(WORDS):
+            d += np.bitwise_count(su[k][at:at + 64, None] ^ sv[k][None, :])
+        x, y = np.nonzero(d <= RADIUS)
+        x = x + at
+        fits = SIMILAR[1] * np.minimum(nu[x], nv[y]) >= SIMILAR[0] * np.maximum(nu[x], nv[y])
+        fits &= u[x] < v[y] if same else True
+        xs.append(x[fits])
+        ys.append(y[fits])
+    p, q = u[np.concatenate(xs)], v[np.concatenate(ys)]
+    out = []
+    if len(p) > 4 * (len(u) + len(v)):
+        values, ids = np.unique(np.concatenate([p, q]), return_inverse=True)
+        x, y = ids[:len(p)], ids[len(p):]
+        dense = np.bincount(ids, minlength=len(values)) > MANY
+        both = dense[x] & dense[y]
+        label = parts_of(x[both], y[both], len(values))
+        of = np.flatnonzero(dense)
+        of = of[np.argsort(label[of], kind="stable")]
+        for part in np.split(of, np.flatnonzero(np.diff(label[of])) + 1):
+            slices = [values[part[k:k + SIDE]] for k in range(0, len(part), SIDE)]
+            out += [(slices[i], slices[j]) for i in range(len(slices)) for j in range(i, len(slices))]
+        p, q = values[x[~both]], values[y[~both]]
+    order = np.argsort(p, kind="stable")
+    p, q = p[order], q[order]
+    for part in np.split(np.arange(len(p)), np.flatnonzero(np.diff(p)) + 1) if len(p) else []:
+        out += [(p[part[:1]], q[part[k:k + SIDE]]) for k in range(0, len(part), SIDE)]
+    return out
+
+
+def proposed(nodes: DataFrame) -> DataFrame:
+    """``a``, ``b``: lists of nodes to be compared (see ``candidates``)."""
+    packed = stage(blocks(nodes), "blocks")
+    left = packed.select(F.col("band").alias("from"), F.col("chunk").alias("part"), F.col("list").alias("a"),
+                         F.explode(F.sequence(F.lit(0), F.lit(FINE + 1))).alias("step"))
+    left = left.select("from", "part", "a", (F.col("from") + F.col("step")).alias("band"))
+    met = left.join(packed, "band").filter((F.col("from") != F.col("band")) | (F.col("part") <= F.col("chunk")))
+    same = (F.col("from") == F.col("band")) & (F.col("part") == F.col("chunk"))
+
+    def arrays(cell):
+        rows = cell.values
+        return (rows.field("node").to_numpy(), rows.field("n").to_numpy(), [rows.field(s).to_numpy().view(np.uint64) for s in SKETCH])
+
+    def run(batches):
+        for batch in batches:
+            for a, b, c in zip(*batch.columns):
+                got = candidates(arrays(a), arrays(b), c.as_py())
+                for at in range(0, len(got), 1024):
+                    some = got[at:at + 1024]
+                    yield pa.RecordBatch.from_arrays([pa.array([g[k] for g in some], pa.list_(pa.int64())) for k in (0, 1)], names=["a", "b"])
+
+    return met.select("a", F.col("list").alias("b"), same.alias("same")).mapInArrow(run, "a array<bigint>, b array<bigint>")
+
+
+def shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each of ``a`` has in common with each of ``b``."""
+    if len(a) == 1:
+        return np.array([[len(np.intersect1d(a[0], y, assume_unique=True)) for y in b]])
+    sets = a + b
+    values, ids, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rows, out = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.zeros((len(a), len(b)))
+    place = np.where(counts > 1, np.cumsum(counts > 1) - 1, -1)[ids]
+    order = np.argsort(place, kind="stable")
+    rows, place = rows[order], place[order]
+    for at in range(0, int(place[-1]) + 1, SLICE):
+        some = slice(*np.searchsorted(place, [at, at + SLICE]))
+        table = np.zeros((len(sets), SLICE), np.float32)
+        table[rows[some], place[some] - at] = 1
+        out += table[:len(a)] @ table[len(a):].T
+    return out.astype(np.int64)
+
+
+def links_of(a: list[tuple[int, np.ndarray]], b: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Links between nodes that are similar; if they are many, as many as keep the same parts connected."""
+    u, v = (np.array([n for n, _ in side], np.int64) for side in (a, b))
+    nu, nv = (np.array([len(h) for _, h in side]) for side in (a, b))
+    common = shared([h for _, h in a], [h for _, h in b])
+    x, y = np.nonzero((SIMILAR[1] * common >= SIMILAR[0] * (nu[:, None] + nv[None, :] - common)) & (u[:, None] != v[None, :]))
+    if len(x) <= 2 * (len(u) + len(v)):
+        return u[x], v[y]
+    values, ids = np.unique(np.concatenate([u, v]), return_inverse=True)
+    label = parts_of(ids[:len(u)][x], ids[len(u):][y], len(values))
+    inner = np.flatnonzero(label != np.arange(len(values)))
+    return values[inner], values[label[inner]]
+
+
+def verified(jobs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``x``, ``y``: links between the nodes of each comparison whose texts (``node``, ``text``) are similar."""
+    jobs = jobs.withColumn("job", F.monotonically_increasing_id())
+    ends = jobs.select("job", F.explode("a").alias("node"), F.lit(0).alias("side")).unionByName(
+        jobs.select("job", F.explode("b").alias("node"), F.lit(1).alias("side")))
+    some = stage(texts.join(ends.select("node").distinct(), "node", "left_semi"), "near-texts")
+    sides = ends.join(some, "node").repartition("job").sortWithinPartitions("job")
+
+    def run(batches):
+        job, sides, xs, ys = None, ([], []), [], []
+
+        def flush():
+            if sides[0] and sides[1]:
+                x, y = links_of(*sides)
+                xs.append(x)
+                ys.append(y)
+
+        # A comparison's rows stand together; only one comparison's hashes are held.
+        for batch in batches:
+            for k, n, side, t in zip(*[c.to_pylist() for c in batch.columns[:3]], batch.column(3)):
+                if k != job:
+                    flush()
+                    job, sides = k, ([], [])
+                sides[side].append((n, shingles(words_in(t.as_py()))))
+            if xs:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (xs, ys)], names=["x", "y"])
+                xs, ys = [], []
+        flush()
+        if xs:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (xs, ys)], names=["x", "y"])
+
+    return sides.select("job", "node", "side", "text").mapInArrow(run, "x bigint, y bigint")
+
+
+def one_of_similar(docs: DataFrame) -> DataFrame:
+    """The document with the smallest id of every group linked by similarity, with the columns it came with.
+
+    Among rows of equal id (or only null ids, which come last) any one stays.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    rows = stage(with_sketch(docs, [F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("bigint").alias("_id"), whole]), "near")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row")))
+    nodes = stage(rows.groupBy("node", "n", "band", *SKETCH).agg(first.alias("best")), "nodes")
+    texts = rows.join(nodes.select(F.col("best.row").alias("_row")), "_row", "left_semi").select("node", text_of("_doc.text").alias("text"))
+    jobs = stage(proposed(nodes), "near-jobs")
+    roots = components(stage(verified(jobs, texts), "near-links")).withColumnRenamed("node", "_node")
+    kept = (nodes.join(roots, nodes["node"] == roots["_node"], "left").groupBy(F.coalesce("root", "node").alias("root"))
+            .agg(F.min("best").alias("best")).select(F.col("best.row").alias("_row")))
+    return rows.join(kept, "_row", "left_semi").select("_doc.*")

@@ -1,0 +1,68 @@
+import random
+import re
+
+import numpy as np
+
+import corpus_pipeline
+from conftest_text import prose
+from smeltery.llm import similar as q
+
+
+def shingle_set(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def brute(rows):
+    """Ids that stay: the smallest of every group linked by similarity."""
+    sets = [shingle_set(r[1]) for r in rows]
+    near = np.array([[5 * len(a & b) >= 4 * len(a | b) for b in sets] for a in sets])
+    label = np.arange(len(rows))
+    while True:
+        new = np.array([label[near[i]].min() for i in range(len(rows))])
+        if (new == label).all():
+            break
+        label = new
+    least = {}
+    for r, c in zip(rows, label):
+        if r[0] is not None:
+            least[c] = min(least.get(c, r[0]), r[0])
+    return sorted(least.values())
+
+
+def edited(rng, text, edits):
+    w = text.split()
+    for k in rng.sample(range(len(w)), edits):
+        w[k] = f"e{rng.randint(0, 99)}"
+    return " ".join(w)
+
+
+def kept(frame):
+    return sorted(r.doc_id for r in frame.collect() if r.doc_id is not None)
+
+
+def test_near_copies(spark, docs_of, corpus):
+    # Copies with 1 to 12 edits in 300 words: similarity from 0.97 down to 0.66.
+    rng, many = random.Random(6), [f"w{k}" for k in range(400)]
+    rows = list(corpus)
+    for g in range(12):
+        base = prose(rng, 300, many)
+        rows += [(10_000 + 100 * g + e, edited(rng, base, e)) for e in range(13)]
+    rows += [(20_000 + n, prose(random.Random(8), n, many)) for n in range(1, 14)]
+    want = brute(rows)
+    assert kept(q.one_of_similar(docs_of(rows))) == want
+    assert kept(dict(corpus_pipeline.STAGES)["simhash"](spark, docs_of(rows), "")) == want
+    assert q.one_of_similar(docs_of([])).count() == 0
+
+
+def test_dense_group(docs_of):
+    rng, many = random.Random(9), [f"w{k}" for k in range(400)]
+    base = prose(rng, 400, many)
+    rows = [(i, edited(rng, base, rng.randint(0, 4))) for i in range(150)]
+    rows += [(1000 + i, prose(rng, 400, many)) for i in range(20)]
+    assert kept(q.one_of_similar(docs_of(rows))) == brute(rows) == [0, *range(1000, 1020)]
+    # Compared in lists: far fewer rows than pairs.
+    nodes = [(q.shingles(q.words_in(t))) for _, t in rows[:150]]
+    s = np.array([q.sketch(h) for h in nodes]).view(np.uint64)
+    block = (np.arange(150), np.array([len(h) for h in nodes]), list(s.T))
+    assert len(q.candidates(block, block, True)) == 3
