@@ -14,6 +14,7 @@ an empty table the field knows the made-up lines alone.
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 
@@ -36,7 +37,8 @@ SPARK = re.compile(r"[0-9@]|(?<!\S)[\[({]?(?:at|dot)[\])}]?(?!\S)")
 WORD = re.compile(r"\S+")
 SPELLED = re.compile(r"\S+@\S+|\S+\s+[\[({]?at[\])}]?\s+\S+(\s+[\[({]?dot[\])}]?\s+[A-Za-z]{2,12})+", re.I)
 AROUND = 3            # words taken on either side of a digit or at sign
-LONGEST = 16          # words labelled at a time
+LONGEST = 16          # words of a window of the labelled table
+MARGIN = 16           # words labelled on either side of those that a part of a run answers for; a span has fewer
 SAMPLE = 1500         # windows of the corpus in the labelled table
 EXAMPLES = 500        # made-up lines in it
 LABELS = ["O", *[f"{b}-{k}" for k in KINDS for b in "BI"]]
@@ -69,15 +71,17 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def windows(text: str) -> list[list[tuple[int, int]]]:
-    """Spans of the words near digits, at signs and their spellings, in runs of bounded length."""
+def windows(text: str, longest: float = LONGEST, meet: bool = False) -> list[list[tuple[int, int]]]:
+    """Spans of the words near digits, at signs and their spellings, in runs of bounded length.
+    With ``meet``, the words before a run may be the last ones of the run before."""
     marks = [m.start() for m in SPARK.finditer(text)] if DIGIT.search(text) or "@" in text or "dot" in text else []
     out, done = [], -1
     for at in marks:
         if at < done:
             continue
-        left = max(at - 100, done, 0)
-        while left > max(done, 0) and not text[left - 1].isspace():
+        least = 0 if meet else max(done, 0)
+        left = max(at - 100, least)
+        while left > least and not text[left - 1].isspace():
             left -= 1
         before = [m.span() for m in WORD.finditer(text, left, at)]
         cut = before[-1][0] if before and before[-1][1] == at else at
@@ -86,13 +90,26 @@ def windows(text: str) -> list[list[tuple[int, int]]]:
         for m in WORD.finditer(text, cut):
             words.append(m.span())
             quiet = 0 if SPARK.search(text, *m.span()) else quiet + 1
-            if quiet >= AROUND or len(words) >= LONGEST:
+            if quiet >= AROUND or len(words) >= longest:
                 break
         done = words[-1][1]
         out.append(words)
     return out
 
 
+def views(text: str) -> list[tuple[list[tuple[int, int]], int, int]]:
+    """Overlapping parts of the whole runs, and of each the first and last place where its spans begin.
+
+    A part reaches ``MARGIN`` words beyond the places it answers for, on both sides.
+    """
+    out = []
+    for run in windows(text, math.inf, True):
+        for at in range(0, len(run), MARGIN):
+            left = max(at - MARGIN, 0)
+            out.append((run[left:at + 2 * MARGIN], at - left, min(at - left + MARGIN, len(run) - left)))
+    return out
+
+
 def shape(word: str) -> str:
     """Runs of letters as a, capitals A, digits d and their number; other signs stay."""
     short = word[:48]
@@ -190,19 +207,22 @@ class Tagger:
 
     def label(self, lines: list[list[str]]) -> list[list[int]]:
         """Labels of each list of words, decoded in batches."""
-        out: list[list[int]] = []
+        out: list[list[int]] = [[] for _ in lines]
+        order = sorted(range(len(lines)), key=lambda i: len(lines[i]))   # like lengths together, as all are padded to the longest
         for at in range(0, len(lines), 2048):
-            some = lines[at:at + 2048]
-            features, sizes = padded([[[self.names[f] for f in fs if f in self.names] for fs in traits(w)] for w in some])
-            out += [row[:n] for row, n in zip(self.chain.decode(features, sizes).tolist(), sizes.tolist())]
+            some = order[at:at + 2048]
+            features, sizes = padded([[[self.names[f] for f in fs if f in self.names] for fs in traits(lines[i])] for i in some])
+            for i, row, n in zip(some, self.chain.decode(features, sizes).tolist(), sizes.tolist()):
+                out[i] = row[:n]
         return out
 
     def added(self, texts: list[str], bases: list[list[tuple[str, int, int]]]) -> list[list[tuple[str, int, int]]]:
         """Spans of the field that meet no base span."""
-        jobs = [(i, w) for i, t in enumerate(texts) for w in windows(t)]
-        labels = self.label([[texts[i][a:b] for a, b in w] for i, w in jobs])
+        jobs = [(i, *v) for i, t in enumerate(texts) for v in views(t)]
+        labels = self.label([[texts[i][a:b] for a, b in w] for i, w, _, _ in jobs])
         out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-        for (i, words), row in zip(jobs, labels):
+        done = [0] * len(texts)   # end of the last span, as the next part may begin one inside it
+        for (i, words, first, last), row in zip(jobs, labels):
             at = 0
             while at < len(row):
                 if row[at] == 0:
@@ -211,7 +231,10 @@ class Tagger:
                 stop = at + 1
                 while stop < len(row) and row[stop] == row[at] + 1:
                     stop += 1
-                kind = LABELS[row[at]][2:]
+                if not first <= at < last or words[at][0] < done[i]:
+                    at = stop
+                    continue
+                kind, done[i] = LABELS[row[at]][2:], words[stop - 1][1]
                 span = trimmed(texts[i], kind, words[at][0], words[stop - 1][1])
                 if span and not any(s < span[2] and span[1] < e for _, s, e in bases[i]):
                     out[i].append(span)
