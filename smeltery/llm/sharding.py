@@ -2,12 +2,14 @@
 
 Documents with equal texts are linked, through a node that stands for the text. Linked documents
 start on a shard by hash. In each round every text looks at how many of its bytes lie on each shard
-and calls its documents to the shard with most of them that has room; the calls are joined back to
-the documents, and each shard admits callers in order of a hash of text and id as far as its quota
-goes. Rounds end when nothing moves. What lies beyond an equal share of all bytes then leaves its
-shard, and those documents together with the unlinked ones level the shards: they are counted by
-size class and hash bucket, a table of fixed size, and these units go to the lightest shard, largest
-first. A text that holds more bytes than a shard is split over several.
+and calls all its documents to the shard with most of them that has room (in the first round, to any);
+the calls are joined back to the documents, and each shard admits callers in order of a hash of text
+and id as far as its quota goes, to which what leaves the shard adds. Rounds end when nothing moves,
+or after ``ROUNDS``. What lies beyond an equal share of all bytes then leaves its shard, and so do the
+texts of up to ``SMALL`` of a share that are still split. Those together with the unlinked documents
+level the shards: they are counted by size class and hash bucket, a table of fixed size, and these
+units go to the lightest shard, largest first. The copies of a text of up to ``SMALL`` move as one, so
+such texts always end whole. A text that holds more bytes than a shard is split over several.
 
 Null text has no bytes (size 8, checksum 0). Null ids are placed like others. Repeated rows are
 copies of each other. An empty table gives an empty result.
@@ -23,7 +25,8 @@ from smeltery.llm.common import text_key, text_of
 from smeltery.session import stage
 
 SHARDS = 24
-ROUNDS = 5
+ROUNDS = 20
+SMALL = 0.05                        # of a share: texts that move as one
 GROUP_STEPS, ROW_STEPS = 1024, 64   # order of admission: by text, then by document
 CLASSES, BUCKETS = 40, 2048         # units for levelling: powers of two of the size, hash buckets
 SLOT_PARTS = 1024
@@ -37,8 +40,9 @@ def rows_of(docs: DataFrame) -> DataFrame:
 
 
 def turn() -> Column:
-    """The place of a document in the order of admission; a text's documents stand together."""
-    return (F.pmod(F.xxhash64(*TEXT), F.lit(GROUP_STEPS)) * ROW_STEPS + F.pmod("mark", F.lit(ROW_STEPS))).cast("int")
+    """The place of a document in the order of admission; a text's documents stand together, those of a small one at one place."""
+    row = F.when(F.col("small"), F.lit(0)).otherwise(F.pmod("mark", F.lit(ROW_STEPS)))
+    return (F.pmod(F.xxhash64(*TEXT), F.lit(GROUP_STEPS)) * ROW_STEPS + row).cast("int")
 
 
 def by_shard(values: list) -> Column:
@@ -68,15 +72,15 @@ def admitted(rows: DataFrame, column: str, quota: list[float]) -> list[int]:
 def propagate(linked: DataFrame, share: float) -> DataFrame:
     """``linked`` with ``shard``."""
     linked = stage(linked.withColumn("shard", F.pmod("mark", F.lit(SHARDS)).cast("int")), "linked")
-    for _ in range(ROUNDS):
+    for k in range(ROUNDS):
         load = loads(linked)
         room = [max(0.0, share - x) for x in load]
         held = linked.groupBy(*TEXT, "shard").agg(F.sum("size").alias("held"))
-        open_ = held.withColumn("_at", F.col("shard")).filter((by_shard(room) > 0.01 * share) | (F.col("held") > 0.5 * share))
-        call = open_.groupBy(*TEXT).agg(F.max(F.struct("held", -F.col("shard"))).alias("b")).select(
-            *TEXT, F.col("b.held").alias("there"), (-F.col("b.col2")).alias("to"))
-        here = held.join(call, TEXT).select(*TEXT, "shard", F.when(F.col("there") > F.col("held"), F.col("to"))
-                                            .when((F.col("there") == F.col("held")) & (F.col("to") < F.col("shard")), F.col("to")).alias("to"))
+        open_ = held if not k else held.withColumn("_at", F.col("shard")).filter((by_shard(room) > 0.01 * share) | (F.col("held") > 0.5 * share))
+        # Of equal shards a hash chooses, so that no shard is called to more than others.
+        call = open_.groupBy(*TEXT).agg(F.max(F.struct("held", F.xxhash64(*TEXT, "shard").alias("hash"), "shard")).alias("b")).select(
+            *TEXT, F.col("b.shard").alias("to"))
+        here = held.join(call, TEXT).select(*TEXT, "shard", F.when(F.col("to") != F.col("shard"), F.col("to")).alias("to"))
         # One row for each text and shard on the right; the join of a text that many documents have is split by Spark.
         called = stage(linked.join(here, [*TEXT, "shard"], "left"), "called")
         movers = called.filter("`to` is not null")
@@ -95,7 +99,7 @@ def propagate(linked: DataFrame, share: float) -> DataFrame:
 
 def unit() -> list[Column]:
     size_class = F.least(F.length(F.bin("size")), F.lit(CLASSES)).cast("int")
-    return [size_class.alias("class"), F.pmod(F.xxhash64("mark"), F.lit(BUCKETS)).cast("int").alias("bucket")]
+    return [size_class.alias("class"), F.pmod(F.when(F.col("small"), F.xxhash64(F.lit(5), *TEXT)).otherwise(F.xxhash64("mark")), F.lit(BUCKETS)).cast("int").alias("bucket")]
 
 
 def levelled(loose: DataFrame, load: list[int]) -> DataFrame:
@@ -107,7 +111,7 @@ def levelled(loose: DataFrame, load: list[int]) -> DataFrame:
     heap = [(x, k) for k, x in enumerate(load)]
     heapq.heapify(heap)
     placed = []
-    for size_class, bucket, size in sorted(units, key=lambda u: (-u[0], -u[2], u[1])):
+    for size_class, bucket, size in sorted(units, key=lambda u: (-u[2], u[0], u[1])):
         x, k = heapq.heappop(heap)
         heapq.heappush(heap, (x + size, k))
         placed.append((size_class, bucket, k))
@@ -131,12 +135,14 @@ def shards(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``size``, ``text_crc32``, ``law`` ("bytes"), ``shard``, ``slot``, ``grown_shard`` (null)."""
     rows = stage(rows_of(docs), "rows")
     share = (rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]) / SHARDS
-    many = rows.groupBy(*TEXT).agg(F.count(F.lit(1)).alias("c"))
+    many = rows.groupBy(*TEXT).agg(F.count(F.lit(1)).alias("c"), (F.sum("size") <= SMALL * share).alias("small"))
     split = stage(rows.join(many, TEXT), "copies")
     linked = propagate(split.filter("c > 1").drop("c"), share)
-    # Bytes beyond an equal share leave; they and the unlinked documents level the shards.
-    last = admitted(linked, "shard", [share] * SHARDS)
-    linked = linked.withColumn("_at", F.col("shard")).withColumn("stays", turn() <= by_shard(last)).drop("_at")
+    # Small texts still split leave, and bytes beyond an equal share; they and the unlinked documents level the shards.
+    apart = linked.filter("small").groupBy(*TEXT).agg((F.min("shard") != F.max("shard")).alias("apart")).filter("apart")
+    whole = stage(linked.join(apart, TEXT, "left"), "whole")
+    last = admitted(whole.filter("apart is null"), "shard", [share] * SHARDS)
+    linked = whole.withColumn("_at", F.col("shard")).withColumn("stays", F.col("apart").isNull() & (turn() <= by_shard(last))).drop("_at", "apart")
     stay = stage(linked, "settled")
     loose = split.filter("c = 1").drop("c").unionByName(stay.filter("not stays").drop("stays", "shard"))
     stay = stay.filter("stays").drop("stays")
