@@ -2,8 +2,8 @@
 
 A line is a ``\\n``-split part of a text; its words are runs of non-blanks. Documents are in order of
 id (null last, equal ids by text hash), lines in order of place. A line goes if the same line stands
-earlier, or if it has at least ``MIN_WORDS`` words and an earlier, different line lies within an edit
-distance of one word (one word replaced, added or left out). Lines without words always stay.
+earlier, or if it has at least ``MIN_WORDS`` words and an earlier, different line that has them too lies
+within an edit distance of one word (one word replaced, added or left out). Lines without words always stay.
 
 Distinct lines are found by partial aggregates. Their deletion neighbourhood (the line, and the line
 without its i-th word) is emitted as hashed keys. Before that, lines that can't have a partner are
