@@ -4,7 +4,8 @@ Texts are cut into words as the vocabulary's own rules say (canonical compositio
 space dropped, special strings kept whole). Each task keeps the ids of words it has seen, up to a
 bound; new words of a batch are encoded together (``merges``). Decoding joins the tokens of the ids.
 
-Null text counts as empty and gives no ids. Repeated rows give the same result each. A lone
+Null text counts as empty and gives no ids. Repeated rows give the same result each, an empty table an
+empty result. Only the columns in ``keep`` are read beside the text, so clashing names can't meet. A lone
 surrogate can't occur, as Spark strings are UTF-8.
 """
 
@@ -16,11 +17,12 @@ import unicodedata
 from array import array
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from smeltery.llm.common import text_of
+from smeltery.llm.common import slices, text_of
 from smeltery.llm.letters import LetterGuard
 from smeltery.llm.merges import Merges
 
@@ -101,34 +103,26 @@ def coder(path: str) -> WordCoder:
 
 FIELDS = {"n_tokens": (T.LongType(), pa.int64()), "ids_sha256": (T.StringType(), pa.string()),
           "decoded_sha256": (T.StringType(), pa.string()), "ids": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())), "decoded": (T.StringType(), pa.string())}
-GROUP_CHARS = 4_000_000  # of texts encoded together
-
-
-def groups(texts: list[str]):
-    at = 0
-    while at < len(texts):
-        stop, size = at, 0
-        while stop < len(texts) and (stop == at or size + len(texts[stop]) <= GROUP_CHARS):
-            size += len(texts[stop])
-            stop += 1
-        yield texts[at:stop]
-        at = stop
+GROUP_BYTES = 2_000_000  # of texts encoded together and sent on as one batch
 
 
 def encode(docs: DataFrame, path: str, keep: list[str], fields: list[str]) -> DataFrame:
-    """The ``keep`` columns and of each text the ``fields``: ids, decoded text, their count and digests."""
+    """The ``keep`` columns and of each text the ``fields``: ids, decoded text, their count and digests.
+
+    A task holds the words and ids of one group of texts at a time, ids as bytes, never as Python numbers.
+    """
     source = docs.select(*[F.col(f"`{c}`") for c in keep], text_of().alias("_text"))
     schema = T.StructType([*source.schema.fields[:-1], *[T.StructField(k, FIELDS[k][0]) for k in fields]])
 
     def run(batches):
         own = coder(path)
         for batch in batches:
-            rest = [batch.column(i) for i in range(batch.num_columns - 1)]
-            made = {k: [] for k in fields}
-            for texts in groups(batch.column(batch.num_columns - 1).to_pylist()):
-                split = [own.words(t) for t in texts]
+            for part in slices(batch, batch.num_columns - 1, GROUP_BYTES):
+                split = [own.words(t.as_py()) for t in part.column(part.num_columns - 1)]
                 known = own.learn(split)
-                for words in split:
+                made = {k: [] for k in fields}
+                for i, words in enumerate(split):
+                    split[i] = None
                     got = [known[w] for w in words]
                     ids = b"".join([g[0] for g in got])
                     if "n_tokens" in made:
@@ -136,14 +130,21 @@ def encode(docs: DataFrame, path: str, keep: list[str], fields: list[str]) -> Da
                     if "ids_sha256" in made:
                         made["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
                     if "ids" in made:
-                        made["ids"].append(array("I", ids).tolist())
+                        made["ids"].append(ids)
                     if "decoded_sha256" in made or "decoded" in made:
                         text = " ".join([g[1] for g in got])
                         if "decoded" in made:
                             made["decoded"].append(text)
                         if "decoded_sha256" in made:
                             made["decoded_sha256"].append(hashlib.sha256(text.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                rest + [pa.array(made[k], FIELDS[k][1]) for k in fields], names=[*keep, *fields])
+                columns = [id_lists(made[k]) if k == "ids" else pa.array(made[k], FIELDS[k][1]) for k in fields]
+                yield pa.RecordBatch.from_arrays(part.columns[:-1] + columns, names=[*keep, *fields])
 
     return source.mapInArrow(run, schema)
+
+
+def id_lists(rows: list[bytes]) -> pa.Array:
+    """Lists of ids over one buffer."""
+    ends = np.cumsum([0, *[len(r) // 4 for r in rows]])
+    flat = pa.py_buffer(b"".join(rows))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, flat]))

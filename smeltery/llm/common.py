@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -34,6 +36,19 @@ def text_key(text: Column) -> list[Column]:
             F.octet_length(text).cast("long").alias("_len")]
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts in ``column`` hold about ``size`` bytes; a longer text is a run of its own."""
+    lengths = pc.binary_length(batch.column(column)).to_pylist()
+    start = total = 0
+    for at, n in enumerate(lengths):
+        if at > start and total + (n or 0) > size:
+            yield batch.slice(start, at - start)
+            start, total = at, 0
+        total += n or 0
+    if start < len(lengths):
+        yield batch.slice(start)
+
+
 def reach_package(spark) -> None:
     """Lets Python workers of this machine import the package, wherever the session was started.
 

@@ -48,8 +48,17 @@ def unit(x: np.ndarray) -> np.ndarray:
     return (scaled / np.linalg.norm(scaled, axis=1, keepdims=True)).astype(np.float32)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    return np.ldexp(x, -np.frexp(np.abs(x).max(-1, keepdims=True))[1])
+
+
 def exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Cosines in double precision of each query with its own rows of ``x``."""
+    """Cosines in double precision of each query with its own rows of ``x``.
+
+    Both are first divided by a power of two near their largest component: this rounds nothing, and squares
+    of very large or small components stay finite and above zero.
+    """
+    q, x = scaled(q), scaled(x)
     return np.einsum("qd,qkd->qk", q, x) / (np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=2))
 
 

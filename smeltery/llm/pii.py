@@ -8,7 +8,8 @@ a plus sign, addresses spelled with "at" and "dot"). It labels only near digits,
 spellings, as a span always holds one. Its spans are added where they meet none of the patterns.
 
 Places count code points. Null text counts as empty. Repeated rows give the same result each. With
-an empty table the field knows the made-up lines alone.
+an empty table the field knows the made-up lines alone. Only ``doc_id`` and ``text`` are read, so other
+columns may have any name. Patterns and field read a text of any length in linear time.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import hashlib
 import math
 import random
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,19 +30,22 @@ from smeltery.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
 # The patterns of the contract.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+NAME = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"   # before the at sign
+HOST = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")                                 # after it
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
-SPARK = re.compile(r"[0-9@]|(?<!\S)[\[({]?(?:at|dot)[\])}]?(?!\S)")
+SPARK = re.compile(r"[0-9@]|(?<!\S)[\[({]?(?:at|dot)[\])}]?(?!\S)", re.I)
 WORD = re.compile(r"\S+")
 SPELLED = re.compile(r"\S+@\S+|\S+\s+[\[({]?at[\])}]?\s+\S+(\s+[\[({]?dot[\])}]?\s+[A-Za-z]{2,12})+", re.I)
 AROUND = 3            # words taken on either side of a digit or at sign
 LONGEST = 16          # words of a window of the labelled table
+LONGEST_EMAIL = 320   # code points of a spelled email that the field adds
 MARGIN = 16           # words labelled on either side of those that a part of a run answers for; a span has fewer
 SAMPLE = 1500         # windows of the corpus in the labelled table
 EXAMPLES = 500        # made-up lines in it
+CASED = 60            # pairs of made-up lines in other cases
 LABELS = ["O", *[f"{b}-{k}" for k in KINDS for b in "BI"]]
 
 
@@ -56,15 +61,37 @@ def digits_of(s: str) -> str:
     return "".join(DIGIT.findall(s))
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of emails. A match begins where the run of name signs before an at sign begins, or where the
+    match before ended, so one look back from each at sign finds it and a text is read once."""
+    least, at = 0, text.find("@")
+    while at >= 0:
+        start = least + len(text[least:at].rstrip(NAME))
+        host = HOST.match(text, at + 1) if start < at else None
+        least = host.end() if host else at + 1
+        if host:
+            yield start, least
+        at = text.find("@", least)
+
+
+def is_part(digits: str) -> bool:
+    """Whether a part of an address is at most 255, however many zeros lead it."""
+    value = digits.lstrip("0")
+    return len(value) < 4 and int(value or 0) <= 255
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
-    """Spans of the fixed patterns, by kind, then by start."""
+    """Spans of the fixed patterns, by kind, then by start, in time linear in the text.
+
+    An address can only begin where a run of digits begins: from inside a run the same dots follow.
+    """
     found = []
     if "@" in text:
-        found += [("email", *m.span()) for m in EMAIL.finditer(text)]
+        found += [("email", *span) for span in emails(text)]
     if DIGIT.search(text):
-        found += [("ip", *m.span()) for m in IP.finditer(text) if all(len(p) < 30 and int(p) <= 255 for p in m[0].split("."))]
+        found += [("ip", *m.span()) for m in IP.finditer(text) if all(map(is_part, m[0].split(".")))]
         for m in CARD.finditer(text):
-            if m.end() - m.start() >= 13 and 13 <= len(d := digits_of(m[0])) <= 19 and luhn(d):
+            if 13 <= m.end() - m.start() < 38 and 13 <= len(d := digits_of(m[0])) <= 19 and luhn(d):
                 found.append(("card", *m.span()))
         if "+" in text:
             found += [("phone", *m.span()) for m in PHONE.finditer(text) if 9 <= len(digits_of(m[0])) <= 15]
@@ -74,7 +101,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def windows(text: str, longest: float = LONGEST, meet: bool = False) -> list[list[tuple[int, int]]]:
     """Spans of the words near digits, at signs and their spellings, in runs of bounded length.
     With ``meet``, the words before a run may be the last ones of the run before."""
-    marks = [m.start() for m in SPARK.finditer(text)] if DIGIT.search(text) or "@" in text or "dot" in text else []
+    marks = [m.start() for m in SPARK.finditer(text)] if DIGIT.search(text) or "@" in text or "dot" in text.lower() else []
     out, done = [], -1
     for at in marks:
         if at < done:
@@ -174,6 +201,11 @@ def made_up() -> list[tuple[str, list[tuple[str, int, int]]]]:
             rows.append((f"{before} {value}{rng.choice(['', ',', '.'])} {after}", [(kind, len(before) + 1, len(before) + 1 + len(value))]))
         else:
             rows.append((f"{before} {plain[i // 2 % len(plain)]()} {after}", []))
+    for i in range(CASED):   # spelled emails again, in capitals or with a capital for each word
+        before, value, after = word(), spelled[4 + i % 3][1](), word()
+        other = [str.upper, str.title][i // 3 % 2]
+        rows.append((other(f"{before} {value} {after}"), [("email", len(before) + 1, len(before) + 1 + len(value))]))
+        rows.append((other(f"{before} at {after} {word()}"), []))
     return rows
 
 
@@ -253,7 +285,7 @@ def trimmed(text: str, kind: str, start: int, end: int) -> tuple[str, int, int]
     n = len(DIGIT.findall(value))
     fits = {"phone": 7 <= n <= 15, "card": 13 <= n <= 19 and luhn(digits_of(value)),
             "ip": len(parts := re.findall("[0-9]{1,3}", value)) == 4 and all(int(p) <= 255 for p in parts),
-            "email": SPELLED.fullmatch(value) is not None}[kind]
+            "email": len(value) <= LONGEST_EMAIL and SPELLED.fullmatch(value) is not None}[kind]
     return (kind, start, end) if fits and start < end else None
 
 

@@ -53,3 +53,13 @@ def test_several_shards(spark, docs_of, monkeypatch):
 def test_empty(spark, docs_of):
     assert q.neighbours_of_sample(frame(spark, [])).count() == 0
     assert q.neighbours_of_sample(frame(spark, [(0, [1.0], 0)])).count() == 0
+
+
+def test_cosines_of_extreme_components():
+    small, large = np.array([[1e-200, 0.0]]), np.array([[1e200, 0.0]])
+    for a in (small, large, np.array([[1.0, 0.0]])):
+        for b in (small, large):
+            assert q.exact(a, b[None]).tolist() == [[1.0]]
+    x = np.random.default_rng(3).normal(size=(50, 16))
+    plain = np.einsum("qd,qkd->qk", x, x[None].repeat(50, 0)) / (np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(x, axis=1)[None])
+    assert (q.exact(x, x[None].repeat(50, 0)) == plain).all()
