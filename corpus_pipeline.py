@@ -13,7 +13,7 @@ from smeltery.llm.line_dedup import without_repeated_lines
 from smeltery.llm.mixing import mixed
 from smeltery.llm.quality import keep_good
 from smeltery.llm.queries import vocabulary
-from smeltery.llm.similar import one_of_similar
+from smeltery.llm.simhash import one_of_each
 from smeltery.session import collected, drop_staged, stage
 
 # Folders that the stage called last has staged; its output still reads them.
@@ -49,9 +49,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @step
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of five-word similarity 0.8 or more stays."""
+    """One document of each group of fingerprints within three bits stays."""
     reach_package(spark)
-    return one_of_similar(docs)
+    return one_of_each(docs)
 
 
 @step
