@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from smeltery.llm import sql
 from smeltery.llm.bpe import encode
+from smeltery.llm.classifier import quality_scores
 from smeltery.llm.common import documents, reach_package
 from smeltery.llm.line_dedup import line_counts
 from smeltery.llm.manifest import proofs
@@ -68,10 +69,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs(documents(spark, sf_dir))
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op3_quality_rules, op4_token_counts, op5_token_files, op6_personal_data, op7_nearest, op8_simhash, op9_sharding, op10_mixing,
-                                   op13_manifest)}
+                                   op11_quality_classifier, op13_manifest)}
 ORACLE = {"op1_line_dedup": sql.LINE_DEDUP, "op3_quality_rules": sql.QUALITY, "op13_manifest": sql.MANIFEST}
