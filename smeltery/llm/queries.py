@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from smeltery.llm import sql
+from smeltery.llm.alignment import alignment
 from smeltery.llm.bpe import encode
 from smeltery.llm.classifier import quality_scores
 from smeltery.llm.common import documents, reach_package
@@ -73,10 +74,14 @@ def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs(documents(spark, sf_dir))
 
 
 QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_bpe, op3_quality_rules, op4_token_counts, op5_token_files, op6_personal_data, op7_nearest, op8_simhash, op9_sharding, op10_mixing,
-                                   op11_quality_classifier, op13_manifest)}
+                                   op11_quality_classifier, op12_alignment, op13_manifest)}
 ORACLE = {"op1_line_dedup": sql.LINE_DEDUP, "op3_quality_rules": sql.QUALITY, "op13_manifest": sql.MANIFEST}
