@@ -38,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
     flags.add_argument("--limit", type=int, help="so many of the newest rows; default: all")
     flags.add_argument("--out", required=True)
     commands.add_parser("runs")
+    commands.add_parser("repair", help="keep one row of each key that bronze holds twice")
     return top
 
 
@@ -70,6 +71,8 @@ def main(argv: list[str] | None = None) -> None:
         done.top.show(truncate=False)
     elif args.command == "runs":
         print_all(ledger.recent_runs(ledger.current(lake.read(spark, "pipeline_runs"))))
+    elif args.command == "repair":
+        print(f"Rows deleted: {jobs.repair(spark, lake)}")
     else:
         print(jobs.run_all(spark, lake, args.source, args.paths, args.out))
 

@@ -68,18 +68,24 @@ def check_batch(staged: DataFrame) -> dict:
 
 def insert_batch(
     spark: SparkSession, lake: Lake, staged: DataFrame, run_id: str, now: datetime
-) -> int:
-    """Insert-if-absent of a checked batch; the first row of a key in arrival order wins."""
+) -> tuple[int, int]:
+    """Insert-if-absent of a checked batch; the first row of a key in arrival order wins.
+
+    The new rows are written where readers don't see them and published by one rename to the number after
+    the last batch that was looked up. If another batch took it, only that one is looked up as well, so no
+    key is stored twice, whoever else writes. Returns the rows inserted and the batch's number.
+    """
     first = dedupe.keep_first(staged, PLACE)
     months = tables.touched_months(staged)
+    last = max(lake.batches(spark), default=0)
     # Equal keys share an event month, so only those months of the table can hold them.
     stored = lake.read_months(spark, "raw_records", months)
+    if unproven(spark, lake):
+        check_unique(stored)
     fresh = dedupe.new_only(first, stored, probe=staged)
-    numbered = with_row_numbers(fresh, staged)
-    added = tables.append(
-        lake,
-        "raw_records",
-        numbered.withColumns(
+    batch = tables.PendingBatch.write(
+        spark, lake,
+        with_row_numbers(fresh, staged).withColumns(
             {
                 "id": F.sha2(F.concat_ws("|", "source", "record_hash"), 256),
                 "run_id": F.lit(run_id),
@@ -87,12 +93,30 @@ def insert_batch(
             }
         ),
     )
-    check_unique(lake.read_months(spark, "raw_records", months))
-    return added
+    try:
+        while not batch.publish(last):
+            before, last = last, max(lake.batches(spark))
+            late = lake.read_months(spark, "raw_records", months, after=before)
+            rest = tables.PendingBatch.write(spark, lake, dedupe.new_only(batch.read(), late))
+            batch.drop()
+            batch = rest
+    except Exception:
+        batch.drop()
+        raise
+    return batch.rows, batch.number
+
+
+def unproven(spark: SparkSession, lake: Lake) -> list[int]:
+    """Batches whose keys no run of these jobs has looked up: neither published by an ingest run that
+    succeeded, nor covered by a repair."""
+    runs = lake.read(spark, "pipeline_runs").where("status = 'succeeded'")
+    noted = runs.select(F.col("meta")["batch"].cast("int").alias("n"), F.col("meta")["proven_upto"].cast("int").alias("upto"))
+    proven = noted.agg(F.collect_set("n"), F.max("upto")).first()   # a number for each batch
+    return [n for n in lake.batches(spark) if n > (proven[1] or 0) and n not in set(proven[0])]
 
 
 def check_unique(rows: DataFrame) -> None:
-    """Fails when a key is stored twice, as after two writers at once; names some of the keys."""
+    """Fails when a key is stored twice, as when files were copied in; names some of the keys."""
     twice = dedupe.duplicate_keys(rows).orderBy(*dedupe.KEY).limit(5).collect()
     if twice:
         named = ", ".join(f"{r['source']}/{r['record_hash']}" for r in twice)
@@ -103,6 +127,35 @@ class DuplicateKeyError(RuntimeError):
     """Bronze holds a key twice."""
 
 
+def repair(spark: SparkSession, lake: Lake) -> int:
+    """Deletes all but the first stored row of each key; returns how many rows went.
+
+    Only batches that lose a row are written anew, one after the other. Each key keeps its row throughout,
+    so a run that dies is simply repeated. At the end all batches seen are known to hold unique keys.
+    """
+    ensure_utc(spark)
+    with recorded(spark, lake, "repair", "raw_records") as run, scratch(spark):
+        numbers = lake.batches(spark)
+        rows = lake.read_batches(spark, numbers, with_batch=True)
+        place = F.struct("ingested_at", "batch", "row_num", "id")
+        copies = rows.groupBy(*dedupe.KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*dedupe.KEY)
+        # All columns of the copies alone, the first of equal rows too: each has a number of its own.
+        of_copies = stage(rows.join(copies, list(dedupe.KEY), "left_semi").withColumn("_at", F.monotonically_increasing_id()), "copies")
+        kept = of_copies.groupBy(*dedupe.KEY).agg(F.min_by("_at", F.struct(place, "_at")).alias("_at")).select("_at")
+        losers = of_copies.join(kept, "_at", "left_anti")
+        gone = 0
+        for row in losers.groupBy("batch").count().orderBy("batch").collect():
+            batch = row["batch"]
+            own = rows.where(F.col("batch") == batch)
+            winners = of_copies.join(kept, "_at", "left_semi").where(F.col("batch") == batch)
+            tables.replace_batch(spark, lake, batch, own.join(copies, list(dedupe.KEY), "left_anti").unionByName(winners.drop("_at")))
+            run.note("batch", batch=batch, row_count=row["count"])
+            gone += row["count"]
+        run.meta["proven_upto"] = str(max(numbers, default=0))
+        run.counts = gone, 0
+    return gone
+
+
 def ingest_frame(
     spark: SparkSession, lake: Lake, source: str, batch: DataFrame, input_ref: str,
     names: Sequence[str] = (),
@@ -123,7 +176,8 @@ def _ingest(spark, lake, run, source, batch, names) -> IngestResult:
             found = check_batch(staged)
         total = found["total_records"]
         with run.timed("upsert", row_count=total):
-            inserted = insert_batch(spark, lake, staged, run.id, now)
+            inserted, batch = insert_batch(spark, lake, staged, run.id, now)
+            run.meta["batch"] = str(batch)
         per_file = dict.fromkeys(names, 0)
         for row in staged.groupBy("file_path").count().collect():
             per_file[row["file_path"]] = row["count"]
@@ -158,10 +212,13 @@ def ingest(
             return _ingest(spark, lake, run, source, batch, files)
 
 
-def not_yet_clean(bronze: DataFrame, silver: DataFrame) -> DataFrame:
-    """Bronze rows whose key silver doesn't hold. Equal keys share a month, which both tables are stored by."""
-    stored = silver.select("event_month", *dedupe.KEY)
-    return bronze.join(stored, ["event_month", *dedupe.KEY], "left_anti")
+def cleaned_upto(spark: SparkSession, lake: Lake) -> tuple[int, int | None, int | None]:
+    """The last batch that silver holds, and the version and rows silver had after that, from the ledger."""
+    runs = ledger.current(lake.read(spark, "pipeline_runs")).where("pipeline = 'clean' AND status = 'succeeded'")
+    marks = runs.select(F.col("meta")["batches_upto"].cast("int").alias("upto"), F.col("meta")["version"].cast("int").alias("version"), "records_out")
+    found = marks.agg(F.max("upto"), F.max_by(F.struct("version", "records_out"), "version")).first()
+    last = found[1]
+    return found[0] or 0, last and last["version"], last and last["records_out"]
 
 
 def refresh_clean(
@@ -169,25 +226,35 @@ def refresh_clean(
 ) -> int:
     """Bronze rows cleaned and upserted into silver; returns the silver row count.
 
-    By default all rows that silver doesn't hold yet. ``limit`` takes that many of the newest bronze
-    rows instead, ``everything`` all of them, as after a change of the cleaning rules.
+    By default the batches published since the last refresh: their numbers are given in order, so the ledger
+    keeps the highest one as a mark, and neither other batches nor untouched parts of silver are read. A run
+    that dies before its mark is written is repeated whole; the upsert then changes nothing. ``limit`` takes
+    that many of the newest bronze rows instead and sets no mark, ``everything`` takes all rows, as after a
+    change of the cleaning rules.
     """
     ensure_utc(spark)
     name = "clean", "raw_records"
     with recorded(spark, lake, *name, limit=limit, everything=everything) as run, scratch(spark):
+        numbers = lake.batches(spark)
+        mark, version, rows = cleaned_upto(spark, lake)
         with run.timed("fetch_raw_records", limit=limit):
-            bronze = lake.read(spark, "raw_records")
             if limit is not None:
-                bronze = latest_n(bronze, limit)
-            elif not everything:
-                bronze = not_yet_clean(bronze, lake.read(spark, "clean_records"))
+                bronze = latest_n(lake.read(spark, "raw_records"), limit)
+            else:
+                bronze = lake.read_batches(spark, [n for n in numbers if everything or n > mark])
             cleaned = stage(to_silver(bronze, F.col("run_id"), F.lit(utc_now())), "clean")
             scanned = cleaned.count()
         with run.timed("upsert_clean_records", record_count=scanned):
-            tables.upsert_by_month(
+            before = max(lake.versions(spark, "clean_records"), default=0)
+            now, added = tables.upsert_by_part(
                 spark, lake, "clean_records", cleaned, dedupe.KEY, keep=("id",)
             )
-            total = lake.read(spark, "clean_records").count()
+            # The count after the last run still holds if no other version came in between.
+            known = rows is not None and version == before and now <= before + 1
+            total = rows + added if known else lake.read(spark, "clean_records").count()
+        run.meta["version"] = str(now)
+        if limit is None:
+            run.meta["batches_upto"] = str(max(numbers, default=mark))
         run.counts = scanned, total
     return total
 
@@ -208,10 +275,11 @@ def refresh_metrics(
             monthly = rollup.monthly_metrics(silver, month, two_scans=True)
             tables.upsert_small(spark, lake, "monthly_metrics", monthly, ("month_start",))
         with run.timed("gold_tables"):
-            # Each ingest checks that bronze keys stay unique, so they need no recount.
-            daily = rollup.daily_metrics(bronze, start, unique_keys=True)
+            # Batches of the ingest job hold unique keys, which need no recount.
+            unique = not unproven(spark, lake)
+            daily = rollup.daily_metrics(bronze, start, unique_keys=unique)
             tables.upsert_small(spark, lake, "daily_metrics", daily, ("day_date",))
-            by_month = rollup.monthly_metrics_raw(bronze, month, unique_keys=True)
+            by_month = rollup.monthly_metrics_raw(bronze, month, unique_keys=unique)
             tables.upsert_small(spark, lake, "monthly_metrics_raw", by_month, ("month_start",))
         if check:
             with run.timed("control_totals"):
@@ -241,9 +309,10 @@ def flag_report(
             if limit is not None:
                 records = stage(records, "latest")
             scanned = records.count()
-        # Bronze keys are unique, so no fingerprint can repeat in these rows.
+        # Where bronze keys are known to be unique, no fingerprint can repeat in these rows.
         with run.timed("flag_records", record_count=scanned):
-            flagged = stage(flags.flag(records, now or utc_now(), unique_keys=True), "flagged")
+            unique = not unproven(spark, lake)
+            flagged = stage(flags.flag(records, now or utc_now(), unique_keys=unique), "flagged")
             count = flagged.count()
         with run.timed("write_flag_report_csv", flagged_count=count, output_path=out):
             write_report(flags.report(flagged), out, single_file)

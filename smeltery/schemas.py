@@ -14,6 +14,7 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, dtype, True) for name, dtype in fields])
 
 
+# Names and types of the stored columns, table by table.
 # ``event_month`` is the partition column of the two large tables. The record hash
 # covers event_time, so equal keys always share a month and key lookups can be
 # limited to the months a batch touches.
@@ -65,6 +66,12 @@ DATA_QUALITY_CHECKS = _schema(
     ("created_at", _TS),
 )
 
+# Rows that break the contract, where a caller asks for them to be set aside.
+REJECTED_ROWS = _schema(
+    ("run_id", _STR), ("source", _STR), ("file_path", _STR), ("row_num", _LONG), ("payload", _PAYLOAD),
+    ("reasons", T.ArrayType(_STR, True)), ("rejected_at", _TS),
+)
+
 # The columns of the flag report, in order.
 REPORT_COLUMNS = (
     "id", "run_id", "row_num", "source", "source_id", "category", "event_time",

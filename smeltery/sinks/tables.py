@@ -1,75 +1,153 @@
-"""Appends, partition rewrites and key upserts on Parquet tables."""
+"""Appends, upserts and replacements of Parquet tables. What a table shows changes by one rename."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.operators.merge import upsert
-from smeltery.session import scratch, stage
-from smeltery.sources.tables import TABLES, Lake
+from smeltery.sources.tables import BATCHED, MONTH, PREFIX, TABLES, Lake
 
-MONTH = "event_month"
+KEPT = 2   # versions of a part or table that stay, so that running readers finish
 
 
-def _conform(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[table].fields])
+def _conform(df: DataFrame, table: str, *more: str) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[table].fields], *more)
 
 
-def append(lake: Lake, table: str, rows: DataFrame) -> int:
-    """Append and return the number of rows, counted by the writing job itself.
+def _counted(rows: DataFrame, path: str, by: Sequence[str] = (), mode: str = "errorifexists") -> int:
+    """Writes the rows and returns their number, counted by the writing job itself.
 
-    Month-partitioned tables are rebalanced by month first: a month gets as many files as
-    its size asks for, and a month with a third of all rows is split over many tasks.
+    Partitioned tables are rebalanced first: a folder gets as many files as its size asks for, and a
+    folder with a third of all rows is split over many tasks.
     """
-    out = _conform(rows, table)
-    if MONTH in out.columns:
-        out = out.hint("rebalance", MONTH)
     seen = Observation()
-    writer = out.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append")
-    if MONTH in out.columns:
-        writer = writer.partitionBy(MONTH)
-    writer.parquet(lake.path(table))
+    out = rows.hint("rebalance", *by) if by else rows
+    writer = out.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
+    (writer.partitionBy(*by) if by else writer).parquet(path)
     return int(seen.get["n"])
 
 
+def append(lake: Lake, table: str, rows: DataFrame) -> int:
+    """Append and return the number of rows."""
+    if table not in BATCHED:
+        return _counted(_conform(rows, table), lake.path(table), mode="append")
+    batch = PendingBatch.write(rows.sparkSession, lake, rows)
+    while batch.number is None:
+        batch.publish(max(lake.batches(rows.sparkSession), default=0))
+    return batch.rows
+
+
+@dataclass
+class PendingBatch:
+    """Rows of bronze in a folder that readers don't see, until ``publish`` gives it a number."""
+
+    spark: SparkSession
+    lake: Lake
+    hidden: str
+    rows: int
+    number: int | None = None
+
+    @classmethod
+    def write(cls, spark: SparkSession, lake: Lake, rows: DataFrame) -> "PendingBatch":
+        folders = lake.folders(spark, "raw_records")
+        hidden = folders.hidden()
+        try:
+            n = _counted(_conform(rows, "raw_records"), f"{folders.root}/{hidden}", (MONTH,))
+        except Exception:
+            folders.drop(hidden)
+            raise
+        return cls(spark, lake, hidden, n)
+
+    def read(self) -> DataFrame:
+        return self.lake._read(self.spark, "raw_records", [self.hidden])
+
+    def publish(self, last: int) -> bool:
+        """Takes the number after ``last``; False if another batch has it by now. No rows, no batch."""
+        folders = self.lake.folders(self.spark, "raw_records")
+        if not self.rows:
+            folders.drop(self.hidden)
+            self.number = 0
+        elif folders.publish(self.hidden, f"batch={last + 1:08d}.0"):
+            self.number = last + 1
+        return self.number is not None
+
+    def drop(self) -> None:
+        if self.number is None:
+            self.lake.folders(self.spark, "raw_records").drop(self.hidden)
+
+
 def touched_months(rows: DataFrame) -> list:
     """The months a batch touches: one value per calendar month, so the list stays short."""
     return [r[0] for r in rows.select(MONTH).distinct().collect()]
 
 
-def upsert_by_month(
+def upsert_by_part(
     spark: SparkSession, lake: Lake, table: str, incoming: DataFrame,
     keys: Sequence[str], keep: Sequence[str] = (),
-) -> None:
-    """Upsert into a month-partitioned table, rewriting only the months it touches.
+) -> tuple[int, int]:
+    """Upsert into a table of months and hash prefixes, rewriting only the parts it touches.
 
-    The merged months are first written to the shared folder and then swapped in with a
-    dynamic partition overwrite: Spark moves each month's new files in when all are written. A
-    run that dies during these moves is repaired by running it again; bronze has every row.
+    The merged parts are written to a hidden folder, which becomes the next version by one rename: readers
+    see all of the upsert or nothing. If another version came first, the parts are merged anew. Parts that
+    were replaced before the last version are deleted. Returns the version and how many rows were added.
     """
-    months = touched_months(incoming)
-    if not months:
-        return
-    existing = lake.read_months(spark, table, months)
-    with scratch(spark):
-        merged = stage(upsert(existing, _conform(incoming, table), (MONTH, *keys), keep), table)
-        (
-            merged.select(*[f.name for f in TABLES[table].fields])
-            .hint("rebalance", MONTH)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH)
-            .parquet(lake.path(table))
-        )
+    folders, prefix = lake.folders(spark, table), F.substring("record_hash", 1, lake.digits).alias(PREFIX)
+    rows = _conform(incoming, table, prefix)
+    # At most 16 ** digits folders a month.
+    touched = {(str(r[0]), r[1]) for r in rows.select(MONTH, PREFIX).distinct().collect()}
+    while True:
+        last = max(lake.versions(spark, table), default=0)
+        if not touched:
+            return last, 0
+        stored = [p for p in lake.parts(spark, table) if (p.month, p.prefix) in touched]
+        existing = lake.read_parts(spark, table, stored)
+        merged = upsert(existing.select("*", prefix), rows, (MONTH, PREFIX, *keys), keep)
+        hidden = folders.hidden()
+        try:
+            written = _counted(merged.select(*TABLES[table].names, PREFIX), f"{folders.root}/{hidden}", (MONTH, PREFIX))
+            added = written - existing.count()   # from file footers
+        except Exception:
+            folders.drop(hidden)
+            raise
+        if folders.publish(hidden, f"version={last + 1:08d}"):
+            break
+        folders.drop(hidden)
+    for part in lake.parts(spark, table, old=True):
+        if part.version < last or (part.month, part.prefix) not in touched:
+            folders.drop(part.folder)
+    return last + 1, added
 
 
 def upsert_small(
     spark: SparkSession, lake: Lake, table: str, incoming: DataFrame, keys: Sequence[str]
 ) -> None:
-    """Upsert into a gold table (one row per day or month) by rewriting it."""
-    merged = upsert(lake.read(spark, table), _conform(incoming, table), keys)
-    with scratch(spark):
-        stage(merged, table).write.mode("overwrite").parquet(lake.path(table))
+    """Upsert into a gold table (one row per day or month) by writing its next version."""
+    folders = lake.folders(spark, table)
+    while True:
+        last = max(lake.versions(spark, table), default=0)
+        hidden = folders.hidden()
+        try:
+            _counted(upsert(lake.read(spark, table), _conform(incoming, table), keys), f"{folders.root}/{hidden}")
+        except Exception:
+            folders.drop(hidden)
+            raise
+        if folders.publish(hidden, f"version={last + 1:08d}"):
+            break
+        folders.drop(hidden)
+    for name in folders.names()[:-KEPT]:
+        folders.drop(name)
+
+
+def replace_batch(spark: SparkSession, lake: Lake, batch: str, rows: DataFrame) -> None:
+    """A batch of bronze anew, as its next generation; ``batch`` is the number and generation it replaces."""
+    folders, (number, generation) = lake.folders(spark, "raw_records"), batch.split(".")
+    hidden = folders.hidden()
+    _counted(_conform(rows, "raw_records"), f"{folders.root}/{hidden}", (MONTH,))
+    if not folders.publish(hidden, f"batch={number}.{int(generation) + 1}"):
+        folders.drop(hidden)
+        raise RuntimeError(f"Batch {number} was changed by another run")
+    folders.drop(f"batch={batch}")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import csv
-import re
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -14,6 +13,7 @@ from pyspark.sql import window as W
 
 from smeltery.operators.keys import IngestionError
 from smeltery.schemas import REQUIRED_COLUMNS
+from smeltery.sources.folders import literal
 from smeltery.sources.workbook import WORKBOOK_ROWS, workbook_rows
 
 # Every cell is text; quotes are doubled; quoted cells may hold line breaks.
@@ -30,11 +30,6 @@ def check_headers(headers: Sequence[str]) -> None:
         raise IngestionError(f"Missing required columns: {missing}")
 
 
-def literal(path: str) -> str:
-    """The path as a name, not a pattern."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
-
-
 def split_by_format(files: Sequence[str]) -> dict[str, list[str]]:
     """The files found, by suffix in any case; a file of another kind is refused, wherever it lies."""
     groups: dict[str, list[str]] = {suffix: [] for suffix in SUFFIXES}

@@ -1,8 +1,14 @@
-"""The stored tables of one lake folder, and the latest-rows scan."""
+"""The stored tables of one lake folder, and the latest-rows scan.
+
+Bronze is a folder of batches, each published by one rename: ``batch=<number>.<generation>``, of which the
+highest generation counts. Silver is a folder of versions, each with the months and hash prefixes that it
+rewrote: ``version=<number>/event_month=<month>/prefix=<digits>``, of which the highest version counts. A gold
+table is a folder of whole versions, of which the last one counts. Logs are appended to.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -12,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smeltery import schemas
+from smeltery.sources.folders import Folders, literal
 
 TABLES: dict[str, T.StructType] = {
     "raw_records": schemas.RAW_RECORDS,
@@ -22,42 +29,110 @@ TABLES: dict[str, T.StructType] = {
     "ingest_runs": schemas.INGEST_RUNS,
     "pipeline_runs": schemas.PIPELINE_RUNS,
     "data_quality_checks": schemas.DATA_QUALITY_CHECKS,
+    "rejected_rows": schemas.REJECTED_ROWS,
 }
+BATCHED, MERGED = ("raw_records",), ("clean_records",)
+REPLACED = ("daily_metrics", "monthly_metrics", "monthly_metrics_raw")
+MONTH, PREFIX = "event_month", "prefix"
+
+
+@dataclass(frozen=True)
+class Part:
+    """One month and hash prefix of silver, as a version wrote it."""
+
+    version: int
+    month: str
+    prefix: str
+
+    @property
+    def folder(self) -> str:
+        return f"version={self.version:08d}/{MONTH}={self.month}/{PREFIX}={self.prefix}"
 
 
 @dataclass(frozen=True)
 class Lake:
-    """A folder with one Parquet table per name in ``TABLES``."""
+    """A folder with one table per name in ``TABLES``.
+
+    ``digits`` of the hash name the folders of a silver month (16 for one, 256 for two); a table keeps the
+    number that it began with.
+    """
 
     root: str
+    digits: int = 1
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    def folders(self, spark: SparkSession, table: str) -> Folders:
+        return Folders(spark, self.path(table))
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         """The table, empty when nothing has been written yet."""
-        return _read_or_empty(spark, table, self.path(table), self.path(table))
+        if table in BATCHED:
+            return self._read(spark, table, self._batch_folders(spark).values())
+        if table in MERGED:
+            return self.read_parts(spark, table, self.parts(spark, table))
+        if table in REPLACED:
+            return self._read(spark, table, self.folders(spark, table).names()[-1:])
+        try:
+            return spark.read.schema(TABLES[table]).parquet(literal(self.path(table)))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], TABLES[table])
+
+    def _read(self, spark: SparkSession, table: str, folders: Iterable[str], extra: Sequence[str] = ()) -> DataFrame:
+        schema = TABLES[table]
+        paths = [f"{literal(self.path(table))}/{folder}" for folder in folders]
+        if not paths:
+            return spark.createDataFrame([], T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in extra]]))
+        # The folders' own numbers stay text.
+        named = T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in extra]])
+        return spark.read.schema(named).option("basePath", literal(self.path(table))).parquet(*paths).select(*named.names)
+
+    def versions(self, spark: SparkSession, table: str) -> list[int]:
+        return [int(name.split("=")[1]) for name in self.folders(spark, table).names()]
 
-    def read_months(self, spark: SparkSession, table: str, months: Sequence[date]) -> DataFrame:
-        """Only the given months of a month-partitioned table.
+    def _batch_folders(self, spark: SparkSession) -> dict[int, str]:
+        """The folder of each batch; names sort by number, then generation."""
+        return {int(name.split("=")[1].split(".")[0]): name for name in self.folders(spark, "raw_records").names()}
 
-        The other months' folders are not even listed, so looking up a batch costs what its
+    def batches(self, spark: SparkSession) -> list[int]:
+        """Numbers of the published batches. They are given in the order of publishing."""
+        return list(self._batch_folders(spark))
+
+    def read_batches(self, spark: SparkSession, numbers: Iterable[int], with_batch: bool = False) -> DataFrame:
+        """Only the given batches of bronze; ``with_batch`` adds the name of each row's batch."""
+        found = self._batch_folders(spark)
+        return self._read(spark, "raw_records", [found[n] for n in numbers if n in found], ("batch",) if with_batch else ())
+
+    def read_months(self, spark: SparkSession, table: str, months: Sequence[date], after: int = 0) -> DataFrame:
+        """Only the given months, and of bronze only batches ``after`` that number.
+
+        The other months' folders are not even listed by Spark, so looking up a batch costs what its
         months hold, however many files the whole table has.
         """
-        if not months:
-            return spark.createDataFrame([], TABLES[table])
-        chosen = ",".join(sorted(str(month) for month in months))
-        folders = f"{self.path(table)}/event_month={{{chosen}}}"
-        return _read_or_empty(spark, table, folders, self.path(table))
-
-
-def _read_or_empty(spark: SparkSession, table: str, path: str, base: str) -> DataFrame:
-    try:
-        return spark.read.schema(TABLES[table]).option("basePath", base).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], TABLES[table])
+        chosen = {str(month) for month in months}
+        if table in MERGED:
+            return self.read_parts(spark, table, [p for p in self.parts(spark, table) if p.month in chosen])
+        folders, wanted = self.folders(spark, table), {f"{MONTH}={month}" for month in chosen}
+        batches = [name for number, name in self._batch_folders(spark).items() if number > after]
+        return self._read(spark, table, [f"{b}/{m}" for b in batches for m in folders.names(b) if m in wanted])
+
+    def parts(self, spark: SparkSession, table: str, old: bool = False) -> list[Part]:
+        """The current parts of a merged table; with ``old``, those that later versions have replaced."""
+        folders, current, replaced = self.folders(spark, table), {}, []
+        for version in folders.names():
+            for month in folders.names(version):
+                for prefix in folders.names(f"{version}/{month}"):
+                    part = Part(int(version.split("=")[1]), month.split("=")[1], prefix.split("=")[1])
+                    if (key := (part.month, part.prefix)) in current:
+                        replaced.append(current[key])
+                    current[key] = part
+        return replaced if old else list(current.values())
+
+    def read_parts(self, spark: SparkSession, table: str, parts: Iterable[Part]) -> DataFrame:
+        return self._read(spark, table, [p.folder for p in parts])
 
 
 def latest_n(
