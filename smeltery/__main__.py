@@ -11,6 +11,7 @@ from smeltery import build_session, schemas
 from smeltery.operators import ledger, rollup
 from smeltery.plans import jobs
 from smeltery.sources.tables import Lake
+from smeltery.streaming.discovery import ingest_stream
 
 
 def parser() -> argparse.ArgumentParser:
@@ -21,8 +22,14 @@ def parser() -> argparse.ArgumentParser:
         command = commands.add_parser(name)
         command.add_argument("--source", required=True)
         command.add_argument("paths", nargs="+")
+        if name == "ingest":
+            command.add_argument("--set-aside", action="store_true", help="keep rows that break the contract in a table of their own")
         if name == "demo":
             command.add_argument("--out", required=True)
+    watch = commands.add_parser("watch", help="ingest the files of a folder that are new since the last time")
+    for option in ("--source", "--folder", "--checkpoint"):
+        watch.add_argument(option, required=True)
+    watch.add_argument("--set-aside", action="store_true")
     clean = commands.add_parser("clean")
     clean.add_argument("--limit", type=int, help="so many of the newest rows; default: all not yet cleaned")
     clean.add_argument("--everything", action="store_true", help="clean all rows anew")
@@ -54,7 +61,9 @@ def main(argv: list[str] | None = None) -> None:
     spark, lake = build_session(), Lake(args.lake)
     limit = getattr(args, "limit", None) or None
     if args.command == "ingest":
-        print(jobs.ingest(spark, lake, args.source, args.paths))
+        print(jobs.ingest(spark, lake, args.source, args.paths, set_aside=args.set_aside))
+    elif args.command == "watch":
+        ingest_stream(spark, lake, args.source, args.folder, args.checkpoint, set_aside=args.set_aside).awaitTermination()
     elif args.command == "clean":
         print(f"Silver rows: {jobs.refresh_clean(spark, lake, limit, args.everything)}")
     elif args.command == "metrics":

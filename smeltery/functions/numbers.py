@@ -87,6 +87,12 @@ def normalize_currency(
     )
 
 
+def cell_amount(text: Column, is_number: Column, precision: int = 38, scale: int = 10) -> Column:
+    """Amount of a cell: a numeric one is its number (``1e+16`` is no text with an odd sign), others are read as money."""
+    number = text.try_cast(f"decimal({precision},{scale})")
+    return F.when(is_number, number).otherwise(normalize_currency(text, precision=precision, scale=scale))
+
+
 def outlier_bounds(
     col: Column, dtype: T.DataType, min_value: float | None, max_value: float | None
 ) -> Column:

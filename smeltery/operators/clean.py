@@ -11,12 +11,13 @@ from pyspark.sql import types as T
 from smeltery.config import SILVER_CONFIG, CleaningConfig
 from smeltery.functions.dates import normalize_date
 from smeltery.functions.numbers import (
+    cell_amount,
     normalize_currency,
     normalize_float,
     normalize_int,
     outlier_bounds,
 )
-from smeltery.functions.text import normalize_category, normalize_text, null_literals_to_null
+from smeltery.functions.text import is_null, normalize_category, normalize_text, null_literals_to_null
 
 # Which rule each conventional field name gets.
 TEXT_FIELDS = ("title",)
@@ -133,6 +134,22 @@ def before_after(
     return states.select(F.col("_key").alias(key), F.inline(F.array(*pairs)))
 
 
+def amount_of(bronze: DataFrame, precision: int, scale: int) -> Column:
+    """The amount in the payload's value, which may be a numeric cell."""
+    text = F.col("payload")["value"]
+    if "numeric" not in bronze.columns:
+        return normalize_currency(text, precision=precision, scale=scale)
+    is_number = F.coalesce(F.array_contains("numeric", "value"), F.lit(False))
+    return cell_amount(text, is_number, precision, scale)
+
+
+def losses(bronze: DataFrame) -> list[Column]:
+    """Counts of what cleaning these rows can't keep: amounts too large for silver, categories that mean nothing."""
+    too_large = amount_of(bronze, 18, 4).isNull() & amount_of(bronze, 38, 4).isNotNull()
+    no_category = is_null(F.col("payload")["category"])
+    return [F.count_if(too_large).alias("amounts_lost"), F.count_if(no_category).alias("category_fallbacks")]
+
+
 def to_silver(bronze: DataFrame, run_id: str | Column, cleaned_at: Column) -> DataFrame:
     """Bronze rows to silver columns (before the upsert)."""
     cfg = SILVER_CONFIG
@@ -155,7 +172,7 @@ def to_silver(bronze: DataFrame, run_id: str | Column, cleaned_at: Column) -> Da
         # A category that means "no value" falls back to the bronze text.
         "category": F.coalesce(cleaned["category"], F.col("category")),
         "value_text": cleaned["value"],
-        "value_decimal": normalize_currency(raw["value"], precision=18, scale=4),
+        "value_decimal": amount_of(bronze, 18, 4),
         "payload_clean": payload_clean,
         "cleaned_at": cleaned_at,
     }

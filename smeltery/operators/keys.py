@@ -72,6 +72,19 @@ def contract_summary(keyed: DataFrame) -> DataFrame:
     )
 
 
+def with_reasons(keyed: DataFrame) -> DataFrame:
+    """Adds ``reasons``: what in the row breaks the contract, in fixed order; empty for a good row."""
+    raw = norm_str(F.col("payload")["event_time"])
+    unread = F.col("event_time").isNull()
+    tests = [
+        (F.col("header_error").isNotNull(), F.col("header_error")),
+        (unread & (raw == ""), F.lit("event_time is required")),
+        (unread & (raw != ""), F.concat(F.lit("Invalid event_time format: '"), raw, F.lit("'"))),
+        *[(F.length(name) > limit, F.lit(f"{name} exceeds {limit} characters")) for name, limit in MAX_LENGTHS.items()],
+    ]
+    return keyed.withColumn("reasons", F.array_compact(F.array(*[F.when(broken, text) for broken, text in tests])))
+
+
 def backfill_keys(raw: DataFrame, runs: DataFrame) -> DataFrame:
     """Source from the ingest run, keys and hash recomputed from the stored payload.
 

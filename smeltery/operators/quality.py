@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.functions.dates import bucket
@@ -48,3 +48,13 @@ def quality_checks(
         "created_at": F.lit(created_at).cast("timestamp"),
     }
     return totals.select(*[columns[f.name].alias(f.name) for f in DATA_QUALITY_CHECKS.fields])
+
+
+def count_check(spark: SparkSession, name: str, scope: str, observed: int, created_at: datetime) -> DataFrame:
+    """A count that should be zero as a row of the quality log."""
+    row = {
+        "id": f"{name}|{scope}|{created_at.isoformat()}", "check_name": name, "check_scope": scope, "month_start": None,
+        "status": "warn" if observed else "pass", "expected": 0, "observed": observed,
+        "details": None, "created_at": created_at,
+    }
+    return spark.createDataFrame([tuple(row.values())], DATA_QUALITY_CHECKS)

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery import schemas
 from smeltery.operators import dedupe, flags, keys, ledger, quality, rollup
-from smeltery.operators.clean import to_silver
+from smeltery.operators.clean import losses, to_silver
 from smeltery.plans.runlog import recorded
 from smeltery.session import ensure_utc, scratch, stage
 from smeltery.sinks import tables
@@ -33,6 +33,7 @@ class IngestResult:
     inserted_records: int
     deduped_records: int
     per_file: dict[str, int]
+    rejected_records: int = 0
 
 
 @dataclass(frozen=True)
@@ -158,28 +159,32 @@ def repair(spark: SparkSession, lake: Lake) -> int:
 
 def ingest_frame(
     spark: SparkSession, lake: Lake, source: str, batch: DataFrame, input_ref: str,
-    names: Sequence[str] = (),
+    names: Sequence[str] = (), set_aside: bool = False,
 ) -> IngestResult:
     """Ingest rows shaped like :func:`smeltery.sources.batch.read_batch`; all or nothing."""
     with recorded(spark, lake, "ingest", input_ref, source=source, files=len(names)) as run:
         with scratch(spark):
-            return _ingest(spark, lake, run, source, batch, names)
+            return _ingest(spark, lake, run, source, batch, names, set_aside)
 
 
-def _ingest(spark, lake, run, source, batch, names) -> IngestResult:
+def _ingest(spark, lake, run, source, batch, names, set_aside) -> IngestResult:
     now = utc_now()
     _ingest_run(spark, lake, run, source, names, "started", None, now)
     try:
         with run.timed("parse", files=len(names)):
             keyed = keys.with_event_month(keys.extract_keys(batch.withColumn("source", F.lit(source))))
-            staged = stage(keyed, "ingest")
+            staged = every = stage(keys.with_reasons(keyed) if set_aside else keyed, "ingest")
+            rejected = 0
+            if set_aside:
+                rejected = reject(lake, staged, run.id, now)
+                staged = staged.where("size(reasons) = 0").drop("reasons")
             found = check_batch(staged)
         total = found["total_records"]
-        with run.timed("upsert", row_count=total):
+        with run.timed("upsert", row_count=total, rejected=rejected):
             inserted, batch = insert_batch(spark, lake, staged, run.id, now)
             run.meta["batch"] = str(batch)
         per_file = dict.fromkeys(names, 0)
-        for row in staged.groupBy("file_path").count().collect():
+        for row in every.groupBy("file_path").count().collect():
             per_file[row["file_path"]] = row["count"]
         for name, rows in per_file.items():
             run.note("file", file=name, row_count=rows)
@@ -187,8 +192,19 @@ def _ingest(spark, lake, run, source, batch, names) -> IngestResult:
         _ingest_run(spark, lake, run, source, names, "failed", str(error), now)
         raise
     _ingest_run(spark, lake, run, source, names, "success", None, now)
-    run.counts = total, inserted
-    return IngestResult(run.id, total, inserted, total - inserted, per_file)
+    run.counts = total + rejected, inserted
+    return IngestResult(run.id, total + rejected, inserted, total - inserted, per_file, rejected)
+
+
+def reject(lake: Lake, staged: DataFrame, run_id: str, now: datetime) -> int:
+    """Sets rows with reasons aside. A file without the required columns still fails the batch, as none of its
+    rows can be read."""
+    bad = staged.where("size(reasons) > 0")
+    headers = bad.agg(F.min(F.when(F.col("header_error").startswith("Missing required columns"), F.col("header_error")))).first()[0]
+    if headers:
+        raise keys.IngestionError(headers)
+    numbered = with_row_numbers(bad, staged)
+    return tables.append(lake, "rejected_rows", numbered.withColumns({"run_id": F.lit(run_id), "rejected_at": F.lit(now)}))
 
 
 def _ingest_run(spark, lake, run, source, names, status, error, now) -> None:
@@ -197,9 +213,14 @@ def _ingest_run(spark, lake, run, source, names, status, error, now) -> None:
 
 
 def ingest(
-    spark: SparkSession, lake: Lake, source: str, paths: Sequence[str], multi_line: bool = True
+    spark: SparkSession, lake: Lake, source: str, paths: Sequence[str], multi_line: bool | None = None,
+    set_aside: bool = False,
 ) -> IngestResult:
-    """Files to bronze. Headers are checked per file before a row is read."""
+    """Files to bronze. Headers are checked per file before a row is read.
+
+    A row that breaks the contract fails the batch; with ``set_aside`` such rows go to the table
+    ``rejected_rows`` with their reasons, and the others are ingested.
+    """
     ensure_utc(spark)
     with recorded(spark, lake, "ingest", ",".join(paths), source=source) as run:
         try:
@@ -209,7 +230,7 @@ def ingest(
             _ingest_run(spark, lake, run, source, paths, "failed", str(error), utc_now())
             raise
         with scratch(spark):
-            return _ingest(spark, lake, run, source, batch, files)
+            return _ingest(spark, lake, run, source, batch, files, set_aside)
 
 
 def cleaned_upto(spark: SparkSession, lake: Lake) -> tuple[int, int | None, int | None]:
@@ -242,8 +263,15 @@ def refresh_clean(
                 bronze = latest_n(lake.read(spark, "raw_records"), limit)
             else:
                 bronze = lake.read_batches(spark, [n for n in numbers if everything or n > mark])
-            cleaned = stage(to_silver(bronze, F.col("run_id"), F.lit(utc_now())), "clean")
+            lost = Observation()
+            watched = bronze.observe(lost, *losses(bronze))
+            cleaned = stage(to_silver(watched, F.col("run_id"), F.lit(utc_now())), "clean")
             scanned = cleaned.count()
+            found = lost.get
+            run.note("losses", **found)
+            if found["amounts_lost"]:
+                tables.append(lake, "data_quality_checks", quality.count_check(
+                    spark, "amounts_lost", "clean_records", found["amounts_lost"], utc_now()))
         with run.timed("upsert_clean_records", record_count=scanned):
             before = max(lake.versions(spark, "clean_records"), default=0)
             now, added = tables.upsert_by_part(

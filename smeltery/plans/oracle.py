@@ -357,9 +357,37 @@ def flags_over(table: str) -> str:
     return _FLAGS.replace("FROM keyed)", f"FROM {table})", 1)
 
 
+# An order's time as its file spells it.
+ORDER_TEXT = """CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+  WHEN 1 THEN strftime(o_orderdate, '%Y%m%d') ELSE strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00Z' END"""
+
+
+def text_time_flags() -> str:
+    """The flag rules where some times can't be read: one more rule, and none about those times."""
+    texted = f"""{BRONZE},
+texted AS (SELECT * REPLACE (CASE WHEN left(record_hash, 1) >= '5' THEN ts END AS ts),
+  CASE WHEN left(record_hash, 1) < '3' THEN 'soon' WHEN left(record_hash, 1) >= '5' THEN CAST(ts AS VARCHAR) END AS spelled_time
+  FROM bronze),
+counted AS"""
+    sql = flags_over("texted").replace("counted AS", texted, 1)
+    for old, new in (
+        ("source_id, ts, category, value) AS copies", "source_id, spelled_time, category, value) AS copies"),
+        ("ts > TIMESTAMP '2024-01-20 00:05:00' AS x4", "coalesce(ts > TIMESTAMP '2024-01-20 00:05:00', false) AS x4"),
+        ("ts < TIMESTAMP '2023-12-21 00:00:00' AS x5", "coalesce(ts < TIMESTAMP '2023-12-21 00:00:00', false) AS x5"),
+        ("copies > 1 AS x7", "copies > 1 AS x7, ts IS NULL AS x3"),
+        ("40 * x2::INT", "40 * x2::INT + 40 * x3::INT"),
+        ("CASE WHEN x4 THEN 'FUTURE_EVENT_TIME' END", "CASE WHEN x3 THEN 'EVENT_TIME_INVALID' END, CASE WHEN x4 THEN 'FUTURE_EVENT_TIME' END"),
+        ("WHERE x1 OR x2", "WHERE x1 OR x2 OR x3"),
+    ):
+        assert old in sql, old
+        sql = sql.replace(old, new, 1)
+    return sql
+
+
 def job_twins() -> dict[str, str]:
     """Twins of the queries that run whole jobs; stored keys are unique, so no fingerprint repeats."""
     flags_sql = flags_over("bronze").replace("counted AS", f"{BRONZE},\ncounted AS", 1)
+    text_times = text_time_flags()
     by_month = _rollup("bronze", "month_start", "month", "source || record_hash", "category")
     return {
         "job_ingest_bronze": f"""{_BRONZE_WITH} SELECT source, record_hash, source_id, {iso('ts')} AS event_time,
@@ -371,6 +399,40 @@ def job_twins() -> dict[str, str]:
   UNION ALL SELECT 'daily_metrics', day_date, * EXCLUDE (day_date) FROM d
   UNION ALL SELECT 'monthly_metrics_raw', month_start, * EXCLUDE (month_start) FROM b
   UNION ALL SELECT 'failed_checks', NULL, 0, 0, 0, 0, 0""",
+        "job_row_numbers": f"""WITH {BATCH}, {_bronze('stored', '2')}
+  SELECT source, count(*) AS stored, count(*) AS numbered, count(*) AS notes FROM stored GROUP BY source""",
+        "job_ledger": f"""WITH {BATCH}, {_bronze('stored', '2')}, n AS (
+  SELECT (SELECT count(*) FROM batch WHERE file_ord = 2) AS rows_in, (SELECT count(*) FROM stored) AS kept,
+    (SELECT count(*) FROM stored WHERE ts < TIMESTAMP '2023-12-21 00:00:00' OR number <= 0 OR number > 1000000) AS bad)
+  SELECT 'ingest' AS pipeline, 'succeeded' AS status, rows_in AS records_in, kept AS records_out, NULL AS error_type,
+    NULL AS error_message, 'open,parse,upsert,file' AS steps FROM n
+  UNION ALL SELECT 'flags', 'succeeded', kept, bad, NULL, NULL, 'fetch_raw_records,flag_records,write_flag_report_csv' FROM n
+  UNION ALL SELECT 'demo', 'succeeded', rows_in + kept, kept + bad, NULL, NULL, 'ingest_samples,flags' FROM n
+  UNION ALL SELECT 'clean', 'succeeded', kept, kept, NULL, NULL, 'losses,fetch_raw_records,upsert_clean_records' FROM n
+  UNION ALL SELECT 'ingest', 'failed', NULL, NULL, 'IngestionError', 'Missing required columns: [''category'']', 'open'""",
+        "contract_summary": f"""WITH {BATCH}, o AS (SELECT * FROM batch WHERE file_ord = 2)
+  SELECT 'no_time' AS source, 'event_time is required (' || count(*) || ' rows have none)' AS message FROM o WHERE row_num % 10 = 0
+  UNION ALL SELECT 'odd_time', 'Invalid event_time format: ''' || min('on ' || {ORDER_TEXT}) || ''' (' || count(*) || ' rows in all)'
+    FROM orders WHERE (o_orderkey + 1) % 4 = 0
+  UNION ALL SELECT 'long_id', 'source_id exceeds 100 characters in ' || count(*) || ' rows' FROM o WHERE row_num % 5 = 0
+  UNION ALL SELECT 'long_category', 'category exceeds 100 characters in ' || count(*) || ' rows' FROM o WHERE row_num % 3 = 0
+  UNION ALL SELECT 'stored', '0'""",
+        "job_rows_set_aside": f"""WITH {BATCH}, o AS (SELECT * FROM keyed WHERE file_ord = 2), parts AS (
+  SELECT 'no_time' AS batch, 10 AS k, 'event_time is required' AS reason
+  UNION ALL SELECT 'odd_time', 4, 'Invalid event_time format: ''...'''
+  UNION ALL SELECT 'long_id', 5, 'source_id exceeds 100 characters'
+  UNION ALL SELECT 'long_category', 3, 'category exceeds 100 characters')
+  SELECT batch, reason AS outcome, count(*) AS records FROM o, parts WHERE row_num % k = 0 GROUP BY batch, reason
+  UNION ALL SELECT batch, 'stored', count(DISTINCT record_hash) FROM o, parts WHERE row_num % k <> 0 GROUP BY batch""",
+        "stream_ingest": f"""WITH {BATCH}, {_bronze('stored', '1,3')} SELECT record_hash, source_id, category, value FROM stored""",
+        "scan_workbook": """WITH o AS (SELECT *, o_orderkey % 7 AS k, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders)
+  SELECT CAST(o_custkey AS VARCHAR) AS source_id,
+    CASE k WHEN 0 THEN '1e+16' WHEN 1 THEN '1.5e-05' WHEN 2 THEN ' $1,234.50 ' WHEN 3 THEN '1e+16' WHEN 4 THEN CAST(o_custkey AS VARCHAR)
+      ELSE CAST(price AS VARCHAR) || '25' END AS value,
+    k NOT IN (2, 3) AS is_number,
+    CAST(CASE k WHEN 0 THEN 10000000000000000 WHEN 1 THEN 0.000015 WHEN 2 THEN 1234.5 WHEN 3 THEN 116
+      WHEN 4 THEN o_custkey ELSE price + 0.0025 END AS DECIMAL(38,10)) AS amount FROM o""",
+        "flags_text_times": f"{text_times} SELECT source, record_hash, severity, flag_codes FROM flagged",
         "job_flag_report_csv": f"""{flags_sql} SELECT source, source_id, record_hash,
   CAST(severity AS VARCHAR) AS severity, flag_codes, flag_messages FROM flagged""",
     }

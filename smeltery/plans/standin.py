@@ -8,9 +8,12 @@ arrive once more under another source label.
 
 from __future__ import annotations
 
+import io
+import zipfile
 from datetime import datetime, timezone
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +80,40 @@ def raw_batch(spark: SparkSession, sf_dir: str, files: tuple[int, ...] = FILES)
     return reduce(DataFrame.unionByName, [frames[i] for i in files])
 
 
+# Cells of the value column in the workbooks, by order: what stands in the file, and whether as a number.
+CELLS = """CASE o_orderkey % 7 WHEN 0 THEN '1e+16' WHEN 1 THEN '1.5e-05' WHEN 2 THEN ' $1,234.50 ' WHEN 3 THEN '1e+16'
+  WHEN 4 THEN cast(o_custkey AS string) ELSE cast(cast(o_totalprice AS decimal(18,2)) AS string) || '25' END"""
+NUMERIC = "o_orderkey % 7 NOT IN (2, 3)"
+SHEET = {
+    "xl/workbook.xml": '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" '
+                       'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="a" r:id="r1"/></sheets></workbook>',
+    "xl/_rels/workbook.xml.rels": '<Relationships><Relationship Id="r1" Target="worksheets/a.xml"/></Relationships>',
+}
+
+
+def workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``path`` and ``content`` of workbooks of orders, built in tasks; a workbook holds a thousand order numbers."""
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "cast(o_custkey AS string) AS source_id", f"{CELLS} AS cell", f"{NUMERIC} AS number", "floor(o_orderkey / 1000) AS book")
+
+    def build(key, frame):
+        body = ['<row><c t="inlineStr"><is><t>source_id</t></is></c><c t="inlineStr"><is><t> event_time</t></is></c>'
+                '<c t="inlineStr"><is><t>value </t></is></c><c t="inlineStr"><is><t>category</t></is></c></row>']
+        for r in frame.sort_values("o_orderkey").itertuples():
+            value = f"<c><v>{r.cell}</v></c>" if r.number else f'<c t="inlineStr"><is><t>{r.cell}</t></is></c>'
+            body.append(f'<row><c t="inlineStr"><is><t>{r.source_id}</t></is></c><c t="inlineStr"><is><t>2024-01-05</t></is></c>{value}'
+                        f'<c t="inlineStr"><is><t>c</t></is></c></row>')
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w") as book:
+            for name, text in SHEET.items():
+                book.writestr(name, text)
+            book.writestr("xl/worksheets/a.xml", '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'
+                          + "".join(body) + "</sheetData></worksheet>")
+        return pd.DataFrame({"path": [f"{key[0]}.xlsx"], "content": [held.getvalue()]})
+
+    return rows.groupBy("book").applyInPandas(build, "path string, content binary")
+
+
 def with_id(df: DataFrame) -> DataFrame:
     return df.withColumn("id", F.concat_ws("-", "source", "file_ord", "row_num"))
 

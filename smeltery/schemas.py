@@ -21,8 +21,10 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
 RAW_RECORDS = _schema(
     ("id", _STR), ("run_id", _STR), ("row_num", _LONG), ("source", _STR),
     ("source_id", _STR), ("event_time", _TS), ("category", _STR), ("value", _STR),
-    ("record_hash", _STR), ("payload", _PAYLOAD), ("ingested_at", _TS),
-    ("event_month", T.DateType()),
+    ("record_hash", _STR), ("payload", _PAYLOAD),
+    # Payload fields that were numeric cells: their text is a number whatever its spelling.
+    ("numeric", T.ArrayType(_STR, True)),
+    ("ingested_at", _TS), ("event_month", T.DateType()),
 )
 
 CLEAN_RECORDS = _schema(

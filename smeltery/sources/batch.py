@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -20,7 +21,7 @@ from smeltery.sources.workbook import WORKBOOK_ROWS, workbook_rows
 CSV_OPTIONS = {"header": True, "inferSchema": False, "quote": '"', "escape": '"',
                "encoding": "UTF-8", "multiLine": True}
 # Columns of a batch, whatever the format of its files.
-BATCH_COLUMNS = ("file_path", "file_ord", "block_start", "seq", "payload", *REQUIRED_COLUMNS)
+BATCH_COLUMNS = ("file_path", "file_ord", "block_start", "seq", "payload", "numeric", *REQUIRED_COLUMNS)
 SUFFIXES = ("csv", "xlsx")
 
 
@@ -51,10 +52,19 @@ def _file_path() -> Column:
     return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
 
 
-def csv_headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by header, from one distributed pass that also finds bytes that aren't UTF-8.
+# How a CSV file is cut into records, cheapest first: a line each, in many tasks; lines joined where a quoted cell
+# holds line breaks, in many tasks; or by one task that reads the file from its start.
+LINES, RECORDS, WHOLE = "lines", "records", "whole"
 
-    What comes back is one line for each file.
+
+def csv_headers(
+    spark: SparkSession, files: Sequence[str], multi_line: bool | None = None
+) -> dict[tuple[tuple[str, ...], str], list[str]]:
+    """Files by header and by the way to read them, from one distributed pass that also finds bytes that
+    aren't UTF-8. What comes back is one line for each file.
+
+    Where every line holds an even number of quotes, no cell holds a line break. Lines of blanks alone, which
+    the reader of lines would skip, ask for records as well.
     """
     if not files:
         return {}
@@ -63,21 +73,96 @@ def csv_headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ..
         F.monotonically_increasing_id().alias("seq"), "value",
     )
     place = F.struct("block", "seq")
+    blank = (F.length("value") > 0) & (F.trim("value") == "")
     found = lines.groupBy("file").agg(
-        F.min_by("value", place).alias("header"), F.count_if(~F.is_valid_utf8("value")).alias("broken"))
+        F.min_by("value", place).alias("header"), F.count_if(~F.is_valid_utf8("value")).alias("broken"),
+        F.count_if((quotes(F.col("value")) % 2 == 1) | blank).alias("open"))
     first = {r["file"]: r for r in found.collect()}
-    groups: dict[tuple[str, ...], list[str]] = {}
+    ways = {}
     for file in files:
         row = first.get(file)
         if row and row["broken"]:
             raise IngestionError(f"{unquote(file)} is not UTF-8 ({row['broken']} lines)")
-        text = row["header"].lstrip("\ufeff") if row else ""
-        header = tuple(next(csv.reader([text]), []))
+        ways[file] = WHOLE if multi_line else RECORDS if multi_line is None and row and row["open"] else LINES
+    joined = [f for f in files if ways[f] == RECORDS]
+    headers = {f: r["header"] for f, r in first.items()}
+    if joined:
+        rows = records(spark, joined)
+        # Quotes in unusual places mean something else to a reader that starts at the file's beginning.
+        odd = rows.groupBy("file").agg(F.count_if(~F.col("text").rlike(WELL_FORMED)).alias("odd"), F.min_by("text", "record").alias("header"))
+        for r in odd.collect():
+            ways[r["file"]], headers[r["file"]] = (WHOLE if r["odd"] else RECORDS), r["header"]
+    groups: dict[tuple[tuple[str, ...], str], list[str]] = {}
+    for file in files:
+        text = headers.get(file, "").lstrip("\ufeff")
+        header = tuple(next(csv.reader(io.StringIO(text, newline="")), []))
         check_headers(header)
-        groups.setdefault(header, []).append(file)
+        groups.setdefault((header, ways[file]), []).append(file)
     return groups
 
 
+def quotes(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+
+
+_CELL = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",]*+)'
+WELL_FORMED = rf"^\ufeff?{_CELL}(?:,{_CELL})*+$"
+
+
+def records(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """``file``, ``block``, ``record`` and ``text`` of the records of CSV files, read by many tasks.
+
+    A line begins a record where an even number of quotes stands before it in the file. Quotes are counted for
+    each line and summed for each block (what one task reads of a file); a block's first lines belong to the last
+    record of the blocks before it if the sum up to there is odd, and that record began in the last line there with
+    an odd number of quotes. So only a small row for each block is compared over the file. Lines of one record
+    alone are gathered; a record stands in the block where it begins.
+    """
+    lines = spark.read.option("lineSep", "\n").text([literal(unquote(f)) for f in files]).select(
+        _file_path().alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"), "value",
+    ).withColumn("odd", quotes(F.col("value")) % 2)
+    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("n"), F.max(F.when(F.col("odd") == 1, F.struct("block", "line"))).alias("last"))
+    earlier = W.Window.partitionBy("file").orderBy("block").rowsBetween(W.Window.unboundedPreceding, -1)
+    starts = blocks.select("file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"), F.last("last", True).over(earlier).alias("owner"))
+    so_far = W.Window.partitionBy("file", "block").orderBy("line")
+    past = so_far.rowsBetween(W.Window.unboundedPreceding, -1)
+    marked = lines.join(starts, ["file", "block"]).withColumn(
+        "begins", (F.coalesce(F.sum("odd").over(past), F.lit(0)) + F.col("before")) % 2 == 0)
+    owner = F.coalesce(F.last(F.when(F.col("begins"), F.struct("block", "line")), True).over(so_far), F.col("owner"))
+    owned = marked.withColumn("of", owner)
+    alone = F.col("begins") & (F.col("odd") == 0)
+    single = owned.where(alone).select("file", "block", F.col("line").alias("record"), F.col("value").alias("text"))
+    several = owned.where(~alone).groupBy("file", "of").agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("lines"))
+    several = several.select("file", F.col("of.block").alias("block"), F.col("of.line").alias("record"),
+                             F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("text"))
+    ended = single.unionByName(several).withColumn("text", F.regexp_replace("text", "\r$", ""))
+    return ended.where(F.col("text") != "")
+
+
+def read_csv_records(spark: SparkSession, files: Sequence[str], header: Sequence[str]) -> DataFrame:
+    """As ``read_csv_group``, for files whose quoted cells hold line breaks, in many tasks."""
+    here = W.Window.partitionBy("file", "block").orderBy("record")
+    placed = records(spark, files).withColumn("seq", F.row_number().over(here).cast("bigint"))
+    rows = placed.where((F.col("block") > 0) | (F.col("seq") > 1))   # without the header
+    cells = F.from_csv("text", ", ".join(f"_{i} string" for i in range(len(header) + 1)), {"quote": '"', "escape": '"'})
+    parsed = rows.select(F.col("file").alias("file_path"), F.col("block").alias("block_start"), "seq", cells.alias("c")).select("*", "c.*")
+    return parsed.select("file_path", "block_start", "seq", *_columns(header))
+
+
+def _columns(header: Sequence[str]) -> list[Column]:
+    """What the cells ``_0``, ``_1``, ... of a row become."""
+    cells = {name: F.col(f"_{i}") for i, name in enumerate(header)}
+    payload = F.create_map(*[x for name, c in cells.items() for x in (F.lit(name), c)])
+    beyond = F.col(f"_{len(header)}")
+    return [
+        payload.alias("payload"),
+        F.array().cast("array<string>").alias("numeric"),
+        F.when(beyond.isNotNull(), F.concat(F.lit("A row has more cells than the header: "), beyond)).alias("header_error"),
+        *[cells[name].alias(name) for name in REQUIRED_COLUMNS],
+    ]
+
+
 def read_csv_group(
     spark: SparkSession, files: Sequence[str], header: Sequence[str], multi_line: bool = True
 ) -> DataFrame:
@@ -89,16 +174,11 @@ def read_csv_group(
     schema = T.StructType([T.StructField(f"_{i}", T.StringType(), True) for i in range(len(header) + 1)])
     options = {**CSV_OPTIONS, "multiLine": multi_line, "enforceSchema": True}
     rows = spark.read.schema(schema).csv([literal(unquote(f)) for f in files], **options)
-    cells = {name: F.col(f"_{i}") for i, name in enumerate(header)}
-    payload = F.create_map(*[x for name, c in cells.items() for x in (F.lit(name), c)])
-    beyond = F.col(f"_{len(header)}")
     return rows.select(
         _file_path().alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("seq"),
-        payload.alias("payload"),
-        F.when(beyond.isNotNull(), F.concat(F.lit("A row has more cells than the header: "), beyond)).alias("header_error"),
-        *[cells[name].alias(name) for name in REQUIRED_COLUMNS],
+        *_columns(header),
     )
 
 
@@ -110,24 +190,28 @@ def read_workbooks(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     return rows.select(
         F.col("path").alias("file_path"),
         F.lit(0).cast("bigint").alias("block_start"),
-        "seq", "payload", "header_error",
+        "seq", "payload", "numeric", "header_error",
         *[F.col("payload")[name].alias(name) for name in REQUIRED_COLUMNS],
     )
 
 
 def read_batch(
-    spark: SparkSession, paths: Sequence[str], multi_line: bool = True
+    spark: SparkSession, paths: Sequence[str], multi_line: bool | None = None
 ) -> tuple[DataFrame, list[str]]:
     """All rows of the files, in arrival order of ``paths``; headers are checked before any row.
 
     Also returns the files found. Files are grouped by header, so a folder of like files is one
-    scan, however many files it holds. Pass ``multi_line=False`` for very large CSV files whose
-    cells hold no line breaks: Spark then reads one file with many tasks.
+    scan, however many files it holds. One CSV file is read by many tasks, also where quoted cells hold line
+    breaks. ``multi_line`` spares the test for such cells: False says that there are none, True has each
+    file read by one task.
     """
     files = [file for path in paths for file in _files_of(spark, path)]
     by_format = split_by_format(files)
-    groups = csv_headers(spark, by_format["csv"])
-    parts = [read_csv_group(spark, group, header, multi_line) for header, group in groups.items()]
+    groups = csv_headers(spark, by_format["csv"], multi_line)
+    parts = [
+        read_csv_records(spark, group, header) if way == RECORDS else read_csv_group(spark, group, header, way == WHOLE)
+        for (header, way), group in groups.items()
+    ]
     if by_format["xlsx"]:
         parts.append(read_workbooks(spark, by_format["xlsx"]))
     if not parts:

@@ -17,7 +17,7 @@ import pandas as pd
 
 from smeltery.schemas import REQUIRED_COLUMNS
 
-WORKBOOK_ROWS = "path string, seq bigint, payload map<string,string>, header_error string"
+WORKBOOK_ROWS = "path string, seq bigint, payload map<string,string>, numeric array<string>, header_error string"
 _FRAME_ROWS = 10_000
 
 # The XML namespaces of the format, and its built-in date formats.
@@ -26,6 +26,10 @@ _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 _BUILTIN_DATES = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 
 
+class Number(str):
+    """The text of a numeric cell: it counts as a number, not as what its spelling would mean."""
+
+
 def workbook_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for path, content in zip(frame["path"], frame["content"]):
@@ -42,14 +46,15 @@ def _workbook_frames(path: str, content: bytes) -> Iterator[pd.DataFrame]:
     if missing:
         error = f"Missing required columns: {missing}"
         yield pd.DataFrame(
-            {"path": [path], "seq": [0], "payload": [{}], "header_error": [error]}
+            {"path": [path], "seq": [0], "payload": [{}], "numeric": [[]], "header_error": [error]}
         )
         return
-    held: list[dict] = []
+    held: list[tuple[dict, list[str]]] = []
     start = 0
     for row in rows:
-        cells = row + [None] * (len(headers) - len(row))
-        held.append(dict(zip(headers, cells)))
+        texts = [cell and str(cell) for cell in row] + [None] * (len(headers) - len(row))
+        numbers = [name for name, cell in zip(headers, row) if isinstance(cell, Number)]
+        held.append((dict(zip(headers, texts)), numbers))
         if len(held) == _FRAME_ROWS:
             yield _frame(path, start, held)
             start, held = start + len(held), []
@@ -57,19 +62,20 @@ def _workbook_frames(path: str, content: bytes) -> Iterator[pd.DataFrame]:
         yield _frame(path, start, held)
 
 
-def _frame(path: str, start: int, rows: list[dict]) -> pd.DataFrame:
+def _frame(path: str, start: int, rows: list[tuple[dict, list[str]]]) -> pd.DataFrame:
     return pd.DataFrame(
         {
             "path": path,
             "seq": range(start, start + len(rows)),
-            "payload": rows,
+            "payload": [payload for payload, _ in rows],
+            "numeric": [numbers for _, numbers in rows],
             "header_error": None,
         }
     )
 
 
 def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
-    """Cells of the active sheet as text, one list per row, gaps filled with None."""
+    """Cells of the active sheet as text (``Number`` where numeric), one list per row, gaps filled with None."""
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         shared = _shared_strings(book)
         dates = _date_styles(book)
@@ -124,7 +130,7 @@ def _cell_text(cell, shared, dates, epoch) -> str | None:
     if int(cell.get("s", 0)) in dates:
         moment = epoch + timedelta(milliseconds=round(float(text) * 86_400_000))
         return str(moment)
-    return str(float(text)) if re.search("[.eE]", text) else str(int(text))
+    return Number(float(text) if re.search("[.eE]", text) else int(text))
 
 
 def _xml(book: zipfile.ZipFile, name: str):

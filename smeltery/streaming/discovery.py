@@ -1,60 +1,50 @@
-"""Incremental ingest: new files of a folder, each seen once, through the same sink."""
+"""Incremental ingest: new files of a folder, each seen once, through the same job as any batch."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from smeltery.plans.jobs import ingest_frame
-from smeltery.schemas import REQUIRED_COLUMNS
+from smeltery.plans.jobs import ingest
 from smeltery.session import ensure_utc
-from smeltery.sources.batch import CSV_OPTIONS, check_headers
 from smeltery.sources.tables import Lake
 
+# The columns of Spark's source of whole files.
+FILES = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType()),
+])
+
 
-def source_stream(
-    spark: SparkSession, folder: str, header: Sequence[str], max_files: int | None = None
-) -> DataFrame:
-    """New CSV files of ``folder``; all share ``header``, which Spark verifies per file."""
-    check_headers(header)
-    schema = T.StructType([T.StructField(name, T.StringType(), True) for name in header])
-    reader = spark.readStream.schema(schema)
+def new_files(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """Names of new files; their contents aren't read here."""
+    reader = spark.readStream.format("binaryFile").schema(FILES)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = reader.csv(folder, **{**CSV_OPTIONS, "enforceSchema": False})
-    payload = F.create_map(*[x for name in header for x in (F.lit(name), F.col(f"`{name}`"))])
-    return rows.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        # Files of one micro-batch arrive in the order they were last written.
-        F.unix_micros("_metadata.file_modification_time").alias("file_ord"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        payload.alias("payload"),
-        *REQUIRED_COLUMNS,
-        F.lit(None).cast("string").alias("header_error"),
-    )
+    return reader.load(folder).select("path", "modificationTime")
 
 
 def ingest_stream(
     spark: SparkSession, lake: Lake, source: str, folder: str, checkpoint: str,
-    header: Sequence[str] = REQUIRED_COLUMNS, max_files: int | None = None,
+    max_files: int | None = None, set_aside: bool = False,
 ) -> StreamingQuery:
     """Ingest what is new, at most ``max_files`` files per micro-batch, and stop.
 
-    A micro-batch that is replayed after a failure inserts nothing twice, because the sink
-    inserts only keys that are absent.
+    The stream carries names only; each micro-batch's files go through ``ingest`` in the order they were
+    last written, so headers may be in any order and workbooks are welcome. A micro-batch that is replayed
+    after a failure inserts nothing twice, because the job inserts only keys that are absent. A file that
+    breaks the contract stops the stream, unless its rows are ``set_aside``.
     """
     ensure_utc(spark)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        placed = batch.withColumn("seq", F.monotonically_increasing_id())
-        ingest_frame(batch.sparkSession, lake, source, placed, f"{folder}#{batch_id}")
+    def sink(files: DataFrame, batch_id: int) -> None:
+        names = [r["path"] for r in files.orderBy("modificationTime", "path").collect()]
+        if names:
+            ingest(files.sparkSession, lake, source, names, set_aside=set_aside)
 
     return (
-        source_stream(spark, folder, header, max_files)
+        new_files(spark, folder, max_files)
         .writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

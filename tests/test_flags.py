@@ -15,11 +15,11 @@ def batch(spark):
     late, edge = (NOW + timedelta(days=1)).isoformat(), (NOW + timedelta(minutes=5)).isoformat()
     old = (NOW - timedelta(days=30)).isoformat()
     rows = [
-        ("1", "A", now, "   "), ("2", "B", now, "abc"), ("3", "C", late, "-5"),
-        ("4", "D", now, "10"), ("5", "D", now, "10"), ("6", "E", edge, "10"),
-        ("7", "F", old, "10"), ("8", "G", "soon", "--"), ("9", "H", now, "nan"),
-        ("10", "I", now, "12345678"), ("11", "J", now, "1000000"), ("12", "K", None, None),
-        ("13", "L", "2025-12-16T23:00:00-05:00", "1"), ("14", "M", "2025-01-02T01:00:00+05:00", "inf"),
+        ("1", "pump", now, "\t\n"), ("2", "fan", now, "12 bar"), ("3", "valve", late, "-0.25"),
+        ("4", "lamp", edge, "7.5"), ("5", "lamp", edge, "7.5"), ("6", "door", edge, "10"),
+        ("7", "belt", old, "10"), ("8", "gate", "soon", "--"), ("9", "horn", now, "nan"),
+        ("10", "tank", now, "12345678"), ("11", "coil", now, "1000000"), ("12", "wire", None, None),
+        ("13", "bolt", "2025-12-16T23:00:00-05:00", "1"), ("14", "nut", "2025-01-02T01:00:00+05:00", "inf"),
     ]
     return spark.createDataFrame([(i, "s", k, "c", t, v) for i, k, t, v in rows], SCHEMA)
 
@@ -41,7 +41,7 @@ def test_rules_and_severity(spark):
     assert got["1"].flag_messages == "VALUE_EMPTY_OR_NULLISH: value='' is empty or null-ish"
     assert got["3"].flag_messages == (
         "FUTURE_EVENT_TIME: event_time=2026-01-17T00:00:00+00:00 is in the future "
-        "vs now=2026-01-16T00:00:00+00:00 || VALUE_OUT_OF_RANGE: value=-5.0 must be > 0")
+        "vs now=2026-01-16T00:00:00+00:00 || VALUE_OUT_OF_RANGE: value=-0.25 must be > 0")
     assert got["4"].flag_messages.endswith("Fingerprint appears 2 times in this batch")
     assert got["10"].flag_messages == "VALUE_OUT_OF_RANGE: value=12345678.0 exceeds 1,000,000"
     # The stale message quotes the day as written, with its own offset.

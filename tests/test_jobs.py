@@ -11,13 +11,14 @@ from smeltery.plans import jobs
 from smeltery.sinks import tables
 
 HEADER = "source_id,event_time,value,category"
-SAMPLE_CATEGORIES = ["alpha"] * 4 + ["beta"] * 4 + ["gamma"] * 2
+# Fixed value: the row whose content hash is a known vector.
+KNOWN_ROW = "a1,2026-01-05T06:00:00Z,10,alpha"
 
 
 def sample_lines():
-    return [HEADER] + [
-        f"a{i + 1},2026-01-05T06:{i:02d}:00Z,{10 + i},{c}" for i, c in enumerate(SAMPLE_CATEGORIES)
-    ]
+    """The known row and nine meter readings."""
+    meters = [f"meter-{k},2026-01-{5 + k % 2:02d}T{8 + k:02d}:15:00+01:00,{k * k}.5,{'indoor' if k < 7 else 'Outdoor'}" for k in range(1, 10)]
+    return [HEADER, KNOWN_ROW, *meters]
 
 
 def write(path, lines):
@@ -52,12 +53,12 @@ def test_sample_ingest_replay_and_gold(spark, lake, sample, tmp_path):
 
     monthly = [tuple(r) for r in jobs.refresh_metrics(spark, lake).collect()]
     assert monthly == [(date(2026, 1, 1), 10, 10, 10, 1, 3)]
-    daily = [tuple(r) for r in lake.read(spark, "daily_metrics").collect()]
-    assert daily == [(date(2026, 1, 5), 10, 10, 10, 1, 3)]
+    daily = sorted(tuple(r) for r in lake.read(spark, "daily_metrics").collect())
+    assert daily == [(date(2026, 1, 5), 5, 5, 5, 1, 3), (date(2026, 1, 6), 5, 5, 5, 1, 2)]
     checks = lake.read(spark, "data_quality_checks").collect()
     assert [(c.status, c.expected, c.observed) for c in checks] == [("pass", 10, 10)] * 2
     jobs.refresh_metrics(spark, lake, start=date(2026, 2, 1))
-    assert [tuple(r) for r in lake.read(spark, "daily_metrics").collect()] == daily
+    assert sorted(tuple(r) for r in lake.read(spark, "daily_metrics").collect()) == daily
 
     now = datetime(2026, 3, 1, tzinfo=timezone.utc)
     done = jobs.flag_report(spark, lake, str(tmp_path / "out" / "report"), now=now)
@@ -181,7 +182,7 @@ def test_stream_sees_each_file_once(spark, lake, tmp_path):
     checkpoint = str(tmp_path / "ck")
     ingest_stream(spark, lake, "s", str(folder), checkpoint).awaitTermination()
     assert lake.read(spark, "raw_records").count() == 10
-    write(folder / "2.csv", [HEADER, "z,2026-01-09,1,c", "a1,2026-01-05T06:00:00Z,10,alpha"])
+    write(folder / "2.csv", ["value,note,category,source_id,event_time", "1,x,c,z,2026-01-09", "10,y,alpha,a1,2026-01-05T06:00:00Z"])
     ingest_stream(spark, lake, "s", str(folder), checkpoint).awaitTermination()
     assert lake.read(spark, "raw_records").count() == 11
     runs = ledger.current(lake.read(spark, "pipeline_runs")).orderBy("started_at").collect()
