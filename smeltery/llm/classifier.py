@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from smeltery.llm.common import slices, text_of
 from smeltery.llm.grams import BITS, Indicators
+from smeltery.session import stage
 
 PARTS = 5
 SAMPLE = 8000        # documents that the machine is fitted to
@@ -32,6 +33,7 @@ SMOOTHING = 1.0
 COST = 1.0           # of a unit of hinge loss
 EPOCHS = 40
 CUTOFF = 0.3
+BROADCAST_ROWS = 1_000_000   # labels sent to every task
 SLICE = 4_000_000    # bytes of texts held as Python strings at a time
 
 
@@ -62,11 +64,18 @@ def part_of(doc_id: Column) -> Column:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id``, ``part``, ``y`` and ``text`` of the documents to learn from; none that is held out."""
+    """``doc_id``, ``part``, ``y`` and ``text`` of the documents to learn from; none that is held out.
+
+    Up to ``BROADCAST_ROWS`` labels (three numbers each) go to the texts, which then don't move. More labels and
+    the texts meet in one shuffle, and the labelled texts are written once for all that read them.
+    """
     marks = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("y"))
     marks = marks.where(F.col("y").isin(0, 1)).distinct().withColumn("part", part_of(F.col("doc_id"))).where("part > 0")
+    marks = stage(marks, "labels")
     own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
-    return own.join(marks, "doc_id").select("doc_id", "part", "y", "text")
+    few = marks.count() <= BROADCAST_ROWS
+    rows = own.join(F.broadcast(marks) if few else marks, "doc_id").select("doc_id", "part", "y", "text")
+    return rows if few else stage(rows, "labelled")
 
 
 def counts(rows: DataFrame) -> np.ndarray:
@@ -108,12 +117,12 @@ def sample(rows: DataFrame, size: int) -> list[tuple[int, np.ndarray]]:
         own = Indicators()
         for batch in batches:
             for part in slices(batch, 3, SLICE):
-                found = [f.astype("<u4").tobytes() for f in own.of(part.column(3).to_pylist())]
+                found = [f.astype("<u2").tobytes() for f in own.of(part.column(3).to_pylist())]
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(found, pa.binary())], names=["mark", "doc_id", "y", "found"])
 
     few = marked.where(F.col("mark") <= last).mapInArrow(run, "mark bigint, doc_id bigint, y int, found binary")
     first = few.orderBy("mark", "doc_id", "y", "found").limit(size).toArrow()
-    return [(y, np.frombuffer(f, "<u4")) for y, f in zip(first["y"].to_pylist(), first["found"].to_pylist())]
+    return [(y, np.frombuffer(f, "<u2")) for y, f in zip(first["y"].to_pylist(), first["found"].to_pylist())]
 
 
 def descend(rows: list[tuple[int, np.ndarray]], ratio: np.ndarray, cost: float = COST, epochs: int = EPOCHS,

@@ -95,6 +95,15 @@ def test_held_out_accuracy(spark, docs_of):
     assert np.mean([g > b for g in good for b in bad]) > 0.99
 
 
+def test_many_labels_give_the_same_model(spark, docs_of, monkeypatch):
+    docs, labels = made(300, 5)
+    models = []
+    for bound in (10**6, 10):
+        monkeypatch.setattr(q, "BROADCAST_ROWS", bound)
+        models.append(q.fitted(docs_of(docs), spark.createDataFrame(labels, LABELS)))
+    assert (models[0].scaled == models[1].scaled).all() and models[0].slope == models[1].slope
+
+
 def test_odd_tables(spark, docs_of, corpus):
     docs, labels = made(300, 9)
     odd = docs + [(i and i + 10_000, t) for i, t, *_ in corpus if i is None or i >= 100] + [(5000, "z " * 400_000), (5000, "")]
