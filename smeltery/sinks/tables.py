@@ -15,6 +15,9 @@ KEPT = 2   # versions of a part or table that stay, so that running readers fini
 
 
 def _conform(df: DataFrame, table: str, *more: str) -> DataFrame:
+    """The table's columns in order; rows without ``numeric`` have no numeric cells."""
+    if "numeric" in TABLES[table].names and "numeric" not in df.columns:
+        df = df.withColumn("numeric", F.array().cast("array<string>"))
     return df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[table].fields], *more)
 
 
