@@ -278,8 +278,9 @@ def refresh_clean(
                 spark, lake, "clean_records", cleaned, dedupe.KEY, keep=("id",)
             )
             # The count after the last run still holds if no other version came in between.
-            known = rows is not None and version == before and now <= before + 1
-            total = rows + added if known else lake.read(spark, "clean_records").count()
+            known = before == 0 or rows is not None and version == before
+            known = known and now <= before + 1
+            total = (rows if before else 0) + added if known else lake.read(spark, "clean_records").count()
         run.meta["version"] = str(now)
         if limit is None:
             run.meta["batches_upto"] = str(max(numbers, default=mark))
