@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from smeltery import schemas
 from smeltery.operators import dedupe, flags, keys, ledger, quality, rollup
+from smeltery.operators import states as merging
 from smeltery.operators.clean import losses, to_silver
 from smeltery.plans.runlog import recorded
 from smeltery.session import ensure_utc, scratch, stage
-from smeltery.sinks import tables
+from smeltery.sinks import states, tables
 from smeltery.sinks.report import write_report
 from smeltery.sources.batch import read_batch, with_row_numbers
 from smeltery.sources.tables import Lake, latest_n
@@ -289,26 +290,36 @@ def refresh_clean(
 
 
 def refresh_metrics(
-    spark: SparkSession, lake: Lake, start: date | None = None, check: bool = True
+    spark: SparkSession, lake: Lake, start: date | None = None, check: bool = True, recount: bool = False
 ) -> DataFrame:
     """Gold: monthly metrics of silver, daily and monthly metrics of bronze, the checks.
 
-    The tables are upserted by date, so with ``start`` only the days and months from there on are
-    read and recomputed. Returns the stored monthly table.
+    Only bronze batches and silver parts that are new since the last refresh are read; for the others their
+    stored states stand. ``recount`` counts all rows instead, as does bronze by itself while some batch isn't
+    known to hold unique keys. The tables are upserted by date, so with ``start`` only the days and months from
+    there on are computed. Returns the stored monthly table.
     """
     ensure_utc(spark)
     month = start and start.replace(day=1)
-    with recorded(spark, lake, "metrics", "clean_records,raw_records", start=start) as run:
-        silver, bronze = lake.read(spark, "clean_records"), lake.read(spark, "raw_records")
+    with recorded(spark, lake, "metrics", "clean_records,raw_records", start=start, recount=recount) as run, scratch(spark):
         with run.timed("monthly_metrics"):
-            monthly = rollup.monthly_metrics(silver, month, two_scans=True)
+            if recount:
+                monthly = rollup.monthly_metrics(lake.read(spark, "clean_records"), month, two_scans=True)
+            else:
+                monthly = merging.metrics(_states(spark, lake, run, "clean_records", month), "month_start", "hashes")
             tables.upsert_small(spark, lake, "monthly_metrics", monthly, ("month_start",))
         with run.timed("gold_tables"):
             # Batches of the ingest job hold unique keys, which need no recount.
             unique = not unproven(spark, lake)
-            daily = rollup.daily_metrics(bronze, start, unique_keys=unique)
+            if recount or not unique:
+                bronze = lake.read(spark, "raw_records")
+                daily = rollup.daily_metrics(bronze, start, unique_keys=unique)
+                by_month = rollup.monthly_metrics_raw(bronze, month, unique_keys=unique)
+            else:
+                held = _states(spark, lake, run, "raw_records", month)
+                daily = merging.metrics(held if start is None else held.where(F.col("day") >= F.lit(start)), "day_date", "records")
+                by_month = merging.metrics(held, "month_start", "records")
             tables.upsert_small(spark, lake, "daily_metrics", daily, ("day_date",))
-            by_month = rollup.monthly_metrics_raw(bronze, month, unique_keys=unique)
             tables.upsert_small(spark, lake, "monthly_metrics_raw", by_month, ("month_start",))
         if check:
             with run.timed("control_totals"):
@@ -316,6 +327,12 @@ def refresh_metrics(
     return lake.read(spark, "monthly_metrics")
 
 
+def _states(spark, lake, run, table, month) -> DataFrame:
+    held, read = states.refresh(spark, lake, table)
+    run.note("states", table=table, parts_read=read)
+    return held if month is None else held.where(F.col("event_month") >= F.lit(month))
+
+
 def check_totals(spark: SparkSession, lake: Lake, month: date | None = None) -> None:
     """Logs per month: stored gold of silver against silver, silver's gold against bronze."""
     stored = rollup.monthly_slice(lake.read(spark, "monthly_metrics"), month)

@@ -389,16 +389,18 @@ def job_twins() -> dict[str, str]:
     flags_sql = flags_over("bronze").replace("counted AS", f"{BRONZE},\ncounted AS", 1)
     text_times = text_time_flags()
     by_month = _rollup("bronze", "month_start", "month", "source || record_hash", "category")
+    gold = f"""{_SILVER_WITH}, m AS ({_MONTHLY}), d AS ({_DAILY}), b AS ({by_month})
+  SELECT 'monthly_metrics' AS table_name, month_start AS day, * EXCLUDE (month_start) FROM m
+  UNION ALL SELECT 'daily_metrics', day_date, * EXCLUDE (day_date) FROM d
+  UNION ALL SELECT 'monthly_metrics_raw', month_start, * EXCLUDE (month_start) FROM b
+  UNION ALL SELECT 'failed_checks', NULL, 0, 0, 0, 0, 0"""
     return {
         "job_ingest_bronze": f"""{_BRONZE_WITH} SELECT source, record_hash, source_id, {iso('ts')} AS event_time,
   category, value FROM bronze""",
         "job_silver_refresh": f"""{_SILVER_WITH} SELECT source, record_hash, source_id, {iso('ts')} AS event_time,
   silver_category AS category, value_text, money AS value_decimal FROM silver""",
-        "job_gold_tables": f"""{_SILVER_WITH}, m AS ({_MONTHLY}), d AS ({_DAILY}), b AS ({by_month})
-  SELECT 'monthly_metrics' AS table_name, month_start AS day, * EXCLUDE (month_start) FROM m
-  UNION ALL SELECT 'daily_metrics', day_date, * EXCLUDE (day_date) FROM d
-  UNION ALL SELECT 'monthly_metrics_raw', month_start, * EXCLUDE (month_start) FROM b
-  UNION ALL SELECT 'failed_checks', NULL, 0, 0, 0, 0, 0""",
+        "job_gold_tables": gold,
+        "job_gold_increments": gold,
         "job_row_numbers": f"""WITH {BATCH}, {_bronze('stored', '2')}
   SELECT source, count(*) AS stored, count(*) AS numbered, count(*) AS notes FROM stored GROUP BY source""",
         "job_ledger": f"""WITH {BATCH}, {_bronze('stored', '2')}, n AS (

@@ -74,6 +74,13 @@ REJECTED_ROWS = _schema(
     ("reasons", T.ArrayType(_STR, True)), ("rejected_at", _TS),
 )
 
+# Counts and bitmaps of stored parts, and the numbers of the values whose bits they are.
+PART_STATES = _schema(
+    ("part", _STR), ("day", T.DateType()), ("name", _STR), ("bucket", _LONG), ("bits", T.BinaryType()), ("n", _LONG),
+    ("event_month", T.DateType()),
+)
+VALUE_NUMBERS = _schema(("name", _STR), ("value", _STR), ("number", _LONG))
+
 # The columns of the flag report, in order.
 REPORT_COLUMNS = (
     "id", "run_id", "row_num", "source", "source_id", "category", "event_time",

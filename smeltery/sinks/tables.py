@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,6 +12,7 @@ from smeltery.operators.merge import upsert
 from smeltery.sources.tables import BATCHED, MONTH, PREFIX, TABLES, Lake
 
 KEPT = 2   # versions of a part or table that stay, so that running readers finish
+SEGMENTS = 16   # of a table before the next one stands for all of them
 
 
 def _conform(df: DataFrame, table: str, *more: str) -> DataFrame:
@@ -145,6 +146,39 @@ def upsert_small(
         folders.drop(name)
 
 
+def add_segment(
+    spark: SparkSession, lake: Lake, table: str, new: Callable[[DataFrame], DataFrame],
+    keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> None:
+    """Adds the rows that ``new`` makes of those stored, as the next segment; no rows, no segment.
+
+    Each time ``SEGMENTS`` have come together the next one holds their rows as well, as far as ``keep`` leaves
+    them. What it stands for is deleted with the segment after it. If another writer took the number, ``new``
+    sees its rows in the next try.
+    """
+    folders, by = lake.folders(spark, table), (MONTH,) if MONTH in TABLES[table].names else ()
+    while True:
+        names, old = lake.segments(spark, table), lake.segments(spark, table, old=True)
+        last = int(names[0].split("=")[1].split(".")[0]) if names else 0
+        stored, first = lake._read(spark, table, names), last + 1
+        rows = _conform(new(stored), table)
+        if len(names) >= SEGMENTS:
+            rows, first = keep(stored.unionByName(rows)), 1
+        hidden = folders.hidden()
+        try:
+            written = _counted(rows, f"{folders.root}/{hidden}", by)
+        except Exception:
+            folders.drop(hidden)
+            raise
+        if written and folders.publish(hidden, f"segment={last + 1:08d}.{first:08d}"):
+            break
+        folders.drop(hidden)
+        if not written:
+            return
+    for name in old:
+        folders.drop(name)
+
+
 def replace_batch(spark: SparkSession, lake: Lake, batch: str, rows: DataFrame) -> None:
     """A batch of bronze anew, as its next generation; ``batch`` is the number and generation it replaces."""
     folders, (number, generation) = lake.folders(spark, "raw_records"), batch.split(".")

@@ -3,7 +3,8 @@
 Bronze is a folder of batches, each published by one rename: ``batch=<number>.<generation>``, of which the
 highest generation counts. Silver is a folder of versions, each with the months and hash prefixes that it
 rewrote: ``version=<number>/event_month=<month>/prefix=<digits>``, of which the highest version counts. A gold
-table is a folder of whole versions, of which the last one counts. Logs are appended to.
+table is a folder of whole versions, of which the last one counts. States and numbers of values are segments,
+``segment=<number>.<first>``, each of which stands for those from ``first`` on. Logs are appended to.
 """
 
 from __future__ import annotations
@@ -30,9 +31,13 @@ TABLES: dict[str, T.StructType] = {
     "pipeline_runs": schemas.PIPELINE_RUNS,
     "data_quality_checks": schemas.DATA_QUALITY_CHECKS,
     "rejected_rows": schemas.REJECTED_ROWS,
+    "raw_states": schemas.PART_STATES,
+    "clean_states": schemas.PART_STATES,
+    "value_numbers": schemas.VALUE_NUMBERS,
 }
 BATCHED, MERGED = ("raw_records",), ("clean_records",)
 REPLACED = ("daily_metrics", "monthly_metrics", "monthly_metrics_raw")
+SEGMENTED = ("raw_states", "clean_states", "value_numbers")
 MONTH, PREFIX = "event_month", "prefix"
 
 
@@ -74,6 +79,8 @@ class Lake:
             return self.read_parts(spark, table, self.parts(spark, table))
         if table in REPLACED:
             return self._read(spark, table, self.folders(spark, table).names()[-1:])
+        if table in SEGMENTED:
+            return self._read(spark, table, self.segments(spark, table))
         try:
             return spark.read.schema(TABLES[table]).parquet(literal(self.path(table)))
         except AnalysisException as error:
@@ -134,6 +141,31 @@ class Lake:
     def read_parts(self, spark: SparkSession, table: str, parts: Iterable[Part]) -> DataFrame:
         return self._read(spark, table, [p.folder for p in parts])
 
+    def part_names(self, spark: SparkSession, table: str) -> list[str]:
+        """The folders that the table shows now: batches of bronze, parts of silver. What one holds never changes."""
+        if table in BATCHED:
+            return list(self._batch_folders(spark).values())
+        return [part.folder for part in self.parts(spark, table)]
+
+    def read_named(self, spark: SparkSession, table: str, names: Iterable[str]) -> DataFrame:
+        """The rows of these folders, with the folder's name as ``part``."""
+        extra = ("batch",) if table in BATCHED else ("version", PREFIX)
+        keys = ("batch",) if table in BATCHED else ("version", MONTH, PREFIX)
+        name = F.concat_ws("/", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys])
+        return self._read(spark, table, names, extra).withColumn("part", name)
+
+    def segments(self, spark: SparkSession, table: str, old: bool = False) -> list[str]:
+        """The current segments, the last one first; with ``old``, those that a later one stands for."""
+        current, replaced, first = [], [], None
+        for name in reversed(self.folders(spark, table).names()):
+            number, begins = map(int, name.split("=")[1].split("."))
+            if first is not None and number >= first:
+                replaced.append(name)
+            else:
+                current.append(name)
+                first = begins
+        return replaced if old else current
+
 
 def latest_n(
     table: DataFrame,
