@@ -7,8 +7,9 @@ solves a convex dual of one variable a source. Newton steps find all tilts toget
 aggregate over (source, size) cells, kept inside a bracket that every step narrows.
 
 Rates become whole copies by systematic rounding along the sizes of a source: the rounded count of
-any run of sizes is within one of the expected one. Then corrections, a few rounds at most, add
-or take one copy where that brings a source nearer to its target. Which documents of a cell get the copy more
+any run of sizes is within one of the expected one. Then corrections add or take copies of one size in each
+round, as many as bring a source nearer to its target, until it is close or no size helps. Newton steps that end
+before all sources are within the tolerance say so in the log. Which documents of a cell get the copy more
 follows from a hash of id and text, so reruns agree. Cells and sources are partial aggregates; no
 group of rows is gathered.
 
@@ -19,17 +20,19 @@ empty result.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from smeltery.llm.common import text_of, words_of
+from smeltery.operators.numbering import numbered, placed
 from smeltery.session import stage
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
 TOLERANCE = 1e-9
 STEPS = 60
-CORRECTIONS = 12     # at most; a source within CLOSE of its target is left alone
-CLOSE = 0.001
+CLOSE = 0.001        # a source as near as this to its target is left alone
 BUCKETS = 1024
 SAME = lambda *names: " and ".join(f"l.{n} <=> r.{n}" for n in names)
 
@@ -43,11 +46,10 @@ def joined(left: DataFrame, right: DataFrame, *names: str, how: str = "inner") -
 def targets(cells: DataFrame) -> DataFrame:
     """``source``, ``source_size``, ``target``: one row for each source."""
     sizes = cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("docs"))
-    # One row a source: the only sort over all of them.
-    order = Window.orderBy(F.col("source").isNull(), "source")
-    place = F.pmod(F.row_number().over(order) - 1, F.lit(len(WEIGHTS)))
+    sizes = numbered(stage(placed(sizes, F.col("source").isNull(), F.col("source")), "ranked"), "rank")
+    place = F.pmod(F.col("rank") - 1, F.lit(len(WEIGHTS)))
     w = F.element_at(F.array(*[F.lit(float(x)) for x in WEIGHTS]), (place + 1).cast("int"))
-    sizes = stage(sizes.select("*", w.alias("weight")), "sources")
+    sizes = stage(sizes.withColumn("weight", w).drop("rank"), "sources")
     cap = MOST * F.col("source_size").cast("double")
     total = sizes.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     level = float("-inf")
@@ -95,6 +97,8 @@ def tilts(cells: DataFrame, aims: DataFrame) -> DataFrame:
         state = state.drop("moved")
         if not going:
             break
+    else:
+        logging.getLogger(__name__).warning("%d sources are not within %g of their targets after %d steps", going, TOLERANCE, STEPS)
     return state
 
 
@@ -112,15 +116,17 @@ def rounded(cells: DataFrame, state: DataFrame) -> DataFrame:
     before = F.coalesce(F.lag("at").over(Window.partitionBy("source").orderBy("size")), F.lit(0))
     extra = F.least(F.greatest(F.col("at") - before, F.lit(0)), F.when(F.col("base") >= MOST, 0).otherwise(F.col("n")))
     out = stage(cut.select("source", "size", "n", "target", "rate", "base", extra.cast("bigint").alias("extra")), "cells")
-    for _ in range(CORRECTIONS):
+    while True:  # every round brings each open source nearer to its target
         taken = F.sum(F.col("size") * (F.col("n") * F.col("base") + F.col("extra")))
         off = out.groupBy("source").agg((F.max("target") - taken).alias("left"), F.max("target").alias("aim"))
         open_ = joined(out, off.filter(F.abs("left") > CLOSE * F.col("aim")).drop("aim"), "source")
         given = F.col("n") * F.col("base") + F.col("extra")
-        moves = F.array(F.struct(F.lit(1).alias("d"), (given < MOST * F.col("n")).alias("can")),
-                        F.struct(F.lit(-1).alias("d"), (given > 0).alias("can")))
-        tried = open_.filter("size > 0").select("source", "size", "left", F.explode(moves).alias("m")).filter("m.can")
-        tried = tried.select("source", "size", "left", "m.d", F.abs(F.col("left") - F.col("size") * F.col("m.d")).alias("then"))
+        room = F.when(F.col("left") > 0, MOST * F.col("n") - given).otherwise(given)
+        fits = F.floor(F.abs("left") / F.col("size")).cast("bigint")
+        moved = F.greatest(F.least(room, fits), F.lit(1))
+        tried = (open_.filter("size > 0").filter(room > 0)
+                 .select("source", "size", "left", (moved * F.signum("left").cast("bigint")).alias("d")))
+        tried = tried.select("*", F.abs(F.col("left") - F.col("size") * F.col("d")).alias("then"))
         best = (tried.filter(F.col("then") < F.abs(F.col("left"))).groupBy("source")
                 .agg(F.min(F.struct("then", "size", "d")).alias("b")).select("source", F.col("b.size").alias("size"), F.col("b.d").alias("d")))
         best = stage(best, "moves")

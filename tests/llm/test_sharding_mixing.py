@@ -89,3 +89,23 @@ def test_stage(docs_of, corpus):
     assert made.columns == docs.columns
     assert made.count() == sum(r.copies for r in mixing.mix(docs).collect())
     assert mixing.mixed(docs_of([])).count() == 0 and mixing.mix(docs_of([])).count() == 0
+
+
+def test_corrections_go_on_until_close(docs_of):
+    # Copies of one long text miss the target by much; only hundreds of short ones make up for it.
+    rows = [(i, " ".join(["w"] * 5000), "a") for i in range(3)]
+    rows += [(10 + i, "w", "a") for i in range(4000)] + [(9000 + i, "b b b", "b") for i in range(9000)]
+    got = mixing.mix(docs_of(rows)).collect()
+    assert got[0].target is not None
+    for ids in (range(9000), range(9000, 30000)):
+        own = [r for r in got if r.doc_id in ids]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(0.001 * own[0].target, 3)
+        assert all(0 <= r.taken <= 3 * r["size"] for r in own)
+
+
+def test_weights_follow_code_points(docs_of):
+    names = [f"src{k:03d}" for k in range(300)] + ["Z", "\u00e9", "\U0001f600"]
+    rows = [(k, " ".join(["w"] * 10), s) for k, s in enumerate(names)] + [(999, " ".join(["w"] * 10), None)]
+    want = brute_targets({s: 10 for s in sorted(names)} | {None: 10})
+    for r in mixing.mix(docs_of(rows)).collect():
+        assert math.isclose(r.target, want[names[r.doc_id] if r.doc_id < 999 else None], rel_tol=1e-9)
