@@ -3,10 +3,12 @@
 Every document gets a few counts (``features``). Documents that fail the base rule go at once.
 For the others each rate is put in a log-linear bucket that keeps the leading seven bits, and
 buckets are counted by language and source. Such counts are a quantile sketch: its relative error
-is below 1/64, two sketches merge by adding counts, and its size doesn't grow with the rows. A
-source with fewer than ``min_rows`` documents takes the merged sketch of its language, and a small
-language that of all documents. The cutoff of a rate lies ``reach`` times the distance from median
-to upper quartile (and a stated slack) above that quartile, so it moves with what is usual there.
+is below 1/64, two sketches merge by adding counts, and its size doesn't grow with the rows. The
+quartiles of a source are blended with those of its language's merged sketch, which counts as
+``WEIGHT`` documents, and a language's in the same way with those of all documents: few documents
+of its own leave a source near its language, many near itself, and one more never switches. The
+cutoff of a rate lies ``REACH`` times the distance from median to upper quartile (and a stated
+slack) above that quartile, so it moves with what is usual there.
 
 Null text has no words and fails the base rule. Null language or source is a group of its own.
 Repeated rows count and return as often as they come. An empty table gives an empty result.
@@ -25,7 +27,7 @@ MAX_REPEAT = 30     # percent of the words
 # Rate, slack above the fence: per 1000 characters, per 1000 characters, 1/100 characters, per 1000 lines.
 RATES = {"symbol_rate": 30, "upper_rate": 150, "word_size": 300, "line_rate": 500}
 REACH = 4
-MIN_ROWS = 50
+WEIGHT = 50         # documents of its own with which a source counts as much as its language
 BROADCAST_ROWS = 50_000
 
 
@@ -120,12 +122,17 @@ def fences(cells: DataFrame) -> DataFrame:
     joined = (a.join(b, F.col("a.lang").eqNullSafe(F.col("b.lang")) & (F.col("a.rate") == F.col("b.rate")))
               .join(c, F.col("a.rate") == F.col("c.rate")))
 
+    def blend(own: str, rows: str, other: Column) -> Column:
+        """Whole numbers, rounded down."""
+        n = F.col(rows).cast("decimal(38,0)")
+        return F.call_function("div", n * F.col(own) + WEIGHT * other, n + WEIGHT)
+
     def pick(name: str) -> Column:
-        return (F.when(F.col("a.rows") >= MIN_ROWS, F.col(f"a.{name}"))
-                .when(F.col("b.rows") >= MIN_ROWS, F.col(f"b.{name}")).otherwise(F.col(f"c.{name}")))
+        return blend(f"a.{name}", "a.rows", blend(f"b.{name}", "b.rows", F.col(f"c.{name}")))
 
     cut = joined.select(F.col("a.lang").alias("lang"), F.col("a.source").alias("source"), F.col("a.rate").alias("rate"),
-                        (pick("high") + REACH * (pick("high") - pick("mid"))).alias("cut"))
+                        pick("high").alias("high"), pick("mid").alias("mid"))
+    cut = cut.select("lang", "source", "rate", (F.col("high") + REACH * (F.col("high") - F.col("mid"))).alias("cut"))
     return cut.groupBy("lang", "source").agg(*[
         (F.max(F.when(F.col("rate") == k, F.col("cut"))) + slack).alias(f"max_{k}") for k, slack in RATES.items()])
 

@@ -44,13 +44,16 @@ seen AS (
 q AS (
   SELECT level, lang, source, rate, any_value(rows_) AS rows_, min(bucket) FILTER (upto * 100 >= rows_ * 50) AS mid,
          min(bucket) FILTER (upto * 100 >= rows_ * 75) AS high FROM seen GROUP BY ALL),
-cut AS (
+blended AS (
   SELECT a.lang, a.source, a.rate,
-         CASE WHEN a.rows_ >= 50 THEN a.high + 4 * (a.high - a.mid)
-              WHEN b.rows_ >= 50 THEN b.high + 4 * (b.high - b.mid) ELSE c.high + 4 * (c.high - c.mid) END
-         + CASE a.rate WHEN 'symbol_rate' THEN 30 WHEN 'upper_rate' THEN 150 WHEN 'word_size' THEN 300 ELSE 500 END AS top
+         (a.rows_ * a.high + 50 * ((b.rows_ * b.high + 50 * c.high) // (b.rows_ + 50))) // (a.rows_ + 50) AS high,
+         (a.rows_ * a.mid + 50 * ((b.rows_ * b.mid + 50 * c.mid) // (b.rows_ + 50))) // (a.rows_ + 50) AS mid
   FROM q a JOIN q b ON b.level = 1 AND a.lang IS NOT DISTINCT FROM b.lang AND a.rate = b.rate
   JOIN q c ON c.level = 2 AND a.rate = c.rate WHERE a.level = 0),
+cut AS (
+  SELECT lang, source, rate, high + 4 * (high - mid)
+         + CASE rate WHEN 'symbol_rate' THEN 30 WHEN 'upper_rate' THEN 150 WHEN 'word_size' THEN 300 ELSE 500 END AS top
+  FROM blended),
 wide AS (
   SELECT lang, source, max(top) FILTER (rate = 'symbol_rate') AS max_symbol_rate,
          max(top) FILTER (rate = 'upper_rate') AS max_upper_rate, max(top) FILTER (rate = 'word_size') AS max_word_size,

@@ -44,3 +44,15 @@ def test_stage_keeps_columns_and_empty_input(docs_of, corpus):
     docs = docs_of(corpus)
     assert q.keep_good(docs).columns == docs.columns
     assert q.quality(docs_of([])).count() == 0
+
+
+def test_one_document_more_moves_cutoffs_but_little(docs_of):
+    plain = [(i, " ".join(f"word{i}x{k}" for k in range(40)), "big") for i in range(300)]
+    loud = [(1000 + i, " ".join(f"LOUD{k}" if k % 2 else f"quiet{k}{i}" for k in range(40)), "small") for i in range(52)]
+    cuts = []
+    for n in (1, 10, 48, 49, 50, 51, 52):
+        found = {r.max_upper_rate for r in q.quality(docs_of(plain + loud[:n])).collect() if r.doc_id >= 1000}
+        assert len(found) == 1
+        cuts.append(found.pop())
+    assert cuts == sorted(cuts) and cuts[-1] > cuts[0]
+    assert max(b - a for a, b in zip(cuts[2:], cuts[3:])) <= 5
