@@ -78,16 +78,30 @@ def steps(radius: int = RADIUS) -> list[int]:
     return [sum(x << 5 * k for k, x in enumerate(d)) for d in near if d >= (0,) * LANES]
 
 
-def tiles(fps: DataFrame) -> DataFrame:
+def placed_in_tiles(fps: DataFrame) -> DataFrame:
+    return fps.select("fp", lanes(F.col("fp")).alias("tile"))
+
+
+def chunks_of(placed: DataFrame) -> DataFrame:
+    """``tile`` and the number of its ``parts``: at most 17 ** LANES rows of two numbers, however many the fingerprints."""
+    return placed.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts"))
+
+
+def tiles(placed: DataFrame, parts: DataFrame) -> DataFrame:
     """``tile``, ``chunk``, ``list``: the distinct fingerprints, packed."""
-    placed = fps.select("fp", lanes(F.col("fp")).alias("tile"))
-    # At most 17 ** LANES rows of two numbers, however many the fingerprints.
-    parts = placed.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts"))
     placed = placed.join(F.broadcast(parts), "tile")
     return (placed.groupBy("tile", F.pmod(F.xxhash64("fp"), F.col("parts")).alias("chunk"))
             .agg(F.collect_list("fp").alias("list")))
 
 
+def towards(packed: DataFrame, parts: DataFrame, moves: list[int]) -> DataFrame:
+    """Each chunk once for every chunk of the tiles at ``moves`` from its own: ``tile``, ``chunk``, ``list``, ``to``, ``part``."""
+    met = packed.select("*", F.explode(F.array(*[F.lit(m) for m in moves])).alias("move"))
+    met = met.select("tile", "chunk", "list", (F.col("tile") + F.col("move")).alias("to"))
+    met = met.join(F.broadcast(parts.select(F.col("tile").alias("to"), "parts")), "to")
+    return met.select("tile", "chunk", "list", "to", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+
+
 def near_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links between two lists; if they are many, as many as keep the same parts connected."""
     xs, ys = [], []
@@ -117,12 +131,21 @@ def near_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, n
 
 
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``x``, ``y``: pairs of distinct fingerprints within ``radius`` bits (see ``near_pairs``)."""
-    packed = stage(tiles(fps), "tiles")
-    left = packed.select(F.col("tile").alias("from"), F.col("chunk").alias("part"), F.col("list").alias("a"),
-                         F.explode(F.array(*[F.lit(s) for s in steps(radius)])).alias("step"))
-    left = left.select("from", "part", "a", (F.col("from") + F.col("step")).alias("tile"))
-    met = left.join(packed, "tile").filter((F.col("from") != F.col("tile")) | (F.col("part") <= F.col("chunk")))
+    """``x``, ``y``: pairs of distinct fingerprints within ``radius`` bits (see ``near_pairs``).
+
+    Two chunks meet under a key of their own, so the chunks of a hot tile share no task.
+    """
+    placed = stage(placed_in_tiles(fps), "placed")
+    parts = stage(chunks_of(placed), "tile-parts")
+    packed = stage(tiles(placed, parts), "tiles")
+    moves = steps(radius)
+    left = towards(packed, parts, moves).select(
+        F.col("tile").alias("t1"), F.col("chunk").alias("c1"), F.col("to").alias("t2"), F.col("part").alias("c2"), F.col("list").alias("a"))
+    right = towards(packed, parts, [-m for m in moves]).select(
+        F.col("to").alias("t1"), F.col("part").alias("c1"), F.col("tile").alias("t2"), F.col("chunk").alias("c2"), F.col("list").alias("b"))
+    once = (F.col("t1") != F.col("t2")) | (F.col("c1") <= F.col("c2"))
+    # Both sides are many times the size of the table that they come from, which Spark doesn't see when it plans.
+    met = left.filter(once).join(right.filter(once).hint("merge"), ["t1", "c1", "t2", "c2"])
 
     def run(batches):
         for batch in batches:
@@ -135,7 +158,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(v).view(np.int64)) for v in (xs, ys)], names=["x", "y"])
 
-    return met.select("a", F.col("list").alias("b")).mapInArrow(run, "x bigint, y bigint")
+    return met.select("a", "b").mapInArrow(run, "x bigint, y bigint")
 
 
 def classes(prints: DataFrame) -> DataFrame:

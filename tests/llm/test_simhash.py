@@ -57,6 +57,22 @@ def test_near_copies(docs_of):
     assert len(set(brute_components(rows)[1])) < 60
 
 
+def test_chunks_of_a_tile_meet_each_other_once(spark, monkeypatch):
+    # Small chunks: every tile has several, and each pair of chunks in reach is one row.
+    monkeypatch.setattr(q, "CHUNK", 4)
+    test_tiles_lose_no_pair(spark)
+    frame = spark.createDataFrame([(x,) for x in range(64)], "fp bigint")
+    placed = q.placed_in_tiles(frame)
+    parts = q.chunks_of(placed)
+    packed = q.tiles(placed, parts)
+    sizes = [(r.tile, r.chunk) for r in packed.collect()]
+    assert len(sizes) > 7
+    got = [(r.tile, r.chunk, r.to, r.part) for r in q.towards(packed, parts, q.steps()).collect()]
+    chunks = {r.tile: r.parts for r in parts.collect()}
+    want = [(t, c, t + m, p) for t, c in sizes for m in q.steps() for p in range(chunks.get(t + m, 0))]
+    assert sorted(got) == sorted(want)
+
+
 def test_tiles_lose_no_pair(spark):
     rng = np.random.default_rng(1)
     seeds = rng.integers(0, 2**63, 30).astype(np.uint64)
