@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from smeltery.session import stage
+
 KEY = ("source", "record_hash")
 
 # A group is called hot when it holds more than 1/HOT_SHARE of all rows. At most
@@ -42,6 +44,37 @@ def new_only(
     return batch.join(seen, list(keys), "left_anti")
 
 
+def mark(keys: Sequence[str] = KEY) -> Column:
+    """Eight bytes for a key. Equal keys have equal marks; other keys seldom do, and nothing may rest on that."""
+    return F.xxhash64(*keys).alias("_mark")
+
+
+def disjoint(one: DataFrame, other: DataFrame, keys: Sequence[str] = KEY) -> bool:
+    """True only if no key is in both frames; marks alone are compared, so it may be False by chance."""
+    return one.select(mark(keys)).join(other.select(mark(keys)), "_mark", "left_semi").isEmpty()
+
+
+def first_new(
+    staged: DataFrame, existing: DataFrame, order: Sequence[str], keys: Sequence[str] = KEY
+) -> DataFrame:
+    """``new_only`` of ``keep_first`` for staged rows whose ``order`` differs between all rows.
+
+    Marks say which keys may occur twice or be stored. Only those rows' keys are compared in full; what remains
+    leaves out the rows that lose, by their place. So rows whose key is alone and new are never shuffled.
+    """
+    marks = staged.select(mark(keys))
+    twice = marks.groupBy("_mark").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_mark")
+    stored = existing.select(mark(keys)).join(marks, "_mark", "left_semi")
+    shared = stage(twice.union(stored).distinct(), "shared")
+    if shared.isEmpty():
+        return staged
+    asked = staged.select(*keys, *order, mark(keys)).join(shared, "_mark", "left_semi").drop("_mark")
+    held = existing.select(*keys, mark(keys)).join(shared, "_mark", "left_semi").drop("_mark")
+    kept = new_only(keep_first(asked, order, keys), held, keys)
+    losers = stage(asked.select(*order).join(kept.select(*order), list(order), "left_anti"), "losers")
+    return staged.join(losers, list(order), "left_anti").select(*staged.columns)
+
+
 def batch_counts(batch: DataFrame, file_ord: str, keys: Sequence[str] = KEY) -> DataFrame:
     """Rows per file and in all: total, inserted (first file that brings the key), deduped.
 

@@ -221,12 +221,13 @@ def read_batch(
         batch = batch.unionByName(part, allowMissingColumns=True)
     if "header_error" not in batch.columns:
         batch = batch.withColumn("header_error", F.lit(None).cast("string"))
-    placed = batch.join(file_order(spark, files), "file_path")
+    # The driver has listed these files; a shuffled join would gather a file's rows in one task.
+    placed = batch.join(F.broadcast(file_order(spark, files)), "file_path")
     return placed.select(*BATCH_COLUMNS, "header_error"), files
 
 
 def file_order(spark: SparkSession, files: Sequence[str]) -> DataFrame:
-    """Position of each file in the batch; a small table that Spark sizes before it joins."""
+    """Position of each file in the batch."""
     rows = [(file, position) for position, file in enumerate(files, 1)]
     return spark.createDataFrame(rows, "file_path string, file_ord long")
 
@@ -236,6 +237,7 @@ def with_row_numbers(rows: DataFrame, batch: DataFrame) -> DataFrame:
 
     A block is what one task reads of a file. Blocks are counted first (one small row per
     block); a row's number is its place within its block plus the rows of earlier blocks.
+    The blocks are broadcast, as a shuffled join would gather each block's rows in one task.
     """
     blocks = batch.groupBy("file_path", "block_start").agg(
         F.min("seq").alias("_first"), F.count(F.lit(1)).alias("_rows")
@@ -247,6 +249,6 @@ def with_row_numbers(rows: DataFrame, batch: DataFrame) -> DataFrame:
         "file_path", "block_start",
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
-    return rows.join(offsets, ["file_path", "block_start"]).withColumn(
+    return rows.join(F.broadcast(offsets), ["file_path", "block_start"]).withColumn(
         "row_num", F.col("seq") + F.col("_shift")
     ).drop("_shift")

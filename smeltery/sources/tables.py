@@ -41,6 +41,11 @@ SEGMENTED = ("raw_states", "clean_states", "value_numbers")
 MONTH, PREFIX = "event_month", "prefix"
 
 
+def _none(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, and Spark knows it when it plans: what is joined to them needn't be shuffled."""
+    return spark.createDataFrame([], schema).where(F.lit(False))
+
+
 @dataclass(frozen=True)
 class Part:
     """One month and hash prefix of silver, as a version wrote it."""
@@ -86,13 +91,13 @@ class Lake:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return spark.createDataFrame([], TABLES[table])
+            return _none(spark, TABLES[table])
 
     def _read(self, spark: SparkSession, table: str, folders: Iterable[str], extra: Sequence[str] = ()) -> DataFrame:
         schema = TABLES[table]
         paths = [f"{literal(self.path(table))}/{folder}" for folder in folders]
         if not paths:
-            return spark.createDataFrame([], T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in extra]]))
+            return _none(spark, T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in extra]]))
         # The folders' own numbers stay text.
         named = T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in extra]])
         return spark.read.schema(named).option("basePath", literal(self.path(table))).parquet(*paths).select(*named.names)
