@@ -228,7 +228,9 @@ def _ingest_idempotent_replay(spark, sf_dir):
 @query("backfill_keys")
 def _backfill_keys(spark, sf_dir):
     raw = standin.keyed_batch(spark, sf_dir).select("id", "run_id", "payload")
-    runs = standin.raw_batch(spark, sf_dir).select("source").distinct()
+    # Staged, so that Spark knows before it plans the join that there are few runs; a shuffled join would send each
+    # run's rows to one task.
+    runs = stage(standin.raw_batch(spark, sf_dir).select("source").distinct(), "runs")
     filled = keys.backfill_keys(raw, runs.withColumn("id", F.concat(F.lit("run-"), "source")))
     return filled.select(
         "id", "source", "source_id", iso_utc(F.col("event_time")).alias("event_time"),
