@@ -101,19 +101,19 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
 
 
 def fingerprint(columns: Sequence[str]) -> Column:
-    """Fixed-width digest of the columns; lengths keep neighbours apart, null is not empty."""
+    """Fixed-width digest of the columns, as bytes; lengths keep neighbours apart, null is not empty."""
 
     def part(name: str) -> Column:
         text = F.col(name).cast("string")
         return F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-"))
 
     # Never null, which spares the join a null test that would compute the digest twice.
-    return F.coalesce(F.sha2(F.concat(*[part(c) for c in columns]), 256), F.lit(""))
+    return F.coalesce(F.unhex(F.sha2(F.concat(*[part(c) for c in columns]), 256)), F.lit(b""))
 
 
 def _spread_key() -> Column:
-    """Differs between all rows; it matches no digest, so it only decides where a row goes."""
-    return F.concat(F.lit("hot-"), F.monotonically_increasing_id().cast("string"))
+    """Differs between all rows; it is shorter than a digest and matches none, so it only decides where a row goes."""
+    return F.concat(F.lit("hot-"), F.monotonically_increasing_id().cast("string")).cast("binary")
 
 
 def with_group_size(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:

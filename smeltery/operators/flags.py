@@ -151,6 +151,11 @@ def flag(
     )
 
 
+def of_report(rows: DataFrame) -> DataFrame:
+    """Only the columns that the report shows, which hold all that the rules read; payloads aren't carried along."""
+    return rows.select(*[c for c in REPORT_COLUMNS if c in rows.columns])
+
+
 def report(flagged: DataFrame) -> DataFrame:
     """The report columns as text, missing ones empty, most severe first, then by id."""
 

@@ -447,7 +447,8 @@ def _flagged(batch: DataFrame) -> DataFrame:
 @query("flags_report")
 def _flags_report(spark, sf_dir):
     # Staged, because a global sort reads its input twice: once to find the ranges.
-    return flags.report(stage(_flagged(standin.staged_batch(spark, sf_dir)), "flagged"))
+    batch = stage(flags.of_report(standin.keyed_batch(spark, sf_dir)), "batch")
+    return flags.report(stage(_flagged(batch), "flagged"))
 
 
 @query("flags_severity")
