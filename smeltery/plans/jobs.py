@@ -354,7 +354,7 @@ def flag_report(
     ensure_utc(spark)
     with recorded(spark, lake, "flags", "raw_records", limit=limit) as run:
         with run.timed("fetch_raw_records", limit=limit):
-            records = latest_n(lake.read(spark, "raw_records"), limit)
+            records = latest_n(flags.of_report(lake.read(spark, "raw_records")), limit)
             if limit is not None:
                 records = stage(records, "latest")
             scanned = records.count()
