@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery import schemas
@@ -77,7 +77,6 @@ def insert_batch(
     the last batch that was looked up. If another batch took it, only that one is looked up as well, so no
     key is stored twice, whoever else writes. Returns the rows inserted and the batch's number.
     """
-    first = dedupe.keep_first(staged, PLACE)
     months = tables.touched_months(staged)
     last = max(lake.batches(spark), default=0)
     # Equal keys share an event month, so only those months of the table can hold them.
@@ -267,11 +266,10 @@ def refresh_clean(
                 bronze = latest_n(lake.read(spark, "raw_records"), limit)
             else:
                 bronze = lake.read_batches(spark, [n for n in numbers if everything or n > mark])
-            lost = Observation()
-            watched = bronze.observe(lost, *losses(bronze))
-            cleaned = stage(to_silver(watched, F.col("run_id"), F.lit(utc_now())), "clean")
-            scanned = cleaned.count()
-            found = lost.get
+            found = bronze.agg(F.count(F.lit(1)).alias("scanned"), *losses(bronze)).first().asDict()
+            scanned = found.pop("scanned")
+            # Batches never change, so rows are cleaned as they are written, not staged before.
+            cleaned = to_silver(bronze, F.col("run_id"), F.lit(utc_now()))
             run.note("losses", **found)
             if found["amounts_lost"]:
                 tables.append(lake, "data_quality_checks", quality.count_check(
@@ -279,7 +277,7 @@ def refresh_clean(
         with run.timed("upsert_clean_records", record_count=scanned):
             before = max(lake.versions(spark, "clean_records"), default=0)
             now, added = tables.upsert_by_part(
-                spark, lake, "clean_records", cleaned, dedupe.KEY, keep=("id",)
+                spark, lake, "clean_records", cleaned, dedupe.KEY, keep=("id",), unique=not unproven(spark, lake)
             )
             # The count after the last run still holds if no other version came in between.
             known = before == 0 or rows is not None and version == before

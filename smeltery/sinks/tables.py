@@ -122,13 +122,16 @@ def touched_months(rows: DataFrame) -> list:
 
 def upsert_by_part(
     spark: SparkSession, lake: Lake, table: str, incoming: DataFrame,
-    keys: Sequence[str], keep: Sequence[str] = (),
+    keys: Sequence[str], keep: Sequence[str] = (), unique: bool = False,
 ) -> tuple[int, int]:
     """Upsert into a table of months and hash prefixes, rewriting only the parts it touches.
 
     The merged parts are written to a hidden folder, which becomes the next version by one rename: readers
     see all of the upsert or nothing. If another version came first, the parts are merged anew. Parts that
     were replaced before the last version are deleted. Returns the version and how many rows were added.
+
+    ``unique`` states that no key comes twice in ``incoming``. Where none of them is stored either, the merged
+    parts are the rows of both, without a join.
     """
     folders, prefix = lake.folders(spark, table), F.substring("record_hash", 1, lake.digits).alias(PREFIX)
     rows = _conform(incoming, table, prefix)
@@ -140,7 +143,10 @@ def upsert_by_part(
             return last, 0
         stored = [p for p in lake.parts(spark, table) if (p.month, p.prefix) in touched]
         existing = lake.read_parts(spark, table, stored)
-        merged = upsert(existing.select("*", prefix), rows, (MONTH, PREFIX, *keys), keep)
+        if unique and (not stored or disjoint(existing, rows, keys)):
+            merged = existing.select("*", prefix).unionByName(rows)
+        else:
+            merged = upsert(existing.select("*", prefix), rows, (MONTH, PREFIX, *keys), keep)
         hidden = folders.hidden()
         try:
             written = _counted(merged.select(*TABLES[table].names, PREFIX), f"{folders.root}/{hidden}", (MONTH, PREFIX))
