@@ -33,10 +33,15 @@ def extract_keys(df: DataFrame, read: Callable[[str], Column] = F.col) -> DataFr
             "value": norm_str(read("value")),
         }
     )
-    return keyed.withColumn(
-        "record_hash",
-        record_hash(F.col("source_id"), F.col("event_time"), F.col("category"), F.col("value")),
-    )
+    return with_hash(keyed)
+
+
+# Fixed value: the typed keys that the content hash covers.
+HASHED = ("source_id", "event_time", "category", "value")
+
+
+def with_hash(keyed: DataFrame) -> DataFrame:
+    return keyed.withColumn("record_hash", record_hash(*[F.col(name) for name in HASHED]))
 
 
 def with_event_month(df: DataFrame) -> DataFrame:

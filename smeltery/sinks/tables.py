@@ -8,16 +8,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from smeltery.functions.hashing import record_hash
 from smeltery.operators.dedupe import disjoint
+from smeltery.operators.keys import HASHED
 from smeltery.operators.merge import upsert
-from smeltery.sources.tables import BATCHED, MONTH, PREFIX, TABLES, Lake
+from smeltery.sources.tables import BATCHED, MADE, MONTH, PREFIX, TABLES, Lake, made_ids
 
 KEPT = 2   # versions of a part or table that stay, so that running readers finish
 SEGMENTS = 16   # of a table before the next one stands for all of them
 
-# Columns of SHA-256 digests in hexadecimal digits, and those that follow from other columns.
+# Columns of SHA-256 digests in hexadecimal digits.
 DIGESTS = ("id", "raw_id", "record_hash")
-BRONZE_ID, SILVER_ID = ("source", "record_hash"), ("run_id", "source", "record_hash")
 
 
 def _conform(df: DataFrame, table: str, *more: str) -> DataFrame:
@@ -34,36 +35,43 @@ def _counted(rows: DataFrame, path: str, by: Sequence[str] = (), mode: str = "er
     folder with a third of all rows is split over many tasks.
     """
     seen = Observation()
-    out = _unpacked(_packed(rows).hint("rebalance", *by), rows) if by else rows
+    out = _unpacked(_packed(rows).hint("rebalance", *by), rows, thin=True) if by else rows
     writer = out.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).option("compression", "zstd")
     (writer.partitionBy(*by) if by else writer).parquet(path)
     return int(seen.get["n"])
 
 
 def _derived(rows: DataFrame) -> dict[str, Column]:
-    """Digests that the jobs make of other columns. A table may hold others, so each is compared before it is left out."""
-    ids = {"raw_id": BRONZE_ID, "id": SILVER_ID} if "raw_id" in rows.columns else {"id": BRONZE_ID}
-    return {name: F.sha2(F.concat_ws("|", *of), 256) for name, of in ids.items() if {name, *of} <= set(rows.columns)}
+    """Digests that the jobs make of other columns, each after those it is made of. A table may hold others, so
+    each is compared before it is left out."""
+    names = set(rows.columns)
+    content = {"record_hash": record_hash(*[F.col(n) for n in HASHED])} if {"record_hash", *HASHED} <= names else {}
+    return {**content, **made_ids(rows.columns)}
 
 
 def _packed(rows: DataFrame) -> DataFrame:
     """The rows as they go through a shuffle: digests as bytes, or not at all where they follow from other columns."""
-    made = {f"_made_{name}": F.col(name).eqNullSafe(digest) for name, digest in _derived(rows).items()}
+    made = {MADE + name: F.col(name).eqNullSafe(digest) for name, digest in _derived(rows).items()}
     tested = rows.withColumns(made) if made else rows
     small = {}
     for name in [n for n in DIGESTS if n in rows.columns]:
-        rest = F.when(~F.col(f"_made_{name}"), F.col(name)) if f"_made_{name}" in made else F.col(name)
+        rest = F.when(~F.col(MADE + name), F.col(name)) if MADE + name in made else F.col(name)
         small[f"_hex_{name}"] = F.when(rest.rlike("^[0-9a-f]{64}$"), F.unhex(rest))
         small[name] = F.when(~rest.rlike("^[0-9a-f]{64}$"), rest)
     return tested.withColumns(small) if small else tested
 
 
-def _unpacked(small: DataFrame, rows: DataFrame) -> DataFrame:
-    """The columns of ``rows`` again, from ``_packed`` ones."""
+def _unpacked(small: DataFrame, rows: DataFrame, thin: bool = False) -> DataFrame:
+    """The columns of ``rows`` again, from ``_packed`` ones; ``thin`` leaves ids that follow from other columns to
+    the reader and adds their marks."""
     plain = {n: F.coalesce(F.lower(F.hex(f"_hex_{n}")), F.col(n)) for n in DIGESTS if n in rows.columns}
-    out = small.withColumns(plain) if plain else small
-    made = {n: F.when(F.col(f"_made_{n}"), d).otherwise(F.col(n)) for n, d in _derived(rows).items()}
-    return (out.withColumns(made) if made else out).select(*rows.columns)
+    out, marks = small.withColumns(plain) if plain else small, []
+    for n, digest in _derived(rows).items():
+        if thin and n in made_ids(rows.columns):
+            marks.append(MADE + n)
+        else:
+            out = out.withColumn(n, F.when(F.col(MADE + n), digest).otherwise(F.col(n)))
+    return out.select(*rows.columns, *marks)
 
 
 def append(lake: Lake, table: str, rows: DataFrame) -> int:

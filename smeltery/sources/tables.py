@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,16 @@ REPLACED = ("daily_metrics", "monthly_metrics", "monthly_metrics_raw")
 SEGMENTED = ("raw_states", "clean_states", "value_numbers")
 MONTH, PREFIX = "event_month", "prefix"
 
+# The columns that ids are digests of. Where an id is that digest, files hold a mark instead of it.
+BRONZE_ID, SILVER_ID = ("source", "record_hash"), ("run_id", "source", "record_hash")
+MADE = "_made_"
+
+
+def made_ids(columns: Iterable[str]) -> dict[str, Column]:
+    """The ids among the columns of bronze or silver, as the jobs make them of other columns."""
+    ids = {"raw_id": BRONZE_ID, "id": SILVER_ID} if "raw_id" in columns else {"id": BRONZE_ID}
+    return {name: F.sha2(F.concat_ws("|", *of), 256) for name, of in ids.items() if {name, *of} <= set(columns)}
+
 
 def _none(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, and Spark knows it when it plans: what is joined to them needn't be shuffled."""
@@ -100,7 +110,11 @@ class Lake:
             return _none(spark, T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in extra]]))
         # The folders' own numbers stay text.
         named = T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in extra]])
-        return spark.read.schema(named).option("basePath", literal(self.path(table))).parquet(*paths).select(*named.names)
+        ids = made_ids(schema.names) if table in (*BATCHED, *MERGED) else {}
+        held = T.StructType([*named.fields, *[T.StructField(MADE + n, T.BooleanType()) for n in ids]])
+        rows = spark.read.schema(held).option("basePath", literal(self.path(table))).parquet(*paths)
+        # Files without marks hold every id as it is.
+        return rows.select(*[F.when(F.col(MADE + n), ids[n]).otherwise(F.col(n)).alias(n) if n in ids else n for n in named.names])
 
     def versions(self, spark: SparkSession, table: str) -> list[int]:
         return [int(name.split("=")[1]) for name in self.folders(spark, table).names()]
