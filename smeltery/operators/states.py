@@ -31,16 +31,21 @@ def counts(rows: DataFrame, hashes: bool) -> DataFrame:
     wanted = [F.struct(F.lit("records").alias("name"), F.col("records").alias("n"))]
     aggregates = [F.count(F.lit(1)).alias("records")]
     if hashes:
-        aggregates.append(F.count_distinct("record_hash").alias("hashes"))
+        # Digests are shuffled as bytes; another text stays as it is, beside them.
+        digest = F.col("record_hash").rlike("^[0-9a-f]{64}$")
+        short = F.struct(F.when(digest, F.unhex("record_hash")).alias("bytes"), F.when(~digest, F.col("record_hash")).alias("text"))
+        aggregates.append(F.count_distinct(F.when(F.col("record_hash").isNotNull(), short)).alias("hashes"))
         wanted.append(F.struct(F.lit("hashes").alias("name"), F.col("hashes").alias("n")))
     each = rows.groupBy(*BY).agg(*aggregates).select(*BY, F.inline(F.array(*wanted)))
     return each.select(*BY, "name", F.lit(0).cast("bigint").alias("bucket"), F.lit(None).cast("binary").alias("bits"), "n")
 
 
 def bitmaps(found: DataFrame, numbers: DataFrame) -> DataFrame:
-    bucket, bit = F.bitmap_bucket_number("number"), F.bitmap_bit_position("number")
-    marked = found.join(numbers, ["name", "value"]).groupBy(*BY, "name", bucket.alias("bucket"))
-    return marked.agg(F.bitmap_construct_agg(bit).alias("bits"), F.lit(None).cast("bigint").alias("n"))
+    """Numbers go through the shuffle, not bits: a bitmap of a task's rows has 4 KB, and few tasks share a bucket."""
+    marked = found.join(numbers, ["name", "value"]).select(*BY, "name", F.bitmap_bucket_number("number").alias("bucket"), "number")
+    by = [*BY, "name", "bucket"]
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits")
+    return marked.repartition(*by).groupBy(*by).agg(bits, F.lit(None).cast("bigint").alias("n"))
 
 
 def metrics(states: DataFrame, name: str, records: str) -> DataFrame:

@@ -36,3 +36,25 @@ def test_files_that_hold_their_ids_are_read_as_they_are(spark, lake, tmp_path):
     other = lake.read(spark, "raw_records").withColumn("id", F.lit("mine")).drop("event_month")
     other.write.parquet(f"{lake.path('raw_records')}/batch=00000002.0/event_month=2026-01-01")
     assert sorted(r.id == "mine" for r in lake.read(spark, "raw_records").collect()) == [False, True]
+
+
+def test_hashes_are_counted_as_bytes(spark):
+    rows = spark.range(60).selectExpr(
+        "'p' AS part", "DATE '2026-01-01' AS event_month", "DATE '2026-01-01' AS day",
+        "CASE WHEN id < 40 THEN sha2(cast(id % 25 AS string), 256) WHEN id < 50 THEN cast(id % 4 AS string) END AS record_hash")
+    counted = merging.counts(rows, hashes=True)
+    assert {r.name: r.n for r in counted.collect()} == {"records": 60, "hashes": 29}
+    exchange = [x for x in counted._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x]
+    assert all("record_hash" not in x or "unhex" in x for x in exchange)
+
+
+def test_bits_are_set_after_the_shuffle(spark, tmp_path):
+    spark.range(50).selectExpr(
+        "concat('p', id % 3) AS part", "DATE '2026-01-01' AS event_month", "DATE '2026-01-01' AS day", "'source' AS name", "cast(id AS string) AS value",
+        "id + 1 AS number").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    held = merging.bitmaps(rows.drop("number"), rows.select("name", "value", "number"))
+    plan = held._jdf.queryExecution().executedPlan().toString().splitlines()
+    last = min(i for i, line in enumerate(plan) if "Exchange" in line)   # its input stands below
+    assert "partial_bitmap_construct_agg" in "".join(plan[:last]) and "bitmap_construct_agg" not in "".join(plan[last:])
+    assert held.selectExpr("sum(bitmap_count(bits))").first()[0] == 50
