@@ -176,7 +176,9 @@ def _ingest(spark, lake, run, source, batch, names, set_aside) -> IngestResult:
     try:
         with run.timed("parse", files=len(names)):
             keyed = keys.with_event_month(keys.extract_keys(batch.withColumn("source", F.lit(source))))
-            staged = every = stage(keys.with_reasons(keyed) if set_aside else keyed, "ingest")
+            # Hashes are as long as all the rest of a row; where one is asked for, it is made again of the keys.
+            parsed = (keys.with_reasons(keyed) if set_aside else keyed).drop("record_hash")
+            staged = every = keys.with_hash(stage(parsed, "ingest"))
             rejected = 0
             if set_aside:
                 rejected = reject(lake, staged, run.id, now)

@@ -16,6 +16,17 @@ def ingested(spark, lake, tmp_path, rows, **options):
     return jobs.ingest(spark, lake, "s", [str(path)], **options)
 
 
+def test_batches_are_staged_without_hashes(spark, lake, tmp_path, monkeypatch):
+    staged, real = {}, jobs.stage
+    monkeypatch.setattr(jobs, "stage", lambda df, label: staged.setdefault(label, df.columns) and real(df, label))
+    ingested(spark, lake, tmp_path, ["a,2026-01-05T06:00:00Z, 10 ,Alpha", "a,2026-01-05 06:00:00,10,alpha", "b,2026-01-05,1,c"])
+    assert "record_hash" not in staged["ingest"] and "payload" in staged["ingest"]
+    rows = {r.source_id: r for r in lake.read(spark, "raw_records").collect()}
+    assert set(rows) == {"a", "b"} and rows["a"].row_num == 1
+    want = spark.sql("""SELECT sha2('{"category":"alpha","event_time":"2026-01-05T06:00:00+00:00","source_id":"a","value":"10"}', 256)""").first()[0]
+    assert rows["a"].record_hash == want
+
+
 def test_files_hold_marks_instead_of_made_ids(spark, lake, tmp_path):
     ingested(spark, lake, tmp_path, [f"r{i},2026-01-05,{i},c" for i in range(9)])
     jobs.refresh_clean(spark, lake)
