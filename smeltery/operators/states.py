@@ -41,7 +41,7 @@ def counts(rows: DataFrame, hashes: bool) -> DataFrame:
 
 
 def bitmaps(found: DataFrame, numbers: DataFrame) -> DataFrame:
-    """Numbers go through the shuffle, not bits: a bitmap of a task's rows has 4 KB, and few tasks share a bucket."""
+    """Numbers go through the shuffle, not bits: a bitmap has 4 KB however few of a bucket's numbers a task holds."""
     marked = found.join(numbers, ["name", "value"]).select(*BY, "name", F.bitmap_bucket_number("number").alias("bucket"), "number")
     by = [*BY, "name", "bucket"]
     bits = F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits")
