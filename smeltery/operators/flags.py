@@ -156,8 +156,8 @@ def of_report(rows: DataFrame) -> DataFrame:
     return rows.select(*[c for c in REPORT_COLUMNS if c in rows.columns])
 
 
-def report(flagged: DataFrame) -> DataFrame:
-    """The report columns as text, missing ones empty, most severe first, then by id."""
+def report_rows(flagged: DataFrame) -> DataFrame:
+    """The report columns as text, missing ones empty, in no order."""
 
     def cell(name: str) -> Column:
         if name not in flagged.columns:
@@ -169,8 +169,19 @@ def report(flagged: DataFrame) -> DataFrame:
 
     cells = [cell(name) for name in REPORT_COLUMNS if name != "severity"]
     at = REPORT_COLUMNS.index("severity")
-    ordered = flagged.select(*cells[:at], "severity", *cells[at:])
-    return ordered.orderBy(F.desc("severity"), F.asc("id"))
+    return flagged.select(*cells[:at], "severity", *cells[at:])
+
+
+def report(flagged: DataFrame) -> DataFrame:
+    """The report columns as text, most severe first, then by id."""
+    return report_rows(flagged).orderBy(F.desc("severity"), F.asc("id"))
+
+
+def report_parts(small: DataFrame, flagged_id: Column, widen: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``report`` of the rows that ``widen`` makes of ``small`` ones, whose id ``flagged_id`` is: the small rows are
+    cut into ranges and each range is widened and sorted, so the parts in order are the report."""
+    ranges = small.repartitionByRange(F.desc("severity"), F.asc(F.coalesce(flagged_id, F.lit(""))))
+    return report_rows(widen(ranges)).sortWithinPartitions(F.desc("severity"), F.asc("id"))
 
 
 def top(flagged: DataFrame, n: int = 10) -> DataFrame:

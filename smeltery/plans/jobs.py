@@ -361,10 +361,14 @@ def flag_report(
         # Where bronze keys are known to be unique, no fingerprint can repeat in these rows.
         with run.timed("flag_records", record_count=scanned):
             unique = not unproven(spark, lake)
-            flagged = stage(flags.flag(records, now or utc_now(), unique_keys=unique), "flagged")
-            count = flagged.count()
+            found = flags.flag(records, now or utc_now(), unique_keys=unique)
+            # Digests are most of a row: those that follow from other columns are made again of the sorted ranges.
+            small = stage(tables._packed(found), "flagged")
+            flagged = tables._unpacked(small, found)
+            count = small.count()
         with run.timed("write_flag_report_csv", flagged_count=count, output_path=out):
-            write_report(flags.report(flagged), out, single_file)
+            parts = flags.report_parts(small, tables.packed_id(found), lambda rows: tables._unpacked(rows, found))
+            write_report(flags.report(flagged) if single_file else parts, out, single_file)
         run.counts = scanned, count
     return FlagResult(run.id, scanned, count, out, flags.top(flagged))
 

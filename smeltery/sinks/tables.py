@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from smeltery.functions.hashing import record_hash
+from smeltery.functions.text import norm_str
 from smeltery.operators.dedupe import disjoint
 from smeltery.operators.keys import HASHED
 from smeltery.operators.merge import upsert
@@ -45,7 +46,11 @@ def _derived(rows: DataFrame) -> dict[str, Column]:
     """Digests that the jobs make of other columns, each after those it is made of. A table may hold others, so
     each is compared before it is left out."""
     names = set(rows.columns)
-    content = {"record_hash": record_hash(*[F.col(n) for n in HASHED])} if {"record_hash", *HASHED} <= names else {}
+    # Silver keeps the spelling of categories and values; the hash covers lower-case categories and trimmed values.
+    asis, spelled = {n: F.col(n) for n in HASHED}, {"category": F.lower("category"), "value": norm_str(F.col("value_text"))}
+    of = {**asis, **spelled} if "value_text" in names else asis
+    held = {"record_hash", *HASHED} - ({"value"} if "value_text" in names else set()) <= names
+    content = {"record_hash": record_hash(*of.values())} if held else {}
     return {**content, **made_ids(rows.columns)}
 
 
@@ -61,6 +66,18 @@ def _packed(rows: DataFrame) -> DataFrame:
     return tested.withColumns(small) if small else tested
 
 
+def packed_id(rows: DataFrame) -> Column:
+    """The id of ``_packed`` rows as an expression, so that rows can be ordered by ids that they don't carry."""
+    derived = _derived(rows)
+
+    def read(name: str, digest: Column | None) -> Column:
+        kept = F.coalesce(F.lower(F.hex(f"_hex_{name}")), F.col(name))
+        return kept if digest is None else F.when(F.col(MADE + name), digest).otherwise(kept)
+
+    hashed = read("record_hash", derived.get("record_hash"))
+    return read("id", made_ids(rows.columns, hashed).get("id"))
+
+
 def _unpacked(small: DataFrame, rows: DataFrame, thin: bool = False) -> DataFrame:
     """The columns of ``rows`` again, from ``_packed`` ones; ``thin`` leaves ids that follow from other columns to
     the reader and adds their marks."""

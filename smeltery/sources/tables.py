@@ -45,10 +45,12 @@ BRONZE_ID, SILVER_ID = ("source", "record_hash"), ("run_id", "source", "record_h
 MADE = "_made_"
 
 
-def made_ids(columns: Iterable[str]) -> dict[str, Column]:
-    """The ids among the columns of bronze or silver, as the jobs make them of other columns."""
+def made_ids(columns: Iterable[str], hashed: Column | None = None) -> dict[str, Column]:
+    """The ids among the columns of bronze or silver, as the jobs make them of other columns; ``hashed`` may say how
+    the record hash is had where its column doesn't hold it."""
     ids = {"raw_id": BRONZE_ID, "id": SILVER_ID} if "raw_id" in columns else {"id": BRONZE_ID}
-    return {name: F.sha2(F.concat_ws("|", *of), 256) for name, of in ids.items() if {name, *of} <= set(columns)}
+    given = {} if hashed is None else {"record_hash": hashed}
+    return {name: F.sha2(F.concat_ws("|", *[given.get(c, F.col(c)) for c in of]), 256) for name, of in ids.items() if {name, *of} <= set(columns)}
 
 
 def _none(spark: SparkSession, schema: T.StructType) -> DataFrame:
