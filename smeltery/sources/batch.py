@@ -89,7 +89,7 @@ def csv_headers(
     if joined:
         rows = records(spark, joined)
         # Quotes in unusual places mean something else to a reader that starts at the file's beginning.
-        odd = rows.groupBy("file").agg(F.count_if(~F.col("text").rlike(WELL_FORMED)).alias("odd"), F.min_by("text", "record").alias("header"))
+        odd = rows.groupBy("file").agg(F.count_if(~F.col("text").rlike(WELL_FORMED)).alias("odd"), F.min_by("text", F.struct("block", "seq")).alias("header"))
         for r in odd.collect():
             ways[r["file"]], headers[r["file"]] = (WHOLE if r["odd"] else RECORDS), r["header"]
     groups: dict[tuple[tuple[str, ...], str], list[str]] = {}
@@ -110,41 +110,84 @@ WELL_FORMED = rf"^\ufeff?{_CELL}(?:,{_CELL})*+$"
 
 
 def records(spark: SparkSession, files: Sequence[str]) -> DataFrame:
-    """``file``, ``block``, ``record`` and ``text`` of the records of CSV files, read by many tasks.
+    """``file``, ``block``, ``seq`` and ``text`` of the records of CSV files, read by many tasks without a shuffle.
 
     A line begins a record where an even number of quotes stands before it in the file. Quotes are counted for
     each line and summed for each block (what one task reads of a file); a block's first lines belong to the last
-    record of the blocks before it if the sum up to there is odd, and that record began in the last line there with
-    an odd number of quotes. So only a small row for each block is compared over the file. Lines of one record
-    alone are gathered; a record stands in the block where it begins.
+    record of the blocks before it if the sum up to there is odd, and that record began in the last block there
+    that has a line with an odd number of quotes. So only a small row for each block is compared over the file. A
+    task joins the lines of its blocks as it reads them; only records that go on in another block, one a block at
+    most, are gathered. A record stands in the block where it begins, numbered by ``seq``.
     """
     lines = spark.read.option("lineSep", "\n").text([literal(unquote(f)) for f in files]).select(
-        _file_path().alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"), "value",
-    ).withColumn("odd", quotes(F.col("value")) % 2)
-    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("n"), F.max(F.when(F.col("odd") == 1, F.struct("block", "line"))).alias("last"))
+        _file_path().alias("file"), F.col("_metadata.file_block_start").alias("block"), "value",
+    ).withColumn("odd", quotes(F.col("value")) % 2 == 1)
+    blocks = lines.groupBy("file", "block").agg(F.count_if("odd").alias("n"))
     earlier = W.Window.partitionBy("file").orderBy("block").rowsBetween(W.Window.unboundedPreceding, -1)
-    starts = blocks.select("file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"), F.last("last", True).over(earlier).alias("owner"))
-    so_far = W.Window.partitionBy("file", "block").orderBy("line")
-    past = so_far.rowsBetween(W.Window.unboundedPreceding, -1)
-    marked = lines.join(starts, ["file", "block"]).withColumn(
-        "begins", (F.coalesce(F.sum("odd").over(past), F.lit(0)) + F.col("before")) % 2 == 0)
-    owner = F.coalesce(F.last(F.when(F.col("begins"), F.struct("block", "line")), True).over(so_far), F.col("owner"))
-    owned = marked.withColumn("of", owner)
-    alone = F.col("begins") & (F.col("odd") == 0)
-    single = owned.where(alone).select("file", "block", F.col("line").alias("record"), F.col("value").alias("text"))
-    several = owned.where(~alone).groupBy("file", "of").agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("lines"))
-    several = several.select("file", F.col("of.block").alias("block"), F.col("of.line").alias("record"),
-                             F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("text"))
-    ended = single.unionByName(several).withColumn("text", F.regexp_replace("text", "\r$", ""))
+    starts = blocks.select(
+        "file", "block", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) % 2 == 1).alias("inside"),
+        F.last(F.when(F.col("n") > 0, F.col("block")), True).over(earlier).alias("owner"))
+    placed = lines.join(F.broadcast(starts), ["file", "block"]).select("file", "block", "value", "odd", "inside", "owner")
+    joined = placed.mapInArrow(_line_joiner(), "file string, block long, seq long, text string, owner long")
+    whole = joined.where("owner IS NULL").select("file", "block", "seq", "text")
+    parts = joined.where("owner IS NOT NULL").groupBy("file", F.col("owner").alias("of")).agg(
+        F.max("seq").alias("seq"), F.array_sort(F.collect_list(F.struct("block", "text"))).alias("parts"))
+    several = parts.select("file", F.col("of").alias("block"), "seq", F.array_join(F.transform("parts", lambda x: x["text"]), "\n").alias("text"))
+    ended = whole.unionByName(several).withColumn("text", F.regexp_replace("text", "\r$", ""))
     return ended.where(F.col("text") != "")
 
 
+def _line_joiner():
+    """Joins lines to records, block by block, in the order in which a task reads them. What a block has of a record
+    that goes on in another one is a row with the block where the record began as ``owner``. The function travels
+    to the tasks as it is, without this module."""
+
+    def join(batches):
+        import pyarrow as pa
+
+        names = ["file", "block", "seq", "text", "owner"]
+        types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+        key, held, owner, seq, inside = None, [], None, 0, False
+        out = []
+
+        def close(goes_on):
+            """Ends the lines held so far: a record, or a part of one."""
+            nonlocal seq
+            text = "\n".join(held)
+            if owner is not None:
+                out.append((*key, None, text, owner))
+            elif held and text not in ("", "\r", "\r\r"):   # blank lines are no records and have no number
+                seq += 1
+                out.append((*key, seq, text, key[1] if goes_on else None))
+
+        def taken():
+            columns = list(zip(*out)) or [()] * len(names)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+        for batch in batches:
+            for file, block, value, odd, starts_inside, began in zip(*[c.to_pylist() for c in batch.columns]):
+                if (file, block) != key:
+                    if key:
+                        close(inside)
+                    key, held, seq, inside = (file, block), [], 0, starts_inside
+                    owner = began if inside else None
+                elif not inside:
+                    close(False)
+                    held, owner = [], None
+                held.append(value)
+                inside ^= odd
+            yield taken()
+        if key:
+            close(inside)
+        yield taken()
+
+    return join
+
+
 def read_csv_records(spark: SparkSession, files: Sequence[str], header: Sequence[str]) -> DataFrame:
     """As ``read_csv_group``, for files whose quoted cells hold line breaks, in many tasks."""
-    here = W.Window.partitionBy("file", "block").orderBy("record")
-    placed = records(spark, files).withColumn("seq", F.row_number().over(here).cast("bigint"))
-    rows = placed.where((F.col("block") > 0) | (F.col("seq") > 1))   # without the header
+    rows = records(spark, files).where((F.col("block") > 0) | (F.col("seq") > 1))   # without the header
     cells = F.from_csv("text", ", ".join(f"_{i} string" for i in range(len(header) + 1)), {"quote": '"', "escape": '"'})
     parsed = rows.select(F.col("file").alias("file_path"), F.col("block").alias("block_start"), "seq", cells.alias("c")).select("*", "c.*")
     return parsed.select("file_path", "block_start", "seq", *_columns(header))

@@ -91,3 +91,27 @@ def test_ways_to_read(spark, tmp_path):
     (tmp_path / "none.csv").write_text("source_id,event_time,\"val\nue\"\na,2026-01-01,1\n")
     with pytest.raises(IngestionError, match="Missing required columns"):
         q.read_batch(spark, [str(tmp_path / "none.csv")])
+
+
+def test_lines_of_records_are_not_shuffled(spark, tmp_path, small_splits):
+    text = lines_of(random.Random(3), 9000)
+    (tmp_path / "big.csv").write_bytes(text.encode())
+    frame = q.records(spark, [f"file://{tmp_path}/big.csv"])
+    rows = frame.collect()
+    assert len(rows) == len(plain(text)) + 1 and len({r.block for r in rows}) >= 8
+    plan = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # Counts by block, and the records that go on in another block: no window over lines, no other shuffle.
+    assert "Window" not in plan.split("MapInArrow")[0]
+    assert not [x for x in plan.splitlines() if "Exchange hashpartitioning(file" in x and "block" in x and "value" in x]
+    numbers = {}
+    for r in rows:
+        numbers.setdefault(r.block, []).append(r.seq)
+    assert all(sorted(n) == list(range(1, len(n) + 1)) for n in numbers.values())
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_blank_lines_beside_records_that_go_on(spark, tmp_path, end):
+    body = end.join([HEADER, "", "a,2026-01-05,\"1", "", "2\",c", "", "b,2026-01-05,3,c", "\"open", "x"])
+    (tmp_path / "a.csv").write_bytes(body.encode())
+    rows = sorted((r.seq, r.text) for r in q.records(spark, [f"file://{tmp_path}/a.csv"]).collect())
+    assert rows == [(1, HEADER), (2, f'a,2026-01-05,"1{end}{end}2",c'), (3, "b,2026-01-05,3,c"), (4, f'"open{end}x')]
