@@ -150,8 +150,8 @@ def losses(bronze: DataFrame) -> list[Column]:
     return [F.count_if(too_large).alias("amounts_lost"), F.count_if(no_category).alias("category_fallbacks")]
 
 
-def to_silver(bronze: DataFrame, run_id: str | Column, cleaned_at: Column) -> DataFrame:
-    """Bronze rows to silver columns (before the upsert)."""
+def to_silver(bronze: DataFrame, run_id: str | Column, cleaned_at: Column, more: Sequence[str] = ()) -> DataFrame:
+    """Bronze rows to silver columns (before the upsert); ``more`` names columns that stay as they are."""
     cfg = SILVER_CONFIG
     run = F.lit(run_id) if isinstance(run_id, str) else run_id
     names = sorted(cfg.allowed_keys)
@@ -178,4 +178,4 @@ def to_silver(bronze: DataFrame, run_id: str | Column, cleaned_at: Column) -> Da
     }
     if "event_month" in bronze.columns:
         columns["event_month"] = F.col("event_month")
-    return bronze.select(*[c.alias(name) for name, c in columns.items()])
+    return bronze.select(*[c.alias(name) for name, c in columns.items()], *more)

@@ -413,9 +413,9 @@ def _clean_before_after(spark, sf_dir):
 @query("silver_upsert")
 def _silver_upsert(spark, sf_dir):
     batch = standin.staged_batch(spark, sf_dir)
-    stored = standin.silver_of(standin.first_rows(batch, (1, 2)), "first")
-    incoming = standin.silver_of(standin.first_rows(batch), "second")
-    merged = upsert(stored, incoming, dedupe.KEY, keep=("id",))
+    stored = standin.first_silver(batch, "first", (1, 2))
+    incoming = standin.first_silver(batch, "second")
+    merged = upsert(stored, incoming, standin.BYTE_KEY, keep=("id",))
     return merged.select(
         "id", "source", "record_hash", "raw_id", "source_id",
         iso_utc(F.col("event_time")).alias("event_time"), "category", "value_text",
