@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Sequence
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,7 +50,9 @@ def _files_of(spark: SparkSession, path: str) -> list[str]:
 
 def _file_path() -> Column:
     """The row's file, spelled as Spark lists it (local paths come with one or three slashes)."""
-    return F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:///")
+    path = F.col("_metadata.file_path")
+    spelled = path.startswith("file:///") & ~path.startswith("file:////") | ~path.startswith("file:/")
+    return F.when(spelled, path).otherwise(F.regexp_replace(path, "^file:/+", "file:///"))
 
 
 # How a CSV file is cut into records, cheapest first: a line each, in many tasks; lines joined where a quoted cell
@@ -72,11 +75,16 @@ def csv_headers(
         _file_path().alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"), "value",
     )
-    place = F.struct("block", "seq")
     blank = (F.length("value") > 0) & (F.trim("value") == "")
-    found = lines.groupBy("file").agg(
-        F.min_by("value", place).alias("header"), F.count_if(~F.is_valid_utf8("value")).alias("broken"),
-        F.count_if((quotes(F.col("value")) % 2 == 1) | blank).alias("open"))
+    # Texts in an aggregate make Spark sort all lines, so lines that may be a header are groups and numbers are
+    # aggregated; few lines hold all names. What follows sees a few rows for each task.
+    begins = F.when(F.col("block") == 0, F.col("seq"))
+    title = F.when((F.col("block") == 0) & reduce(Column.__and__, [F.col("value").contains(n) for n in REQUIRED_COLUMNS]), F.col("value"))
+    grouped = lines.groupBy("file", title.alias("title")).agg(
+        F.min(begins).alias("begins"), F.count_if(~F.is_valid_utf8("value")).alias("broken"),
+        F.count_if(F.col("value").contains('"') & (quotes(F.col("value")) % 2 == 1) | blank).alias("open"))
+    found = grouped.groupBy("file").agg(
+        F.min_by("title", "begins").alias("header"), F.sum("broken").alias("broken"), F.sum("open").alias("open"))
     first = {r["file"]: r for r in found.collect()}
     ways = {}
     for file in files:
@@ -86,6 +94,10 @@ def csv_headers(
         ways[file] = WHOLE if multi_line else RECORDS if multi_line is None and row and row["open"] else LINES
     joined = [f for f in files if ways[f] == RECORDS]
     headers = {f: r["header"] for f, r in first.items()}
+    untitled = [f for f in first if headers[f] is None and ways.get(f) != RECORDS]
+    if untitled:   # the first line lacks a column; the message needs it as it is
+        begun = lines.where((F.col("block") == 0) & F.col("file").isin(untitled))
+        headers.update({r["file"]: r["header"] for r in begun.groupBy("file").agg(F.min_by("value", "seq").alias("header")).collect()})
     if joined:
         rows = records(spark, joined)
         # Quotes in unusual places mean something else to a reader that starts at the file's beginning.
@@ -94,7 +106,7 @@ def csv_headers(
             ways[r["file"]], headers[r["file"]] = (WHOLE if r["odd"] else RECORDS), r["header"]
     groups: dict[tuple[tuple[str, ...], str], list[str]] = {}
     for file in files:
-        text = headers.get(file, "").lstrip("\ufeff")
+        text = (headers.get(file) or "").lstrip("\ufeff")
         header = tuple(next(csv.reader(io.StringIO(text, newline="")), []))
         check_headers(header)
         groups.setdefault((header, ways[file]), []).append(file)
