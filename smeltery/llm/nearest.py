@@ -1,8 +1,10 @@
 """Approximate nearest neighbours: a small-world graph for each shard, results merged.
 
 Distinct vectors are dealt to shards of about ``SHARD_ROWS`` by hash; each shard's graph (see
-``graph``) is one row of flat arrays. Every block of queries meets every shard. What a shard finds
-is scored again in double precision on the vectors as given, and the best over all shards remain.
+``graph``) is one row of flat arrays. Every block of queries meets every shard: each task reads some
+shards and some blocks, so no block is copied for each shard and none goes through the driver. What
+a shard finds is scored again in double precision on the vectors as given, and the best over all
+shards remain.
 
 Equal vectors are one node with the smallest ids that have it, as many as a query can need, so large
 groups of copies neither crowd a graph nor break ties. Vectors that are null, empty, zero or hold a
@@ -22,7 +24,10 @@ from smeltery.session import stage
 
 SHARD_ROWS = 8192
 BLOCK = 512      # queries searched side by side
+PARTS = 64       # of all blocks at most, so that tasks grow with the shards alone
 MORE = 16        # nodes a shard scores exactly beyond those asked for
+# Writers look at sizes only every hundred rows, and readers take a row group at once; a row here is a whole graph.
+SMALL_GROUPS = {"parquet.page.size.row.check.min": "1", "parquet.block.size": str(4 << 20)}
 
 
 def sound(v: Column) -> Column:
@@ -118,14 +123,14 @@ def nearest(candidates: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     nodes = stage(distinct_vectors(vectors(candidates), k), "nodes")
     n = nodes.count()
     n_shards = max(1, -(-n // SHARD_ROWS))
-    index = stage(shard_rows(nodes, n_shards), "graphs")
+    index = stage(shard_rows(nodes, n_shards), "graphs", **SMALL_GROUPS)
     asked = stage(vectors(queries), "queries")
     n_blocks = max(1, -(-asked.count() // BLOCK))
     blocks = (asked.select("vec_id", "v", F.size("v").alias("dim"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_blocks)).alias("block"))
               .groupBy("dim", "block").agg(F.collect_list(F.struct("vec_id", "v")).alias("q")))
-    spread = blocks.select("dim", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_shards - 1).cast("bigint"))).alias("shard"),
-                           F.col("q.vec_id").alias("own"), F.flatten("q.v").alias("qs"))
-    met = index.join(spread, ["dim", "shard"])
+    blocks = blocks.select("dim", F.col("q.vec_id").alias("own"), F.flatten("q.v").alias("qs")).repartition(min(n_blocks, PARTS))
+    # Each task joins a partition of either side. Left to the sizes of the files, the driver would broadcast all blocks once they compress well.
+    met = index.join(blocks.hint("shuffle_replicate_nl"), "dim")
 
     def run(batches):
         shard, name = None, None

@@ -47,16 +47,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder once and continue from the written table.
 
     This cuts the lineage and survives the loss of executors. Parquet rather than
     ``checkpoint()`` because later steps read few of the columns and Spark then
     knows the size of the table when it plans joins. Zstandard halves hexadecimal digests.
+    ``options`` are those of the Parquet writer.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     if _collectors:
         _collectors[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,6 +1,11 @@
+from pathlib import Path
+
 import numpy as np
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from smeltery.llm import nearest as q
+from smeltery.session import collected
 
 
 def frame(spark, rows):
@@ -63,3 +68,33 @@ def test_cosines_of_extreme_components():
     x = np.random.default_rng(3).normal(size=(50, 16))
     plain = np.einsum("qd,qkd->qk", x, x[None].repeat(50, 0)) / (np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(x, axis=1)[None])
     assert (q.exact(x, x[None].repeat(50, 0)) == plain).all()
+
+
+def test_blocks_are_neither_broadcast_nor_copied_for_each_shard(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(q, "SHARD_ROWS", 100)
+    monkeypatch.setattr(q, "BLOCK", 4)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8 if i % 7 else 3).astype(np.float32).tolist(), 0) for i in range(700)]
+    found = q.neighbours_of_sample(frame(spark, rows), step=10)
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == brute(rows, range(0, 700, 10), 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan and "Generate" not in plan
+
+
+def test_a_few_graphs_make_a_row_group(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(q, "SHARD_ROWS", 1000)
+    v = F.transform(F.sequence(F.lit(1), F.lit(256)), lambda x: F.hash("vec_id", x) / 7)
+    rows = spark.range(5500).select(F.col("id").alias("vec_id"), v.alias("embedding"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        with collected() as paths:
+            q.neighbours_of_sample(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    files = [f for p in paths if "/graphs-" in p for f in Path(p.removeprefix("file:")).glob("*.parquet")]
+    groups = [pq.ParquetFile(f).metadata.row_group(i) for f in files for i in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 6 and max(g.total_byte_size for g in groups) < 8 << 20
